@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference pipeline has no streaming operators: every table is a full
+batch refresh. The bronze and silver operators are narrow (filter + project)
+and therefore also accept a streaming DataFrame unchanged; see
+``traveltiers.streaming.incremental``.
+"""
