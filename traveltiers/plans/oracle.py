@@ -239,3 +239,84 @@ def with_layers(fixture: str, body: str) -> str:
         ("gold_monthly", GOLD_MONTHLY),
     ]
     return "WITH " + ",\n".join(f"{n} AS ({q}\n)" for n, q in ctes) + "\n" + body
+
+
+# ---------------------------------------------------------------------------
+# Data-quality checks
+# ---------------------------------------------------------------------------
+def _check(actual: str, check: str, expected: str, layer: str, status: str, table: str, source: str) -> str:
+    return (f"SELECT CAST({actual} AS VARCHAR) AS actual, '{check}' AS \"check\", '{expected}' AS expected, "
+            f"'{layer}' AS layer, {status} AS status, '{table}' AS \"table\" FROM {source}")
+
+
+LAYER_CTES = [
+    ("bronze_travel_purchases", "bronze", "bronze_p"),
+    ("bronze_user_features", "bronze", "bronze_u"),
+    ("bronze_destinations", "bronze", "bronze_d"),
+    ("silver_travel_purchases", "silver", "silver_p"),
+    ("silver_users", "silver", "silver_u"),
+    ("silver_destinations", "silver", "silver_d"),
+    ("gold_daily_revenue_metrics", "gold", "gold_daily"),
+    ("gold_destination_performance", "gold", "gold_dest"),
+    ("gold_user_engagement", "gold", "gold_user"),
+    ("gold_monthly_summary", "gold", "gold_monthly"),
+]
+
+DQ_RECORD_COUNTS = "\nUNION ALL\n".join(
+    _check("COUNT(*)", "record_count", "> 0", layer,
+           "CASE WHEN COUNT(*) > 0 THEN 'PASS' ELSE 'FAIL' END", name, cte)
+    for name, layer, cte in LAYER_CTES
+)
+
+
+def _orphans(key: str, dim: str, label: str) -> str:
+    n = f"COUNT(DISTINCT t.{key})"
+    return _check(n, "referential_integrity", "0 orphans", "silver",
+                  f"CASE WHEN {n} = 0 THEN 'PASS' ELSE 'WARN' END", label,
+                  f"silver_p t LEFT JOIN {dim} x ON t.{key} = x.{key} WHERE x.{key} IS NULL")
+
+
+DQ_REFERENTIAL = (
+    _orphans("user_id", "silver_u", "silver_travel_purchases -> silver_users")
+    + "\nUNION ALL\n"
+    + _orphans("destination_id", "silver_d", "silver_travel_purchases -> silver_destinations")
+)
+
+
+def dq_freshness(as_of: str = AS_OF) -> str:
+    parts = []
+    for name, col, cte in [
+        ("bronze_travel_purchases", "_ingested_at", "bronze_p"),
+        ("silver_travel_purchases", "_processed_at", "silver_p"),
+        ("gold_daily_revenue_metrics", "_generated_at", "gold_daily"),
+    ]:
+        age = f"((epoch_us({as_of}) - epoch_us(MAX({col}))) / 3.6e9)"
+        actual = f"CASE WHEN MAX({col}) IS NULL THEN 'inf hours' ELSE printf('%.1f hours', {age}) END"
+        status = f"CASE WHEN {age} < 24 THEN 'PASS' ELSE 'WARN' END"
+        parts.append(_check(actual, "data_freshness", "< 24 hours", name.split("_")[0], status, name, cte))
+    return "\nUNION ALL\n".join(parts)
+
+
+DQ_BUSINESS = (
+    _check("COUNT(*)", "business_rule", "0 negative prices", "silver",
+           "CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END", "silver_travel_purchases",
+           "silver_p WHERE price_usd < 0")
+    + "\nUNION ALL\n"
+    + _check("COUNT(*)", "business_rule", "0 invalid rates", "gold",
+             "CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END", "gold_daily_revenue_metrics",
+             "gold_daily WHERE conversion_rate_pct < 0 OR conversion_rate_pct > 100")
+)
+
+
+def dq_audit_log(as_of: str = AS_OF) -> str:
+    return "\nUNION ALL\n".join([DQ_RECORD_COUNTS, DQ_REFERENTIAL, dq_freshness(as_of), DQ_BUSINESS])
+
+
+def dq_summary(as_of: str = AS_OF) -> str:
+    return f"""
+SELECT COUNT(*) FILTER (WHERE status = 'PASS') AS pass_count,
+  COUNT(*) FILTER (WHERE status = 'WARN') AS warn_count,
+  COUNT(*) FILTER (WHERE status = 'FAIL') AS fail_count,
+  COUNT(*) AS total_count,
+  CASE WHEN COUNT(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status
+FROM ({dq_audit_log(as_of)}) audit"""

@@ -72,3 +72,4 @@ def oracle_queries() -> dict[str, str]:
 
 # Importing the query modules fills REGISTRY.
 from traveltiers.plans import queries  # noqa: E402,F401
+from traveltiers.plans import operator_queries  # noqa: E402,F401
