@@ -46,8 +46,8 @@ def _bucket_of(value: Column, bounds: list[float]) -> Column:
     return F.when(value.isNull(), F.lit(len(bounds) + 1)).otherwise(nonnull)
 
 
-def _rank_by_buckets(df: DataFrame, metric: str, out: str, bounds: list[float]) -> DataFrame:
-    key = f"_rank_key_{out}"
+def _rank_table(df: DataFrame, metric: str, out: str, key: str, bounds: list[float]) -> DataFrame:
+    """``(key, out)``: the rank of each distinct metric value."""
     vc = df.groupBy(F.col(metric).alias(key)).agg(F.count(F.lit(1)).alias("_c"))
     vc = vc.withColumn("_b", _bucket_of(F.col(key), bounds))
     totals = vc.groupBy("_b").agg(F.sum("_c").alias("_bc"))
@@ -56,11 +56,10 @@ def _rank_by_buckets(df: DataFrame, metric: str, out: str, bounds: list[float])
     offsets = totals.select("_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
     vc = vc.join(F.broadcast(offsets), "_b")
     above = Window.partitionBy("_b").orderBy(F.desc_nulls_last(key)).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = vc.select(
+    return vc.select(
         F.col(key),
         (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_c").over(above), F.lit(0))).cast("bigint").alias(out),
     )
-    return df.join(ranked, df[metric].eqNullSafe(ranked[key]), "left").drop(key)
 
 
 def rank_desc(
@@ -85,8 +84,12 @@ def rank_desc(
     row = df.agg(
         *[F.percentile_approx(F.col(m).cast("double"), probs, accuracy).alias(o) for o, m in metrics.items()]
     ).first()
+    # Every rank table is built from the checkpointed input, then all are joined back.
+    result = df
     for out, metric in metrics.items():
         raw = row[out] or []
         bounds = sorted({float(b) for b in raw if b is not None and not math.isnan(b)})
-        df = _rank_by_buckets(df, metric, out, bounds)
-    return df
+        key = f"_rank_key_{out}"
+        table = _rank_table(df, metric, out, key, bounds)
+        result = result.join(table, result[metric].eqNullSafe(table[key]), "left").drop(key)
+    return result
