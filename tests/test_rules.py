@@ -101,12 +101,16 @@ def test_pct_matches_integer_half_up_exhaustively(spark):
         assert r["r"] == want
 
 
-def test_avg_money_half_up(spark):
-    from decimal import Decimal
-    df = spark.createDataFrame([(Decimal("0.05"), 2), (Decimal("10.00"), 3), (Decimal("0.01"), 2), (None, 0)],
-                               "s decimal(38,2), n bigint")
-    got = [r["r"] for r in df.select(R.avg_money("s", "n").alias("r")).collect()]
-    assert got == [0.03, 3.33, 0.01, None]
+def test_avg_cents_half_up(spark):
+    df = spark.createDataFrame([(5, 2), (1000, 3), (1, 2), (None, 0), (2000, 3)], "s bigint, n bigint")
+    got = [r["r"] for r in df.select(R.avg_cents("s", "n").alias("r")).collect()]
+    assert got == [0.03, 3.33, 0.01, None, 6.67]
+
+
+@pytest.mark.parametrize("price,expected", [(0.29, 29), (26.200000000000003, 2620), (50000.0, 5000000),
+                                            (0.0, 0), (None, None), (1.01, 101)])
+def test_cents_are_exact(spark, price, expected):
+    assert one(spark, R.cents, price) == expected
 
 
 @pytest.mark.parametrize("ts,kind", [

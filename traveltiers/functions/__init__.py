@@ -3,7 +3,7 @@
 from traveltiers.functions.rules import *  # noqa: F401,F403
 from traveltiers.functions.rules import (  # noqa: F401
     audit_ts,
-    avg_money,
+    avg_cents,
     band,
     clean_coordinate,
     clean_latitude,
@@ -16,8 +16,8 @@ from traveltiers.functions.rules import (  # noqa: F401
     frequency_segment,
     hemisphere,
     location_invalid,
-    money,
-    money_out,
+    cents,
+    money_from_cents,
     normalize_name,
     pct,
     price_invalid,

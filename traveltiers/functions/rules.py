@@ -33,8 +33,6 @@ WEEKDAY = "weekday"
 NORTHERN = "Northern"
 SOUTHERN = "Southern"
 ROW_HASH_SEPARATOR = "|"
-# Money is summed exactly as decimal(18,2); the stored price stays double.
-MONEY_TYPE = "decimal(18,2)"
 
 
 def col(c: str | Column) -> Column:
@@ -81,27 +79,34 @@ def pct(num: str | Column, den: str | Column) -> Column:
     return F.when(d != 0, q.cast("double") / F.lit(100.0))
 
 
-def money(value: str | Column) -> Column:
-    """A two-decimal price as an exact decimal for summing."""
-    return col(value).cast(MONEY_TYPE)
+def cents(value: str | Column) -> Column:
+    """A cleaned two-decimal price as exact integer cents (``bigint``).
 
+    Money is summed as cents: a ``bigint`` sum stays in whole-stage codegen
+    (a decimal sum of precision > 18 falls back to ``BigDecimal`` per row) and
+    is exact. Cleaned prices are at most 50,000, so a group overflows only
+    beyond ~1.8e12 rows, and with ANSI mode (the Spark 4 default, pinned by
+    ``get_session``) an overflow raises instead of wrapping.
+    """
+    return F.rint(col(value) * F.lit(100)).cast("bigint")
+
+
+def money_from_cents(total: str | Column) -> Column:
+    """Exact cents back to dollars as double (correctly rounded)."""
+    return col(total).cast("double") / F.lit(100.0)
 
-def avg_money(total: str | Column, n: str | Column) -> Column:
-    """``ROUND(AVG(price), 2)`` from an exact decimal total and a count, half-up.
+
+def avg_cents(total: str | Column, n: str | Column) -> Column:
+    """``ROUND(AVG(price), 2)`` from a cents total and a count, half-up.
 
     ``floor((2*cents + n) / (2*n)) / 100``; NULL when ``n`` is 0.
     """
-    cents = (col(total) * F.lit(100)).cast("decimal(38,0)")
+    c = col(total).cast("decimal(38,0)")
     cnt = col(n).cast("decimal(38,0)")
-    q = floor_div(cents * F.lit(2) + cnt, cnt * F.lit(2))
+    q = floor_div(c * F.lit(2) + cnt, cnt * F.lit(2))
     return F.when(cnt > 0, q.cast("double") / F.lit(100.0))
 
 
-def money_out(value: str | Column) -> Column:
-    """Exact money back to double at the table boundary."""
-    return col(value).cast("double")
-
-
 def audit_ts(run_ts: str | None = None) -> Column:
     """Run timestamp for audit columns; ``current_timestamp()`` when not pinned."""
     if run_ts is None:

@@ -1,7 +1,7 @@
 """Gold layer: daily, destination, user and monthly aggregates.
 
-Money is summed exactly (``decimal(18,2)`` per price) and averages and rates
-are rounded half-up from integers, so results do not depend on row order.
+Money is summed exactly as integer cents and averages and rates are rounded
+half-up from integers, so results do not depend on row order.
 
 The two dimension tables are joined *after* the fact is aggregated to one
 row per join key (eager aggregation). A literal "dimension LEFT JOIN fact,
@@ -28,7 +28,7 @@ USER_KEYS = [
 def _purchase_measures() -> dict[str, Column]:
     """Partial aggregates shared by every gold table (all re-aggregatable by sum/min/max)."""
     purchased = F.col("purchased")
-    price = R.money("price_usd")
+    price = R.cents("price_usd")
     bought = F.when(purchased, price)
     return {
         "_n": F.count(F.lit(1)),
@@ -36,7 +36,7 @@ def _purchase_measures() -> dict[str, Column]:
         "_clicks": F.count_if(F.col("clicked")),
         "_purchases": F.count_if(purchased),
         # SUM(CASE WHEN purchased THEN price ELSE 0 END): NULL only when every row is a NULL-price purchase.
-        "_revenue": F.sum(F.when(purchased, price).otherwise(F.lit(0))),
+        "_revenue": F.sum(F.when(purchased, price).otherwise(F.lit(0).cast("bigint"))),
         "_bought_sum": F.sum(bought),
         "_bought_n": F.count(bought),
     }
@@ -102,8 +102,8 @@ def gold_daily_revenue_metrics(purchases: DataFrame, run_ts: str | None = None)
         F.col("_purchases").alias("total_purchases"),
         R.pct("_purchases", "_n").alias("conversion_rate_pct"),
         R.pct("_purchases", "_clicks").alias("click_to_purchase_rate_pct"),
-        R.money_out("_revenue").alias("total_revenue_usd"),
-        R.avg_money("_bought_sum", "_bought_n").alias("avg_transaction_value_usd"),
+        R.money_from_cents("_revenue").alias("total_revenue_usd"),
+        R.avg_cents("_bought_sum", "_bought_n").alias("avg_transaction_value_usd"),
         "min_transaction_usd", "max_transaction_usd", "unique_users", "unique_destinations",
         R.audit_ts(run_ts).alias("_generated_at"),
     )
@@ -112,7 +112,7 @@ def gold_daily_revenue_metrics(purchases: DataFrame, run_ts: str | None = None)
 def destination_metrics(destinations: DataFrame, purchases: DataFrame) -> DataFrame:
     """destinations LEFT JOIN purchases grouped by the 5 destination columns (no ranks yet).
 
-    ``_revenue_exact`` keeps the unrounded decimal revenue the revenue rank orders by.
+    ``_revenue_cents`` keeps the exact revenue the revenue rank orders by.
     """
     dim = dimension_groups(destinations, DESTINATION_KEYS)
     fact = fact_by_key(purchases.select(
@@ -124,7 +124,7 @@ def destination_metrics(destinations: DataFrame, purchases: DataFrame) -> DataFr
     views = _scaled(matched, m, "_n", m)
     clicks = _scaled(matched, m, "_clicks", F.lit(0).cast("bigint"))
     bookings = _scaled(matched, m, "_purchases", F.lit(0).cast("bigint"))
-    revenue = _scaled(matched, m, "_revenue", F.lit(0).cast("decimal(38,2)"))
+    revenue = _scaled(matched, m, "_revenue", F.lit(0).cast("bigint"))
     return j.select(
         *DESTINATION_KEYS,
         views.alias("total_views"),
@@ -132,13 +132,13 @@ def destination_metrics(destinations: DataFrame, purchases: DataFrame) -> DataFr
         bookings.alias("total_bookings"),
         R.pct(clicks, views).alias("click_rate_pct"),
         R.pct(bookings, clicks).alias("booking_rate_pct"),
-        R.money_out(revenue).alias("total_revenue_usd"),
-        R.avg_money("_bought_sum", "_bought_n").alias("avg_booking_value_usd"),
+        R.money_from_cents(revenue).alias("total_revenue_usd"),
+        R.avg_cents("_bought_sum", "_bought_n").alias("avg_booking_value_usd"),
         F.coalesce(F.col("_distinct_other"), F.lit(0).cast("bigint")).alias("unique_visitors"),
         F.coalesce(F.col("_distinct_other_bought"), F.lit(0).cast("bigint")).alias("unique_buyers"),
         F.col("_first").alias("first_transaction"),
         F.col("_last").alias("last_transaction"),
-        revenue.alias("_revenue_exact"),
+        revenue.alias("_revenue_cents"),
     )
 
 
@@ -150,7 +150,7 @@ def gold_destination_performance(
 ) -> DataFrame:
     """Destination metrics plus ``booking_rank`` and ``revenue_rank`` (RANK, DESC, NULLS LAST)."""
     metrics = destination_metrics(destinations, purchases)
-    ranked = rank_desc(metrics, {"booking_rank": "total_bookings", "revenue_rank": "_revenue_exact"}, **rank_options)
+    ranked = rank_desc(metrics, {"booking_rank": "total_bookings", "revenue_rank": "_revenue_cents"}, **rank_options)
     return ranked.select(
         *DESTINATION_KEYS,
         "total_views", "total_clicks", "total_bookings", "click_rate_pct", "booking_rate_pct",
@@ -172,7 +172,7 @@ def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | N
     zero = F.lit(0).cast("bigint")
     rows = _scaled(matched, m, "_n", m)
     purchases_n = _scaled(matched, m, "_purchases", zero)
-    spend = _scaled(matched, m, "_revenue", F.lit(0).cast("decimal(38,2)"))
+    spend = _scaled(matched, m, "_revenue", F.lit(0).cast("bigint"))
     return j.select(
         "user_id", "purchase_frequency_segment", "price_segment",
         F.col("avg_price_7day").alias("historical_avg_price"),
@@ -182,14 +182,14 @@ def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | N
         _scaled(matched, m, "_clicks", zero).alias("total_clicks"),
         purchases_n.alias("total_purchases"),
         R.pct(purchases_n, rows).alias("conversion_rate_pct"),
-        R.money_out(spend).alias("total_spend_usd"),
-        R.avg_money("_bought_sum", "_bought_n").alias("avg_purchase_usd"),
+        R.money_from_cents(spend).alias("total_spend_usd"),
+        R.avg_cents("_bought_sum", "_bought_n").alias("avg_purchase_usd"),
         F.coalesce(F.col("_distinct_other"), zero).alias("destinations_viewed"),
         F.coalesce(F.col("_distinct_other_bought"), zero).alias("destinations_booked"),
         F.col("_first").alias("first_activity"),
         F.col("_last").alias("last_activity"),
         F.datediff(F.col("_last"), F.col("_first")).alias("engagement_days"),
-        R.customer_tier(spend).alias("customer_tier"),
+        R.customer_tier(R.money_from_cents(spend)).alias("customer_tier"),
         R.audit_ts(run_ts).alias("_generated_at"),
     )
 
@@ -206,14 +206,14 @@ def gold_monthly_summary(purchases: DataFrame, run_ts: str | None = None) -> Dat
         F.countDistinct("user_id").alias("active_users"),
         F.countDistinct("destination_id").alias("destinations_in_demand"),
     )
-    revenue = R.money_out("_revenue")
+    revenue = R.money_from_cents("_revenue")
     order = Window.orderBy(F.asc_nulls_first("transaction_year"), F.asc_nulls_first("transaction_month"))
     return g.select(
         "transaction_year", "transaction_month",
         F.col("_n").alias("total_transactions"),
         F.col("_purchases").alias("total_bookings"),
         revenue.alias("monthly_revenue_usd"),
-        R.avg_money("_bought_sum", "_bought_n").alias("avg_booking_value_usd"),
+        R.avg_cents("_bought_sum", "_bought_n").alias("avg_booking_value_usd"),
         "active_users", "destinations_in_demand",
         R.pct("_purchases", "_n").alias("monthly_conversion_pct"),
         F.lag(revenue, 1).over(order).alias("prev_month_revenue"),

@@ -280,7 +280,7 @@ def global_totals(L: Layers):
     return s.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("_price_invalid")).alias("invalid_prices"),
-        R.money_out(F.sum(F.when(F.col("purchased"), R.money("price_usd")).otherwise(F.lit(0))))
+        R.money_from_cents(F.sum(F.when(F.col("purchased"), R.cents("price_usd")).otherwise(F.lit(0))))
         .alias("total_revenue_usd"),
         F.max("transaction_timestamp").alias("last_transaction"),
     )
