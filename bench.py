@@ -11,10 +11,12 @@ comparison with the eager-aggregation operators; they are not in ``value``.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -39,14 +41,46 @@ def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def shuffle_stats(log_dir: str) -> tuple[dict[str, float], dict[str, int]]:
+    """Shuffle bytes written and jobs started per job group, from Spark's event log."""
+    stage_group: dict[int, str] = {}
+    jobs: dict[str, int] = {}
+    written: dict[str, float] = {}
+    for path in sorted(glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)):
+        if not os.path.isfile(path):
+            continue
+        if os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        jobs[group] = jobs.get(group, 0) + 1
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    w = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    if group:
+                        written[group] = written.get(group, 0) + w
+    return written, jobs
+
+
 def main() -> None:
+    log_dir = tempfile.mkdtemp(prefix="traveltiers-bench-events-")
     spark = get_session(
         f"local[{CPUS}]",
         app="traveltiers-bench",
         **{
             "spark.sql.shuffle.partitions": str(max(8, CPUS * 2)),
             "spark.driver.memory": "16g",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,14 +121,21 @@ def main() -> None:
     for name, build in todo.items():
         samples = []
         for i in range(RUNS + 1):  # first run warms the JVM and file caches
+            spark.sparkContext.setJobGroup(f"{name}#{i}", name)
             t0 = time.perf_counter()
             run_noop(build())
             dt = time.perf_counter() - t0
             if i > 0 or RUNS == 0:
                 samples.append(dt)
         times[name] = round(statistics.median(samples), 3)
+        print(name, [round(x, 2) for x in samples], file=sys.stderr)
 
     total = round(sum(times[n] for n in headline if n in times), 3)
+    spark.stop()
+    written, jobs = shuffle_stats(log_dir)
+    last = f"#{RUNS}"
+    shuffle_mb = {n: round(written.get(n + last, 0) / 2**20, 2) for n in times}
+    job_count = {n: jobs.get(n + last, 0) for n in times}
     print(json.dumps({
         "metric": "headline_queries_total_sec",
         "value": total,
@@ -103,8 +144,9 @@ def main() -> None:
         "sf": sf_of(SF_DIR),
         "cpus": CPUS,
         "runs": RUNS,
+        "shuffle_mb": shuffle_mb,
+        "jobs": job_count,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -150,6 +150,9 @@ def gold_destination_performance(
 ) -> DataFrame:
     """Destination metrics plus ``booking_rank`` and ``revenue_rank`` (RANK, DESC, NULLS LAST)."""
     metrics = destination_metrics(destinations, purchases)
+    if "row_bound" not in rank_options:
+        # One output row per destination group: the dimension's row count bounds it (a dimension-only scan).
+        rank_options = {**rank_options, "row_bound": destinations.count()}
     ranked = rank_desc(metrics, {"booking_rank": "total_bookings", "revenue_rank": "_revenue_cents"}, **rank_options)
     return ranked.select(
         *DESTINATION_KEYS,

@@ -3,9 +3,10 @@
 A global window puts every row into one task. Here the rank is a function of
 the metric value alone: ``rank(v) = 1 + #rows with metric > v``. So
 
-1. the input is checkpointed once (the metric table is read several times);
-2. its row count decides the plan: up to ``rows_per_bucket`` rows the plain
-   window runs in one task of proven size; above it,
+1. the row count decides the plan: up to ``rows_per_bucket`` rows the plain
+   window runs in one task of proven size (a caller-supplied bound, such as
+   the dimension's row count, avoids any extra pass); otherwise
+2. the input is checkpointed once (the metric table is read several times), and
 3. value counts ``groupBy(metric).count()`` collapse hot values to one row
    (map-side combine), approximate quantiles of the metric (a bounded list,
    at most ``max_buckets``) cut the values into ordered buckets, per-bucket
@@ -69,8 +70,18 @@ def rank_desc(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
     checkpoint: bool = True,
+    row_bound: int | None = None,
 ) -> DataFrame:
-    """Add one rank column per ``{out_name: metric_column}``; ties share a rank, gaps follow."""
+    """Add one rank column per ``{out_name: metric_column}``; ties share a rank, gaps follow.
+
+    ``row_bound`` is a known upper bound on the rows of ``df`` (for example the
+    row count of the dimension it was grouped from). When it is within
+    ``rows_per_bucket`` the plain window runs directly, with no checkpoint.
+    """
+    if row_bound is not None and row_bound <= rows_per_bucket:
+        for out, metric in metrics.items():
+            df = rank_window(df, metric, out)
+        return df
     if checkpoint:
         df = reliable_checkpoint(df)
     n = df.count()

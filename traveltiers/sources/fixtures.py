@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traveltiers.sources.tables import read_table
+from traveltiers.sources.tables import read_table, spread
 
 # Fixed values of the fixture definitions.
 LAT_FRACTION = 0.1234567
@@ -49,7 +49,7 @@ def _null_when(cond: Column, value: Column, dtype: str) -> Column:
 
 def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule-coverage purchases from ``events``."""
-    e = read_table(spark, sf_dir, "events")
+    e = spread(read_table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     is_error = F.col("event_type") == F.lit("error")
@@ -75,7 +75,7 @@ def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def travel_purchase_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume purchases from ``lineitem`` joined with ``orders`` (many months)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     o = read_table(spark, sf_dir, "orders")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
