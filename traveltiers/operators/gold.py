@@ -69,9 +69,11 @@ def fact_by_key(purchases: DataFrame, key: str, other: str) -> DataFrame:
 def dimension_groups(dim: DataFrame, keys: list[str]) -> DataFrame:
     """Group keys of the dimension with their multiplicity ``_m`` (NULLs group together).
 
-    Pre-partitioned on the join key, so the later join does not shuffle it again.
+    Grouped with map-side combine before any shuffle, so a key with very many
+    (identical) snapshots costs one row per map task, never one hot task; only
+    the grouped rows are then shuffled on the join key.
     """
-    return dim.repartition(keys[0]).groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+    return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
 
 
 def _scaled(matched: Column, m: Column, value: str, unmatched: Column) -> Column:

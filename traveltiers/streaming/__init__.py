@@ -1,7 +1,8 @@
 """Streaming.
 
 The reference pipeline has no streaming operators: every table is a full
-batch refresh. The bronze and silver operators are narrow (filter + project)
-and therefore also accept a streaming DataFrame unchanged; see
-``traveltiers.streaming.incremental``.
+batch refresh, and none is added here. The bronze and silver operators are
+narrow (filter + project, no aggregation), so they also accept a streaming
+DataFrame unchanged (``tests/test_streaming.py`` runs them on a file stream
+with an ``availableNow`` trigger); the gold layer is batch-only.
 """
