@@ -148,7 +148,7 @@ FROM bronze_d WHERE destination_id IS NOT NULL"""
 REV = "SUM(CASE WHEN {p}purchased THEN CAST({p}price_usd AS DECIMAL(18,2)) ELSE 0 END)"
 BOUGHT_SUM = "SUM(CASE WHEN {p}purchased THEN CAST({p}price_usd AS DECIMAL(18,2)) END)"
 BOUGHT_N = "COUNT(CASE WHEN {p}purchased THEN {p}price_usd END)"
-CNT = "SUM(CASE WHEN {p}{c} THEN 1 ELSE 0 END)"
+CNT = "CAST(SUM(CASE WHEN {p}{c} THEN 1 ELSE 0 END) AS BIGINT)"
 
 
 def _m(tmpl: str, p: str = "", **kw) -> str:

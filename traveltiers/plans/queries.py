@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from traveltiers.operators import gold
 from traveltiers.plans.layers import Layers
 from traveltiers.plans.registry import register
@@ -94,6 +92,16 @@ def rank_by_revenue(L: Layers):
     return L.gold_destination_performance.select("destination_id", "total_revenue_usd", "revenue_rank")
 
 
+@register("rank_bucketed", "B",
+          "SELECT destination_id, total_bookings, total_revenue_usd, booking_rank, revenue_rank FROM gold_dest")
+def rank_bucketed(L: Layers):
+    """Both ranks through the distributed path (checkpoint, quantile buckets, offsets), forced
+    by a small bucket size so it is exercised on the test data too."""
+    perf = gold.gold_destination_performance(
+        L.silver_destinations, L.silver_travel_purchases, L.run_ts, rows_per_bucket=16, row_bound=None)
+    return perf.select("destination_id", "total_bookings", "total_revenue_usd", "booking_rank", "revenue_rank")
+
+
 @register("lag_previous_month", "B",
           "SELECT transaction_year, transaction_month, monthly_revenue_usd, prev_month_revenue FROM gold_monthly")
 def lag_previous_month(L: Layers):
@@ -116,5 +124,3 @@ def sort_destinations(L: Layers):
 def sort_monthly(L: Layers):
     return gold.sort_monthly(L.gold_monthly_summary)
 
-
-_ = F  # keep the functions import for the query modules below
