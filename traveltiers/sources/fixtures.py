@@ -23,6 +23,14 @@ LON_FRACTION = 0.7654321
 SNAPSHOT_1 = "2024-01-01 00:00:00"
 SNAPSHOT_2 = "2024-01-15 00:00:00"
 
+# Input contract: the columns each fixture reads from the driver's tables, with their parquet types.
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+LINEITEM_SCHEMA = ("l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, "
+                   "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+ORDERS_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+CUSTOMER_SCHEMA = "c_custkey bigint, c_acctbal double"
+SUPPLIER_SCHEMA = "s_suppkey bigint, s_name string"
+
 
 @dataclass(frozen=True)
 class Sources:
@@ -49,7 +57,7 @@ def _null_when(cond: Column, value: Column, dtype: str) -> Column:
 
 def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule-coverage purchases from ``events``."""
-    e = spread(read_table(spark, sf_dir, "events"))
+    e = spread(read_table(spark, sf_dir, "events", EVENTS_SCHEMA))
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     is_error = F.col("event_type") == F.lit("error")
@@ -75,8 +83,8 @@ def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def travel_purchase_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume purchases from ``lineitem`` joined with ``orders`` (many months)."""
-    li = spread(read_table(spark, sf_dir, "lineitem"))
-    o = read_table(spark, sf_dir, "orders")
+    li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_SCHEMA))
+    o = read_table(spark, sf_dir, "orders", ORDERS_SCHEMA)
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("id"),
@@ -94,7 +102,7 @@ def travel_purchase_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots per kept customer (the second only for every tenth one)."""
-    c = read_table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 29 != 0)
+    c = read_table(spark, sf_dir, "customer", CUSTOMER_SCHEMA).filter(F.col("c_custkey") % 29 != 0)
     key = F.col("c_custkey")
     mean_price = _null_when(key % 17 == 0, F.col("c_acctbal") % F.lit(1000), "double")
 
@@ -119,7 +127,7 @@ def user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def destination_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier")
+    s = read_table(spark, sf_dir, "supplier", SUPPLIER_SCHEMA)
     key = F.col("s_suppkey")
     return s.select(
         key.alias("destination_id"),

@@ -16,9 +16,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one parquet table; projection and filters are pushed down by Catalyst."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """Scan one parquet table; projection and filters are pushed down by Catalyst.
+
+    With ``schema`` (the columns the caller needs, by name) Spark skips the
+    footer-reading inference job and reads exactly those columns.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
