@@ -63,3 +63,35 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path for written intermediate tables inside the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "tables", *parts)
+
+
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float = 16.0,
+                 cores_per_executor: int = 4) -> dict[str, str]:
+    """Starting partition sizes for a large cluster (pass them to the launcher with ``--conf``).
+
+    * Scan splits of 256 MB: ~400k scan tasks for 100 TB, each well inside the
+      per-task execution memory (executor memory x 0.6 / cores; 2.4 GB for 16 GB / 4 cores).
+    * Shuffles here move pruned columns after map-side partial aggregation, about a
+      tenth of the scanned bytes at most; the initial shuffle partition count targets
+      128 MB per partition on that estimate, between 2x the cores and 30,000 (more
+      reducers only multiplies shuffle blocks), and AQE coalesces small partitions
+      and splits skewed ones at run time.
+    """
+    per_task = executor_memory_gb * 1024 * MB * 0.6 / max(1, cores_per_executor)
+    split = int(min(256 * MB, per_task / 4))
+    shuffle_estimate = input_bytes / 10
+    partitions = int(min(30_000, max(2 * total_cores, shuffle_estimate // (128 * MB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
