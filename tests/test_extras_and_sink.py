@@ -54,3 +54,20 @@ def test_checkpoint_dir_and_cluster_conf(spark):
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
     small = cluster_conf(50 * 2**20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_failed_write_keeps_previous_version(spark):
+    import pytest
+    sink = TableSink(spark, database="tt_slots_test", root=tempfile.mkdtemp(prefix="tt-slots-"))
+    sink.write(spark.range(4), "t")
+    first = sink.location("t")
+    sink.write(spark.range(2), "t")
+    second = sink.location("t")
+    assert first != second and {first.rstrip("/")[-6:], second.rstrip("/")[-6:]} == {"slot_a", "slot_b"}
+    assert sink.read("t").count() == 2
+    broken = spark.range(5).withColumn("x", F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))))
+    with pytest.raises(Exception):
+        sink.write(broken, "t")
+    assert sink.read("t").count() == 2 and sink.location("t") == second
+    sink.write(spark.range(7), "t")  # the next run recovers into the other slot
+    assert sink.read("t").count() == 7

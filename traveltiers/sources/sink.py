@@ -1,10 +1,13 @@
-"""Writing layer tables: whole-table overwrite plus table metadata.
-
-``saveAsTable`` with an explicit path keeps the data in a shared folder
-(by default under ``spark.checkpoint.dir``) and registers it in the session
-catalog. Overwrite drops table properties and the comment, so both are set
-again after every write. The row count comes from an ``Observation`` on the
-write itself, not from a second scan.
+"""Writing layer tables: whole-table replace plus table metadata.
+
+Each table has two storage slots under its folder (by default in the shared
+``spark.checkpoint.dir``). A write goes to the slot the table does not use,
+as a staging table, and only when the job has finished is the staging table
+renamed over the old one (metadata only). A failed or interrupted write (for
+example after repeated executor loss) therefore leaves the previous version
+readable, and storage never exceeds two versions. Properties and the
+comment are set again after every write; the row count comes from an
+``Observation`` on the write itself, not from a second scan.
 """
 
 from __future__ import annotations
@@ -59,10 +62,17 @@ class TableSink:
                 df = df.withMetadata(c, {"comment": text})
         obs = Observation(f"rows_{table}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        w = df.write.mode("overwrite").format("parquet").option("path", self.path(table))
+        current = self.location(table)
+        slot = "slot_b" if current and current.rstrip("/").endswith("slot_a") else "slot_a"
+        staging = f"{table}__next"
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(staging)}")
+        w = df.write.mode("overwrite").format("parquet").option("path", os.path.join(self.path(table), slot))
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.saveAsTable(self.name(table))
+        w.saveAsTable(self.name(staging))
+        # Swap: both tables are external, so dropping and renaming touch no data files.
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self.spark.sql(f"ALTER TABLE {self.name(staging)} RENAME TO {self.name(table)}")
         if comment:
             self.spark.sql(f"COMMENT ON TABLE {self.name(table)} IS {_quote(comment)}")
         if properties:
@@ -72,6 +82,13 @@ class TableSink:
         self.written[table] = rows
         return rows
 
+    def location(self, table: str) -> str | None:
+        """Storage location of ``table``, or None when it does not exist."""
+        if not self.spark.catalog.tableExists(f"{self.database}.{table}"):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        return next((r.data_type for r in rows if r.col_name == "Location"), None)
+
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
