@@ -41,8 +41,6 @@ def band(v: str, bands: list[tuple[int, str]], default: str) -> str:
     return f"(CASE {whens} ELSE '{default}' END)"
 
 
-MONEY = "CAST({} AS DECIMAL(18,2))"
-
 SRC_PURCHASE_A = f"""
 SELECT event_id AS id, ts,
   CASE WHEN event_id % 1009 = 0 THEN NULL ELSE user_id END AS user_id,
