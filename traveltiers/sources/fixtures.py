@@ -145,5 +145,14 @@ def fixture_b(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(travel_purchase_b(spark, sf_dir), user_features(spark, sf_dir), destination_location(spark, sf_dir))
 
 
+def catalog_sources(spark: SparkSession, source_schema: str) -> Sources:
+    """The three source tables by name from the catalog (``<schema>.travel_purchase`` ...)."""
+    return Sources(
+        spark.table(f"{source_schema}.travel_purchase"),
+        spark.table(f"{source_schema}.user_features"),
+        spark.table(f"{source_schema}.destination_location"),
+    )
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> Sources:
     return {"A": fixture_a, "B": fixture_b}[name.upper()](spark, sf_dir)
