@@ -53,3 +53,16 @@ def test_monthly_window_runs_on_aggregated_rows(layers_b):
     p = plan(layers_b.gold_monthly_summary)
     tree = p.split("\n\n")[0]
     assert tree.index("Window") < tree.index("HashAggregate")  # the window sits above the aggregate
+
+
+def test_first_fact_shuffle_is_keyed_by_pair(layers_b):
+    """A hot destination (or user) is spread over reducers: the fact's first exchange hashes
+    on (key, other) after map-side partial aggregation, never on the key alone."""
+    import re
+    p = plan(layers_b.destination_metrics)
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+    pair = [e for e in exchanges if e.startswith("destination_id") and "user_id" in e]
+    assert pair, exchanges
+    p = plan(layers_b.gold_user_engagement)
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+    assert any(e.startswith("user_id") and "destination_id" in e for e in exchanges), exchanges
