@@ -146,7 +146,11 @@ def main() -> None:
 
     total = round(sum(times[n] for n in headline if n in times), 3)
     spark.stop()
-    written, jobs = shuffle_stats(log_dir)
+    try:
+        written, jobs = shuffle_stats(log_dir)
+    except Exception as e:  # the timing line must still be printed
+        print(f"event log not read: {e}", file=sys.stderr)
+        written, jobs = {}, {}
     last = f"#{RUNS}"
     shuffle_mb = {n: round(written.get(n + last, 0) / 2**20, 2) for n in times}
     job_count = {n: jobs.get(n + last, 0) for n in times}
