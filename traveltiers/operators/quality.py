@@ -3,7 +3,8 @@
 Each check is a one-row aggregate with the common schema
 ``(actual, check, expected, layer, status, table)`` (all strings). The checks
 are joined with ``unionByName`` into one plan, so a whole quality run is one
-Spark job; only its 17 result rows ever reach the driver (at the gate).
+query (AQE runs its stages as a few small jobs); only its 17 result rows ever
+reach the driver (at the gate).
 """
 
 from __future__ import annotations
@@ -16,12 +17,25 @@ from pyspark.sql import types as T
 
 from traveltiers.sources.tables import resolve
 
-PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
+# ---------------------------------------------------------------------------
+# Audit-log columns, statuses, check names, expectations, formats,
+# and the tables and columns that are validated.
+# ---------------------------------------------------------------------------
 CHECK_COLUMNS = ["actual", "check", "expected", "layer", "status", "table"]
-CHECK_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CHECK_COLUMNS])
+PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
+RECORD_COUNT = "record_count"
+REFERENTIAL_INTEGRITY = "referential_integrity"
+DATA_FRESHNESS = "data_freshness"
+BUSINESS_RULE = "business_rule"
+EXPECT_ROWS = "> 0"
+EXPECT_NO_ORPHANS = "0 orphans"
+EXPECT_FRESH = "< 24 hours"
+EXPECT_NO_NEGATIVE_PRICES = "0 negative prices"
+EXPECT_VALID_RATES = "0 invalid rates"
 FRESHNESS_LIMIT_HOURS = 24.0
-
-# The tables and columns the reference validates.
+AGE_FORMAT = "%.1f hours"
+AGE_UNKNOWN = "inf hours"
+RATE_MIN, RATE_MAX = 0, 100
 LAYER_TABLES = [
     ("bronze_travel_purchases", "bronze"),
     ("bronze_user_features", "bronze"),
@@ -39,6 +53,11 @@ FRESHNESS_COLUMNS = [
     ("silver_travel_purchases", "_processed_at"),
     ("gold_daily_revenue_metrics", "_generated_at"),
 ]
+REFERENCES = [
+    ("user_id", "silver_users", "silver_travel_purchases -> silver_users"),
+    ("destination_id", "silver_destinations", "silver_travel_purchases -> silver_destinations"),
+]
+CHECK_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CHECK_COLUMNS])
 
 
 class DataQualityError(Exception):
@@ -67,11 +86,11 @@ def record_count_check(spark: SparkSession, table: str | DataFrame, name: str, l
     try:
         df = resolve(spark, table)
     except Exception as e:  # the table itself is missing or unreadable
-        return _literal_row(spark, check="record_count", table=name, layer=layer,
-                            expected="> 0", actual=str(e), status=FAIL)
+        return _literal_row(spark, check=RECORD_COUNT, table=name, layer=layer,
+                            expected=EXPECT_ROWS, actual=str(e), status=FAIL)
     n = F.col("_n")
     agg = df.agg(F.count(F.lit(1)).alias("_n"))
-    return _check_row(agg, "record_count", name, layer, "> 0", n,
+    return _check_row(agg, RECORD_COUNT, name, layer, EXPECT_ROWS, n,
                       F.when(n > 0, F.lit(PASS)).otherwise(F.lit(FAIL)))
 
 
@@ -93,7 +112,7 @@ def referential_integrity_check(fact: DataFrame, dim: DataFrame, key: str, label
     """PASS with 0 orphan keys, else WARN (never FAIL)."""
     agg = orphan_keys(fact, dim, key).agg(F.count(F.lit(1)).alias("_n"))
     n = F.col("_n")
-    return _check_row(agg, "referential_integrity", label, layer, "0 orphans", n,
+    return _check_row(agg, REFERENTIAL_INTEGRITY, label, layer, EXPECT_NO_ORPHANS, n,
                       F.when(n == 0, F.lit(PASS)).otherwise(F.lit(WARN)))
 
 
@@ -106,17 +125,18 @@ def freshness_check(df: DataFrame, name: str, ts_col: str, as_of: str | None = N
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     agg = df.agg(F.max(F.col(ts_col).cast("timestamp")).alias("_max"))
     age = (F.unix_micros(now) - F.unix_micros(F.col("_max"))) / F.lit(3.6e9)
-    actual = F.when(F.col("_max").isNull(), F.lit("inf hours")).otherwise(F.format_string("%.1f hours", age))
+    actual = F.when(F.col("_max").isNull(), F.lit(AGE_UNKNOWN)).otherwise(F.format_string(AGE_FORMAT, age))
     status = F.when(age < F.lit(limit_hours), F.lit(PASS)).otherwise(F.lit(WARN))
     layer = F.substring_index(F.lit(name), "_", 1)
-    return _check_row(agg, "data_freshness", name, layer, f"< {int(limit_hours)} hours", actual, status)
+    expected = EXPECT_FRESH if limit_hours == FRESHNESS_LIMIT_HOURS else f"< {limit_hours:g} hours"
+    return _check_row(agg, DATA_FRESHNESS, name, layer, expected, actual, status)
 
 
 def business_rule_check(df: DataFrame, name: str, layer: str, expected: str, violation: Column) -> DataFrame:
     """PASS when no row violates the rule, else FAIL."""
     agg = df.agg(F.count_if(violation).alias("_n"))
     n = F.col("_n")
-    return _check_row(agg, "business_rule", name, layer, expected, n,
+    return _check_row(agg, BUSINESS_RULE, name, layer, expected, n,
                       F.when(n == 0, F.lit(PASS)).otherwise(F.lit(FAIL)))
 
 
@@ -136,12 +156,9 @@ def record_count_checks(spark: SparkSession, tables: dict[str, str | DataFrame],
 
 def referential_integrity_checks(tables: dict[str, DataFrame]) -> DataFrame:
     fact = tables["silver_travel_purchases"]
-    return union_checks([
-        referential_integrity_check(fact, tables["silver_users"], "user_id",
-                                    "silver_travel_purchases -> silver_users"),
-        referential_integrity_check(fact, tables["silver_destinations"], "destination_id",
-                                    "silver_travel_purchases -> silver_destinations"),
-    ])
+    return union_checks(
+        referential_integrity_check(fact, tables[dim], key, label) for key, dim, label in REFERENCES
+    )
 
 
 def freshness_checks(spark: SparkSession, tables: dict[str, str | DataFrame], as_of: str | None = None,
@@ -152,8 +169,8 @@ def freshness_checks(spark: SparkSession, tables: dict[str, str | DataFrame], as
             df = resolve(spark, tables.get(name, name))
             rows.append(freshness_check(df, name, ts_col, as_of))
         except Exception as e:  # deliberate: a missing table is a FAIL row, not silently skipped
-            rows.append(_literal_row(spark, check="data_freshness", table=name,
-                                     layer=name.split("_")[0], expected="< 24 hours",
+            rows.append(_literal_row(spark, check=DATA_FRESHNESS, table=name,
+                                     layer=name.split("_")[0], expected=EXPECT_FRESH,
                                      actual=str(e), status=FAIL))
     return union_checks(rows)
 
@@ -163,10 +180,10 @@ def business_rule_checks(tables: dict[str, DataFrame]) -> DataFrame:
     daily = tables["gold_daily_revenue_metrics"]
     rate = F.col("conversion_rate_pct")
     return union_checks([
-        business_rule_check(silver, "silver_travel_purchases", "silver", "0 negative prices",
+        business_rule_check(silver, "silver_travel_purchases", "silver", EXPECT_NO_NEGATIVE_PRICES,
                             F.col("price_usd") < 0),
-        business_rule_check(daily, "gold_daily_revenue_metrics", "gold", "0 invalid rates",
-                            (rate < 0) | (rate > 100)),
+        business_rule_check(daily, "gold_daily_revenue_metrics", "gold", EXPECT_VALID_RATES,
+                            (rate < RATE_MIN) | (rate > RATE_MAX)),
     ])
 
 
