@@ -97,3 +97,11 @@ def test_overwrite_replaces_rows(spark):
     assert sink.write(spark.range(3), "t", properties={"layer": "y"}) == 3
     assert sink.read("t").count() == 3
     assert dict(sink.properties("t").collect())["layer"] == "y"
+
+
+def test_freshness_on_a_missing_table_is_a_fail_row(spark):
+    """Deliberate difference: the reference prints and skips it; here it is an audit row."""
+    rows = quality.freshness_checks(spark, {}, AS_OF,
+                                    columns=[("gold_daily_revenue_metrics", "_generated_at")]).collect()
+    assert len(rows) == 1 and rows[0].status == "FAIL" and rows[0].layer == "gold"
+    assert rows[0].check == "data_freshness" and rows[0].actual
