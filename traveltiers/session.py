@@ -79,6 +79,11 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
       128 MB per partition on that estimate, between 2x the cores and 30,000 (more
       reducers only multiplies shuffle blocks), and AQE coalesces small partitions
       and splits skewed ones at run time.
+    * Broadcasts only from measured sizes: planning-time broadcasts (which trust
+      size estimates that can be off by the parquet compression ratio) are off,
+      and AQE converts a join to a broadcast once a side's shuffle output is
+      known to be under 64 MB. Every dimension join here has both sides
+      aggregated (shuffled) anyway, so nothing is lost.
     """
     per_task = executor_memory_gb * 1024 * MB * 0.6 / max(1, cores_per_executor)
     split = int(min(256 * MB, per_task / 4))
@@ -92,6 +97,8 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
