@@ -56,3 +56,28 @@ def test_fixture_b_counts(L):
     assert L.gold_daily_revenue_metrics.count() == 2499
     assert L.gold_monthly_summary.count() == 83
     assert L.gold_daily_revenue_metrics.filter(F.col("click_to_purchase_rate_pct") > 100).count() == 259
+
+
+def test_results_do_not_depend_on_cluster_conf(spark, L):
+    """The production settings (no estimate-based broadcasts, other partitioning) give the same rows."""
+    from traveltiers.session import cluster_conf
+
+    tables = ["gold_daily_revenue_metrics", "gold_destination_performance", "gold_user_engagement",
+              "gold_monthly_summary"]
+    before = {t: getattr(L, t).collect() for t in tables}
+    conf = cluster_conf(50 * 2**30, 8)
+    conf["spark.sql.files.maxPartitionBytes"] = str(256 * 1024)  # many small splits on the test files
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fresh = Layers(fixture(spark, SF_MID, "B"))
+        for t in tables:
+            after = getattr(fresh, t).collect()
+            assert sorted(map(tuple, after), key=str) == sorted(map(tuple, before[t]), key=str), t
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
