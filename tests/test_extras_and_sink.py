@@ -71,3 +71,17 @@ def test_failed_write_keeps_previous_version(spark):
     assert sink.read("t").count() == 2 and sink.location("t") == second
     sink.write(spark.range(7), "t")  # the next run recovers into the other slot
     assert sink.read("t").count() == 7
+
+
+def test_engagement_latest_snapshot_option(spark):
+    from tests.conftest import SF_SMALL
+    from traveltiers.operators import gold
+    from traveltiers.plans.layers import Layers
+    from traveltiers.sources.fixtures import fixture
+
+    L = Layers(fixture(spark, SF_SMALL, "A"))
+    every = gold.gold_user_engagement(L.silver_users, L.silver_travel_purchases)
+    latest = gold.gold_user_engagement(L.silver_users, L.silver_travel_purchases, latest_snapshot_only=True)
+    n_users = L.silver_users.select("user_id").distinct().count()
+    assert latest.count() == n_users == 144 and every.count() == 151
+    assert latest.groupBy("user_id").count().filter("count > 1").count() == 0

@@ -165,8 +165,15 @@ def gold_destination_performance(
     )
 
 
-def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """users LEFT JOIN purchases grouped by 7 user columns; duplicate snapshots multiply counts."""
+def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | None = None,
+                         latest_snapshot_only: bool = False) -> DataFrame:
+    """users LEFT JOIN purchases grouped by 7 user columns; duplicate snapshots multiply counts.
+
+    ``latest_snapshot_only`` (extra, off by default) keeps each user's newest snapshot first.
+    """
+    if latest_snapshot_only:
+        from traveltiers.operators.silver import latest_user_snapshot
+        users = latest_user_snapshot(users)
     dim = dimension_groups(users, USER_KEYS)
     fact = fact_by_key(purchases.select(
         "user_id", "destination_id", "transaction_id", "clicked", "purchased",
