@@ -37,12 +37,16 @@ class TableSink:
         if self.root is None:
             self.root = scratch_path(self.spark, self.database)
         self.spark.sql(
-            f"CREATE SCHEMA IF NOT EXISTS `{self.database}` COMMENT {_quote(self.database_comment)} "
+            f"CREATE SCHEMA IF NOT EXISTS {self._schema()} COMMENT {_quote(self.database_comment)} "
             f"LOCATION {_quote(self.root)}"
         )
 
+    def _schema(self) -> str:
+        """The target schema, ``schema`` or ``catalog.schema``, quoted part by part."""
+        return ".".join(f"`{part}`" for part in self.database.split("."))
+
     def name(self, table: str) -> str:
-        return f"`{self.database}`.`{table}`"
+        return f"{self._schema()}.`{table}`"
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
