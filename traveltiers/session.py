@@ -14,6 +14,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -101,4 +102,5 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
