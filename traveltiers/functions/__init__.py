@@ -1,10 +1,10 @@
 """Reusable ``Column`` builders (rules, rates, money, hashing)."""
 
-from traveltiers.functions.rules import *  # noqa: F401,F403
 from traveltiers.functions.rules import (  # noqa: F401
     audit_ts,
     avg_cents,
     band,
+    cents,
     clean_coordinate,
     clean_latitude,
     clean_longitude,
@@ -16,7 +16,6 @@ from traveltiers.functions.rules import (  # noqa: F401
     frequency_segment,
     hemisphere,
     location_invalid,
-    cents,
     money_from_cents,
     normalize_name,
     pct,
