@@ -66,3 +66,16 @@ def test_first_fact_shuffle_is_keyed_by_pair(layers_b):
     p = plan(layers_b.gold_user_engagement)
     exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", p)
     assert any(e.startswith("user_id") and "destination_id" in e for e in exchanges), exchanges
+
+
+@pytest.mark.parametrize("table", ["silver_travel_purchases", "gold_daily_revenue_metrics",
+                                   "destination_metrics", "gold_user_engagement"])
+def test_operators_run_in_whole_stage_codegen(layers_b, table):
+    """After execution, every project/filter/aggregate/expand/join of the final AQE plan is codegen'd."""
+    df = getattr(layers_b, table)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    ops = [ln for ln in final.splitlines()
+           if any(k in ln for k in ("Project [", "HashAggregate(", "Filter ", "Expand [",
+                                    "BroadcastHashJoin", "SortMergeJoin"))]
+    assert ops and all("*(" in ln for ln in ops), [ln.strip()[:80] for ln in ops if "*(" not in ln]
