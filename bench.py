@@ -82,7 +82,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": str(max(8, CPUS * 2)),
             "spark.driver.memory": "16g",
-            "spark.eventLog.enabled": "true",
+            "spark.eventLog.enabled": os.environ.get("BENCH_EVENTLOG", "true"),
             "spark.eventLog.dir": log_dir,
             "spark.eventLog.compress": "false",
         },
