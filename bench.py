@@ -6,7 +6,7 @@ BENCH_RUNS (default 3; the median of the warm runs is reported).
 Every query runs from the parquet tables (fixture derivation, bronze, silver,
 gold) and is fully executed with the ``noop`` sink, so nothing is collected.
 The ``literal_*`` entries time the literal join-then-group forms for
-comparison with the eager-aggregation operators, and ``pipeline_end_to_end_b``
+comparison with the eager-aggregation operators, and ``all_layers_end_to_end_b``
 times ``run_pipeline`` (write and read back all ten tables, 17 checks, audit
 log); these extras are not in ``value``.
 """
@@ -116,7 +116,7 @@ def main() -> None:
     }
     sink_root = tempfile.mkdtemp(prefix="traveltiers-bench-tables-")
 
-    def pipeline():
+    def all_layers():
         """Writes all ten tables and the audit log (eager); the noop runner gets an empty frame."""
         sink = TableSink(spark, database="traveltiers_bench", root=sink_root)
         run_pipeline(spark, fixture(spark, SF_DIR, "B"), sink, run_ts=RUN_TS, as_of=AS_OF,
@@ -126,7 +126,7 @@ def main() -> None:
     extra = {
         "literal_destination_performance_b": literal("dest"),
         "literal_user_engagement_b": literal("user"),
-        "pipeline_end_to_end_b": pipeline,
+        "all_layers_end_to_end_b": all_layers,
     }
 
     only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
