@@ -58,7 +58,7 @@ def main() -> None:
          "with 16 rows per bucket; by default it runs above 1M destinations.",
          gold.gold_destination_performance(L.silver_destinations, L.silver_travel_purchases,
                                            rows_per_bucket=16, row_bound=None)),
-        ("quality checks (fixture A, lazily over all layers)", "17 one-row aggregates in one union plan.",
+        ("quality checks (fixture A, lazily over all layers)", "One aggregate per table (count, freshness and rules, unpivoted by Generate) plus the two orphan anti joins, in one union plan.",
          quality.quality_checks(spark, A.tables(), AS_OF)),
     ]
     out = ["# Physical plans", "",
