@@ -53,8 +53,8 @@ def main() -> None:
         ("gold_user_engagement", "Same pattern keyed by (user, destination).", L.gold_user_engagement),
         ("gold_monthly_summary", "LAG window over the aggregated months only.", L.gold_monthly_summary),
         ("gold_destination_performance, bucketed rank path", "Ranks from the checkpointed metric table: "
-         "value counts, quantile buckets (bounds are literals after one small job), broadcast offsets "
-         "(bounded by the bucket count), a running sum per bucket, and a null-safe join back. Forced here "
+         "value counts range-partitioned into ordered buckets (checkpointed, so bucket ids are fixed), "
+         "broadcast offsets (bounded by the bucket count), a running sum per bucket, and a null-safe join back. Forced here "
          "with 16 rows per bucket; by default it runs above 1M destinations.",
          gold.gold_destination_performance(L.silver_destinations, L.silver_travel_purchases,
                                            rows_per_bucket=16, row_bound=None)),

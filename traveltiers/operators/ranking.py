@@ -6,13 +6,16 @@ the metric value alone: ``rank(v) = 1 + #rows with metric > v``. So
 1. the row count decides the plan: up to ``rows_per_bucket`` rows the plain
    window runs in one task of proven size (a caller-supplied bound, such as
    the dimension's row count, avoids any extra pass); otherwise
-2. the input is checkpointed once (the metric table is read several times), and
+2. the input is checkpointed once (the metric table is read several times);
 3. value counts ``groupBy(metric).count()`` collapse hot values to one row
-   (map-side combine), approximate quantiles of the metric (a bounded list,
-   at most ``max_buckets``) cut the values into ordered buckets, per-bucket
-   totals (bounded by the bucket count) give each bucket an offset, and a
+   (map-side combine) and are range-partitioned on the metric into ordered
+   buckets by Spark's own sampled range partitioner (binary search per row;
+   equal values always share a bucket). The bucketed counts are checkpointed,
+   so every later read sees the same bucket assignment even after a lost
+   executor forces a recomputation;
+4. per-bucket totals (one row per bucket) give each bucket an offset, and a
    running sum inside each bucket counts the rows above each value;
-4. the rank of each distinct value is joined back on the metric
+5. the rank of each distinct value is joined back on the metric
    (null-safe); AQE broadcasts it when small and splits a hot value's
    partition when it is skewed.
 """
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traveltiers.session import reliable_checkpoint
@@ -31,29 +34,19 @@ MAX_BUCKETS = 4096
 
 
 def rank_window(df: DataFrame, metric: str, out: str) -> DataFrame:
-    """Single-task reference form (only for inputs of checked size)."""
+    """Single-task form (only for inputs of checked size)."""
     w = Window.orderBy(F.desc_nulls_last(metric))
     return df.withColumn(out, F.rank().over(w).cast("bigint"))
 
 
-def _bucket_of(value: Column, bounds: list[float]) -> Column:
-    """Bucket 0 holds the largest values; NULL goes after every bucket."""
-    if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        v = value.cast("double")
-        nonnull = F.size(F.filter(arr, lambda q: q > v))
-    else:
-        nonnull = F.lit(0)
-    return F.when(value.isNull(), F.lit(len(bounds) + 1)).otherwise(nonnull)
-
-
-def _rank_table(df: DataFrame, metric: str, out: str, key: str, bounds: list[float]) -> DataFrame:
+def _rank_table(df: DataFrame, metric: str, out: str, key: str, buckets: int) -> DataFrame:
     """``(key, out)``: the rank of each distinct metric value."""
     vc = df.groupBy(F.col(metric).alias(key)).agg(F.count(F.lit(1)).alias("_c"))
-    vc = vc.withColumn("_b", _bucket_of(F.col(key), bounds))
+    vc = vc.repartitionByRange(buckets, F.desc_nulls_last(key)).withColumn("_b", F.spark_partition_id())
+    vc = reliable_checkpoint(vc)
     totals = vc.groupBy("_b").agg(F.sum("_c").alias("_bc"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # At most len(bounds) + 2 rows: a proven bound for the window and the broadcast.
+    # One row per bucket (at most ``buckets``): a proven bound for the window and the broadcast.
     offsets = totals.select("_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
     vc = vc.join(F.broadcast(offsets), "_b")
     above = Window.partitionBy("_b").orderBy(F.desc_nulls_last(key)).rowsBetween(Window.unboundedPreceding, -1)
@@ -90,17 +83,10 @@ def rank_desc(
         for out, metric in metrics.items():
             df = rank_window(df, metric, out)
         return df
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 10 * buckets)
-    row = df.agg(
-        *[F.percentile_approx(F.col(m).cast("double"), probs, accuracy).alias(o) for o, m in metrics.items()]
-    ).first()
     # Every rank table is built from the checkpointed input, then all are joined back.
     result = df
     for out, metric in metrics.items():
-        raw = row[out] or []
-        bounds = sorted({float(b) for b in raw if b is not None and not math.isnan(b)})
         key = f"_rank_key_{out}"
-        table = _rank_table(df, metric, out, key, bounds)
+        table = _rank_table(df, metric, out, key, buckets)
         result = result.join(table, result[metric].eqNullSafe(table[key]), "left").drop(key)
     return result
