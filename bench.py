@@ -1,6 +1,6 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_PARTITIONS (default = cores),
 BENCH_RUNS (default 3; the median of the warm runs is reported).
 
 Every query runs from the parquet tables (fixture derivation, bronze, silver,
@@ -80,7 +80,7 @@ def main() -> None:
         f"local[{CPUS}]",
         app="traveltiers-bench",
         **{
-            "spark.sql.shuffle.partitions": str(max(8, CPUS * 2)),
+            "spark.sql.shuffle.partitions": os.environ.get("BENCH_PARTITIONS", str(max(4, CPUS))),
             "spark.driver.memory": "16g",
             "spark.eventLog.enabled": os.environ.get("BENCH_EVENTLOG", "true"),
             "spark.eventLog.dir": log_dir,
