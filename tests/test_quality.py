@@ -72,6 +72,10 @@ def test_pipeline_end_to_end_and_gate_after_audit_write(spark):
     assert res.rows_written["silver_travel_purchases"] == 991
     assert res.rows_written["gold_daily_revenue_metrics"] == 30
     assert res.rows_written["gold_user_engagement"] == 151
+    # The figures reported after the writes (FIXTURES.md, fixture A at sf0.001).
+    assert res.report["silver_travel_purchases"]["invalid_prices"] == 5
+    assert res.report["gold_daily_revenue_metrics"]["total_revenue_cents"] == 4136776
+    assert res.report["gold_user_engagement"]["platinum_users"] == 2
     assert sink.read("dq_audit_log").count() == 17
     props = dict(sink.properties("gold_monthly_summary").collect())
     assert props["layer"] == "gold" and props["refresh_frequency"] == "monthly"

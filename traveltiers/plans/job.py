@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     except DataQualityError as e:
         print(json.dumps({"status": "FAIL", "error": str(e), "rows_written": sink.written}))
         return 1
-    print(json.dumps({"status": result.status, "rows_written": result.rows_written}))
+    print(json.dumps({"status": result.status, "rows_written": result.rows_written, "report": result.report},
+                     default=str))
     return 0
 
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from traveltiers.operators import bronze, gold, quality, silver
 from traveltiers.sources.fixtures import Sources
@@ -93,6 +94,18 @@ class PipelineResult:
     rows_written: dict[str, int]
     audit: list
     status: str
+    report: dict[str, dict]
+
+
+def report_metrics() -> dict[str, dict[str, Column]]:
+    """Figures reported after each write, observed during the write itself."""
+    return {
+        "silver_travel_purchases": {"invalid_prices": F.count_if(F.col("_price_invalid"))},
+        # Exact: summed as cents (the per-day values are already rounded to cents).
+        "gold_daily_revenue_metrics": {
+            "total_revenue_cents": F.sum(F.round(F.col("total_revenue_usd") * 100).cast("bigint"))},
+        "gold_user_engagement": {"platinum_users": F.count_if(F.col("customer_tier") == "platinum")},
+    }
 
 
 def _write(sink: TableSink, df: DataFrame, table: str, source_schema: str | None = None, **kw) -> DataFrame:
@@ -101,7 +114,7 @@ def _write(sink: TableSink, df: DataFrame, table: str, source_schema: str | None
     if source_schema and props.get("layer") == "bronze":
         props["source_system"] = source_schema
     sink.write(df, table, comment=meta.get("comment"), properties=props,
-               column_comments=meta.get("columns"), **kw)
+               column_comments=meta.get("columns"), observe=report_metrics().get(table), **kw)
     return sink.read(table)
 
 
@@ -146,7 +159,11 @@ def run_pipeline(
     audit_rows = quality.quality_checks(spark, t, as_of).collect()  # 17 rows
     _write(sink, spark.createDataFrame(audit_rows, quality.CHECK_SCHEMA), "dq_audit_log")
     failed = any(r["status"] == quality.FAIL for r in audit_rows)
-    result = PipelineResult(dict(sink.written), audit_rows, quality.FAIL if failed else quality.PASS)
+    report = {table: dict(sink.observed.get(table, {})) for table in sink.written}
+    daily = report.get("gold_daily_revenue_metrics", {})
+    if daily.get("total_revenue_cents") is not None:
+        daily["total_revenue_usd"] = daily["total_revenue_cents"] / 100
+    result = PipelineResult(dict(sink.written), audit_rows, quality.FAIL if failed else quality.PASS, report)
     if raise_on_failure:
         quality.gate(audit_rows)
     return result

@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from traveltiers.session import scratch_path
@@ -32,6 +32,7 @@ class TableSink:
     root: str | None = None
     database_comment: str = "Tiered travel analytics: raw, cleaned and aggregated tables with quality checks"
     written: dict[str, int] = field(default_factory=dict)
+    observed: dict[str, dict] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.root is None:
@@ -59,13 +60,19 @@ class TableSink:
         properties: dict[str, str] | None = None,
         column_comments: dict[str, str] | None = None,
         partition_by: list[str] | None = None,
+        observe: dict[str, Column] | None = None,
     ) -> int:
-        """Overwrite ``table`` with ``df``; returns the number of rows written."""
+        """Overwrite ``table`` with ``df``; returns the number of rows written.
+
+        ``observe`` adds named aggregate metrics computed during the same write
+        (no second scan); they are kept in ``self.observed[table]``.
+        """
         for c, text in (column_comments or {}).items():
             if c in df.columns:
                 df = df.withMetadata(c, {"comment": text})
         obs = Observation(f"rows_{table}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        extra = [c.alias(n) for n, c in (observe or {}).items()]
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
         current = self.location(table)
         slot = "slot_b" if current and current.rstrip("/").endswith("slot_a") else "slot_a"
         staging = f"{table}__next"
@@ -82,8 +89,10 @@ class TableSink:
         if properties:
             props = ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in properties.items())
             self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ({props})")
-        rows = int(obs.get["rows"])
+        metrics = obs.get
+        rows = int(metrics["rows"])
         self.written[table] = rows
+        self.observed[table] = dict(metrics)
         return rows
 
     def location(self, table: str) -> str | None:
