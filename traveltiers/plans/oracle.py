@@ -4,7 +4,10 @@ The SQL follows the *literal* form of each table (dimension LEFT JOIN fact,
 then GROUP BY; RANK/LAG windows; COUNT(DISTINCT)), so it also checks the
 eager-aggregation and distributed-rank rewrites of the Spark side. Output
 types are pinned the same way on both sides: integers BIGINT, money and
-rates DOUBLE (money summed as DECIMAL(18,2), rounding half-up from integers).
+rates DOUBLE (money summed as DECIMAL(18,2), rounding half-up from integers),
+and calendar dates as midnight TIMESTAMPs (a DATE reaches Python as ``date``
+from one engine and as a pandas ``Timestamp`` from the other; a timestamp
+converts the same way through every path).
 """
 
 from __future__ import annotations
@@ -47,7 +50,7 @@ SELECT event_id AS id, ts,
   NULLIF(CAST(json_extract_string(props, '$.k') AS BIGINT), 99) AS destination_id,
   CASE WHEN event_type = 'error' THEN NULL ELSE event_type IN ('click', 'purchase') END AS clicked,
   CASE WHEN event_type = 'error' THEN NULL ELSE event_type = 'purchase' END AS purchased,
-  CAST(ts AS DATE) AS booking_date,
+  CAST(CAST(ts AS DATE) AS TIMESTAMP) AS booking_date,
   CASE WHEN event_id % 501 = 0 THEN NULL WHEN event_id % 251 = 0 THEN -value
        WHEN event_id % 997 = 0 THEN CAST(60000.0 AS DOUBLE) ELSE value * 4 END AS price,
   CASE WHEN event_id % 307 = 0 THEN NULL ELSE {_lat('user_id', 37, 181, 90)} END AS user_latitude,
@@ -57,7 +60,7 @@ FROM events"""
 SRC_PURCHASE_B = f"""
 SELECT l_orderkey * 8 + l_linenumber AS id, l_shipdate AS ts, o_custkey AS user_id,
   l_suppkey AS destination_id, l_linestatus = 'F' AS clicked, l_returnflag = 'R' AS purchased,
-  CAST(o_orderdate AS DATE) AS booking_date, l_extendedprice AS price,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS booking_date, l_extendedprice AS price,
   {_lat('o_custkey', 37, 181, 90)} AS user_latitude, {_lon('o_custkey', 53, 361, 180)} AS user_longitude
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
@@ -154,7 +157,7 @@ def _m(tmpl: str, p: str = "", **kw) -> str:
 
 
 GOLD_DAILY = f"""
-SELECT CAST(transaction_timestamp AS DATE) AS report_date, transaction_year, transaction_month, day_type,
+SELECT CAST(CAST(transaction_timestamp AS DATE) AS TIMESTAMP) AS report_date, transaction_year, transaction_month, day_type,
   COUNT(*) AS total_transactions,
   {_m(CNT, c='clicked')} AS total_clicks,
   {_m(CNT, c='purchased')} AS total_purchases,
@@ -168,7 +171,7 @@ SELECT CAST(transaction_timestamp AS DATE) AS report_date, transaction_year, tra
   COUNT(DISTINCT destination_id) AS unique_destinations,
   {RUN_TS} AS _generated_at
 FROM silver_p
-GROUP BY CAST(transaction_timestamp AS DATE), transaction_year, transaction_month, day_type"""
+GROUP BY CAST(CAST(transaction_timestamp AS DATE) AS TIMESTAMP), transaction_year, transaction_month, day_type"""
 
 GOLD_DEST = f"""
 SELECT d.destination_id, d.destination_name, d.latitude, d.longitude, d.hemisphere,

@@ -3,7 +3,8 @@
 Every query reads the driver's tables through a fixture (A: ``events``;
 B: ``lineitem`` x ``orders``; both with ``customer`` and ``supplier``) and runs
 over the whole input. Outputs are normalised for comparison: integers as
-BIGINT, decimals as DOUBLE, audit timestamps as TIMESTAMP_NTZ in UTC.
+BIGINT, decimals as DOUBLE, audit timestamps as TIMESTAMP_NTZ in UTC, dates as
+midnight TIMESTAMP_NTZ.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ def normalize(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(t, T.TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(t, T.DateType):
+            c = c.cast("timestamp_ntz")  # midnight; converts identically through collect and pandas
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
