@@ -96,6 +96,8 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        # Coalesce to the advisory size rather than to the core count (large, busy clusters).
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
