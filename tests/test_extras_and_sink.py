@@ -85,3 +85,19 @@ def test_engagement_latest_snapshot_option(spark):
     n_users = L.silver_users.select("user_id").distinct().count()
     assert latest.count() == n_users == 144 and every.count() == 151
     assert latest.groupBy("user_id").count().filter("count > 1").count() == 0
+
+
+def test_spread_only_touches_unsplit_scans(spark):
+    from traveltiers.sources.tables import spread
+    one = spark.range(0, 1000, 1, 1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 1000, 1, 6)
+    assert spread(many, 4) is many  # already parallel: returned unchanged, no shuffle
+
+
+def test_checkpoint_dir_is_the_configured_shared_folder(spark):
+    d = checkpoint_dir(spark)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        assert configured.rstrip("/").split("/")[-1] in d
+    assert spark.sparkContext.getCheckpointDir() == d
