@@ -180,3 +180,15 @@ def test_silver_filters_keys_and_flags(spark):
     r1, r4 = sorted(s, key=lambda r: r.transaction_id)
     assert r1.clicked is False and r1.purchased is False and r1.price_usd == 0.0 and not r1._price_invalid
     assert r4.price_usd is None and r4._price_invalid and r4._location_invalid and r4.day_type == "weekend"
+
+
+def test_shared_pairs_give_the_same_tables(spark):
+    L = Layers(fixture(spark, SF_MID, "B"))
+    fact = L.silver_travel_purchases
+    pairs = gold.purchase_pairs(fact)
+    a = gold.gold_destination_performance(L.silver_destinations, fact, L.run_ts, pairs=pairs)
+    b = L.gold_destination_performance
+    assert _compare(a, b, b.columns)[:2] == (0, 0)
+    a = gold.gold_user_engagement(L.silver_users, fact, L.run_ts, pairs=pairs)
+    b = L.gold_user_engagement
+    assert _compare(a, b, b.columns)[:2] == (0, 0)

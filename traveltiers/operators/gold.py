@@ -42,21 +42,35 @@ def _purchase_measures() -> dict[str, Column]:
     }
 
 
-def fact_by_key(purchases: DataFrame, key: str, other: str) -> DataFrame:
+def purchase_pairs(purchases: DataFrame) -> DataFrame:
+    """Partial aggregates per ``(user_id, destination_id)`` pair: the first level shared by the
+    destination and the user tables (compute it once and pass it as ``pairs`` to both)."""
+    m = _purchase_measures()
+    return purchases.groupBy("user_id", "destination_id").agg(
+        *[e.alias(n) for n, e in m.items()],
+        F.min("transaction_timestamp").alias("_first"),
+        F.max("transaction_timestamp").alias("_last"),
+        F.bool_or(F.col("purchased")).alias("_any_purchased"),
+    )
+
+
+def fact_by_key(purchases: DataFrame, key: str, other: str, pairs: DataFrame | None = None) -> DataFrame:
     """One row per ``key`` with counts, money, first/last timestamps and exact
     distinct counts of ``other`` (all, and among purchases).
 
     Two hash aggregations instead of ``countDistinct``: the first groups by
     ``(key, other)``, so a hot ``key`` is spread over many reducers, and the
     second re-aggregates one row per pair. No ``Expand`` triples the rows.
+    ``pairs`` (from ``purchase_pairs``) replaces the first level when given.
     """
     m = _purchase_measures()
-    pairs = purchases.groupBy(key, other).agg(
-        *[e.alias(n) for n, e in m.items()],
-        F.min("transaction_timestamp").alias("_first"),
-        F.max("transaction_timestamp").alias("_last"),
-        F.bool_or(F.col("purchased")).alias("_any_purchased"),
-    )
+    if pairs is None:
+        pairs = purchases.groupBy(key, other).agg(
+            *[e.alias(n) for n, e in m.items()],
+            F.min("transaction_timestamp").alias("_first"),
+            F.max("transaction_timestamp").alias("_last"),
+            F.bool_or(F.col("purchased")).alias("_any_purchased"),
+        )
     return pairs.groupBy(key).agg(
         *[F.sum(n).alias(n) for n in m],
         F.min("_first").alias("_first"),
@@ -111,7 +125,7 @@ def gold_daily_revenue_metrics(purchases: DataFrame, run_ts: str | None = None)
     )
 
 
-def destination_metrics(destinations: DataFrame, purchases: DataFrame) -> DataFrame:
+def destination_metrics(destinations: DataFrame, purchases: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """destinations LEFT JOIN purchases grouped by the 5 destination columns (no ranks yet).
 
     ``_revenue_cents`` keeps the exact revenue the revenue rank orders by.
@@ -119,7 +133,7 @@ def destination_metrics(destinations: DataFrame, purchases: DataFrame) -> DataFr
     dim = dimension_groups(destinations, DESTINATION_KEYS)
     fact = fact_by_key(purchases.select(
         "destination_id", "user_id", "transaction_id", "clicked", "purchased",
-        "price_usd", "transaction_timestamp"), "destination_id", "user_id")
+        "price_usd", "transaction_timestamp"), "destination_id", "user_id", pairs)
     j = dim.join(fact, "destination_id", "left")
     matched = F.col("_n").isNotNull()
     m = F.col("_m")
@@ -148,10 +162,11 @@ def gold_destination_performance(
     destinations: DataFrame,
     purchases: DataFrame,
     run_ts: str | None = None,
+    pairs: DataFrame | None = None,
     **rank_options,
 ) -> DataFrame:
     """Destination metrics plus ``booking_rank`` and ``revenue_rank`` (RANK, DESC, NULLS LAST)."""
-    metrics = destination_metrics(destinations, purchases)
+    metrics = destination_metrics(destinations, purchases, pairs)
     if "row_bound" not in rank_options:
         # One output row per destination group: the dimension's row count bounds it (a dimension-only scan).
         rank_options = {**rank_options, "row_bound": destinations.count()}
@@ -166,7 +181,7 @@ def gold_destination_performance(
 
 
 def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | None = None,
-                         latest_snapshot_only: bool = False) -> DataFrame:
+                         latest_snapshot_only: bool = False, pairs: DataFrame | None = None) -> DataFrame:
     """users LEFT JOIN purchases grouped by 7 user columns; duplicate snapshots multiply counts.
 
     ``latest_snapshot_only`` (extra, off by default) keeps each user's newest snapshot first.
@@ -177,7 +192,7 @@ def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | N
     dim = dimension_groups(users, USER_KEYS)
     fact = fact_by_key(purchases.select(
         "user_id", "destination_id", "transaction_id", "clicked", "purchased",
-        "price_usd", "transaction_timestamp"), "user_id", "destination_id")
+        "price_usd", "transaction_timestamp"), "user_id", "destination_id", pairs)
     j = dim.join(fact, "user_id", "left")
     matched = F.col("_n").isNotNull()
     m = F.col("_m")

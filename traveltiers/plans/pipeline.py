@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traveltiers.operators import bronze, gold, quality, silver
+from traveltiers.session import reliable_checkpoint
 from traveltiers.sources.fixtures import Sources
 from traveltiers.sources.sink import TableSink
 
@@ -149,11 +150,14 @@ def run_pipeline(
     fact = t["silver_travel_purchases"]
     t["gold_daily_revenue_metrics"] = _write(
         sink, gold.gold_daily_revenue_metrics(fact, run_ts), "gold_daily_revenue_metrics")
+    # The (user, destination) first level is shared by the next two tables: one scan and one
+    # shuffle of the fact, checkpointed into the shared folder, instead of one per table.
+    pairs = reliable_checkpoint(gold.purchase_pairs(fact))
     t["gold_destination_performance"] = _write(
-        sink, gold.gold_destination_performance(t["silver_destinations"], fact, run_ts),
+        sink, gold.gold_destination_performance(t["silver_destinations"], fact, run_ts, pairs=pairs),
         "gold_destination_performance")
     t["gold_user_engagement"] = _write(
-        sink, gold.gold_user_engagement(t["silver_users"], fact, run_ts), "gold_user_engagement")
+        sink, gold.gold_user_engagement(t["silver_users"], fact, run_ts, pairs=pairs), "gold_user_engagement")
     t["gold_monthly_summary"] = _write(sink, gold.gold_monthly_summary(fact, run_ts), "gold_monthly_summary")
 
     audit_rows = quality.quality_checks(spark, t, as_of).collect()  # 17 rows
