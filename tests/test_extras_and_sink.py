@@ -90,9 +90,9 @@ def test_engagement_latest_snapshot_option(spark):
 def test_spread_only_touches_unsplit_scans(spark):
     from traveltiers.sources.tables import spread
     one = spark.range(0, 1000, 1, 1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
+    assert spread(one, "id", 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 1000, 1, 6)
-    assert spread(many, 4) is many  # already parallel: returned unchanged, no shuffle
+    assert spread(many, "id", 4) is many  # already parallel: returned unchanged, no shuffle
 
 
 def test_checkpoint_dir_is_the_configured_shared_folder(spark):

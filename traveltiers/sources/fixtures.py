@@ -57,7 +57,7 @@ def _null_when(cond: Column, value: Column, dtype: str) -> Column:
 
 def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule-coverage purchases from ``events``."""
-    e = spread(read_table(spark, sf_dir, "events", EVENTS_SCHEMA))
+    e = spread(read_table(spark, sf_dir, "events", EVENTS_SCHEMA), "event_id")
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     is_error = F.col("event_type") == F.lit("error")
@@ -83,7 +83,7 @@ def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def travel_purchase_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume purchases from ``lineitem`` joined with ``orders`` (many months)."""
-    li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_SCHEMA))
+    li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_SCHEMA), "l_orderkey")
     o = read_table(spark, sf_dir, "orders", ORDERS_SCHEMA)
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
