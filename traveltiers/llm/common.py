@@ -11,6 +11,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -59,6 +60,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Arrow batches of so many (narrow) rows for the actions inside."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(limit, before)
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     """The Arrow form of a schema in DDL; made on the driver."""
     from pyspark.sql import types as T

@@ -1,6 +1,7 @@
 """Operator 10: n-gram Jaccard join, size-aware, heavy-light, with connected components.
 
-A document's set is its distinct 5-word shingles (A-Z lower-cased), as 64-bit hashes. Two
+A document's set is its distinct 5-word shingles (A-Z lower-cased), as 48-bit hashes (two of the
+thousand or so shingles of a pair collide in one of some 10**8 pairs). Two
 sets link when 100 * |both| >= 80 * |either|. The steps:
 
 1. Equal sets are one class (by a 128-bit signature); classes, not documents, are joined.
@@ -8,12 +9,12 @@ sets link when 100 * |both| >= 80 * |either|. The steps:
    ones form the heavy table (a bounded broadcast; it only orders shingles, so it changes
    cost and never results). All sets order their shingles alike: light ones first, by hash,
    then heavy ones by rising count.
-3. Linked sets of size a <= b share at least ceil(0.8 b) shingles, so they share one among
-   the first floor(0.2 n) + 1 of each, and two among the first floor(0.2 n) + 2. Small
-   sets enumerate all subsets of SUBSET = 2 shingles of the latter; large sets scan the
-   inverted lists of the former, in which small sets near the border are listed too. The border is
-   the size with the least cost: subsets written for small sets against postings times the
-   mean length of the lists that they scan.
+3. Linked sets of size a <= b share at least ceil(0.8 b) shingles, so they share at least
+   SUBSET of the first floor(0.2 n) + SUBSET of each (unequal sets that link share four at
+   least). Small sets enumerate all subsets of SUBSET shingles of that prefix; large sets scan the
+   inverted lists of its single shingles, in which small sets near the border are listed too, and
+   a pair must meet in SUBSET lists. The border is the size with the least cost: subsets
+   written for small sets against postings times the length of the lists that they scan.
 4. Within a list every class is held against the list's first class (a star, linear in the
    list). Classes that this doesn't bring together are then paired with all others of the
    list that are in another component, so no link between components is missed and a list
@@ -29,25 +30,33 @@ no component (null). Rows repeat as in the input; an empty table gives an empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from hashlib import blake2b
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from traveltiers.llm.common import cut, map_batches, table, words
+from traveltiers.llm.common import batch_rows, cut, map_batches, table, words
 
 WIDTH, PERCENT = 5, 80
-SUBSET = 2
+SUBSET = 3
 HEAVY_TABLE = 1 << 18
 #: Shingles that a task holds while it looks for repeated ones.
 HEAVY_HOLD = 1 << 21
 #: Entries from which a list is dealt over salts, one for so many.
 LONG_LIST = 5_000
 _LOWER = {i: i + 32 for i in range(65, 91)}
+BYTES = 6
+_KEEP = np.uint64((1 << 8 * BYTES) - 1)
+#: Bits of the map of signatures whose sets are needed again; it only spares work.
+WANTED_BITS = 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,7 +74,7 @@ _hashes = Hashes()
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """The set of a text: sorted distinct 64-bit hashes."""
+    """The set of a text: sorted distinct hashes."""
     ws = words(text.translate(_LOWER) if text and not text.isascii() else text.lower() if text else text)
     if not ws:
         return np.zeros(0, np.uint64)
@@ -74,11 +83,22 @@ def shingles(text: str | None) -> np.ndarray:
         x = np.full(1, len(ws), np.uint64)
         for v in h:
             x = mixed(x + v)
-        return x
+        return x & _KEEP
     x = np.zeros(len(h) - WIDTH + 1, np.uint64)
     for k in range(WIDTH):
         x = mixed(x + h[k:len(h) - WIDTH + 1 + k])
-    return np.unique(x)
+    return np.unique(x & _KEEP)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Hashes as BYTES bytes each."""
+    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // BYTES, 8), np.uint8)
+    out[:, :BYTES] = np.frombuffer(data, np.uint8).reshape(-1, BYTES)
+    return out.view("<u8").ravel()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -91,8 +111,8 @@ def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
 
     def run(cols: dict) -> dict:
-        data = [shingles(t).tobytes() for t in cols["t"]]
-        return {"id": cols["id"], "sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // 8 for d in data], "shingles": data}
+        data = [packed(shingles(t)) for t in cols["t"]]
+        return {"id": cols["id"], "sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // BYTES for d in data], "shingles": data}
 
     return map_batches(named, run, "id long, sig binary, n int, shingles binary")
 
@@ -112,7 +132,7 @@ def heavy_table(spark: SparkSession, staged: DataFrame) -> tuple[np.ndarray, np.
         for b in batches:
             for sig, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if sig not in held:
-                    held[sig] = np.frombuffer(data, np.uint64)
+                    held[sig] = unpacked(data)
                     size += len(held[sig])
                 if size >= HEAVY_HOLD:
                     yield flush()
@@ -141,14 +161,20 @@ def border(sizes: dict[int, int], scan: float) -> int:
         for n, times in sizes.items():
             prefix = n - least_shared(n) + 1
             if n <= x:
-                cost += times * prefix * (prefix + 1) / 2
+                cost += times * comb(prefix + SUBSET - 1, SUBSET)
             if n > x or 100 * n >= PERCENT * (x + 1):
-                cost += times * prefix * scan
+                cost += times * (prefix + SUBSET - 1) * scan
         if best is None or cost < best:
             best, at = cost, x
     return at
 
 
+@cache
+def subsets(size: int) -> np.ndarray:
+    """Indices of all subsets of SUBSET of so many."""
+    return np.array(list(combinations(range(size), SUBSET)), np.int64).reshape(-1, SUBSET)
+
+
 def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
     """The lists' entries: key (of one shingle, or of a subset), salt, sig, n. The lists of very frequent shingles are dealt over salts."""
 
@@ -157,22 +183,24 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
         for b in batches:
             keys, salts, sigs, ns = [], [], [], []
             for sig, n, data in zip(*(b.column(i).to_pylist() for i in range(3))):
-                s = np.frombuffer(data, np.uint64)
+                s = unpacked(data)
                 seen = np.zeros(n, np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     seen = np.where(known[at] == s, counts[at], 0)
                     order = np.argsort(seen, kind="stable")
                     s, seen = s[order], seen[order]
-                prefix = n - least_shared(n) + 1
+                prefix = n - least_shared(n) + SUBSET
                 own, deal = [], []
-                if 1 < n <= small:
-                    first, often = s[:prefix + 1], seen[:prefix + 1]
-                    i, j = np.triu_indices(len(first), 1)
-                    own.append(mixed(mixed(np.minimum(first[i], first[j])) + np.maximum(first[i], first[j])))
-                    deal.append(np.minimum(often[i], often[j]))
+                if SUBSET <= n <= small:
+                    at = subsets(min(n, prefix))
+                    key = np.zeros(len(at), np.uint64)
+                    for h in np.sort(s[at], axis=1).T:
+                        key = mixed(key + h)
+                    own.append(key | np.uint64(1))  # an odd key is a subset's
+                    deal.append(seen[at].min(axis=1))
                 if n > small or 100 * n >= PERCENT * (small + 1):
-                    own.append(s[:prefix])
+                    own.append(s[:prefix] << np.uint64(1))
                     deal.append(seen[:prefix])
                 if own:
                     parts = np.concatenate(deal) // LONG_LIST  # 0: not dealt
@@ -189,13 +217,23 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
 def shared_lists(entries: DataFrame) -> DataFrame:
     """Lists with two classes or more: key, sig, n, head (the list's least class), hn. One shuffle; a task streams over its sorted lists."""
     names = ["key", "salt", "sig", "n", "head", "hn"]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = head = last = None
         hn, shown = 0, False
         for b in batches:
+            key, salt = b.column(0).to_numpy(), b.column(1).to_numpy()
+            start, fresh = np.ones(len(key), bool), np.ones(len(key), bool)
+            start[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
+            sig = b.column(2)
+            fresh[1:] = start[1:] | pc.not_equal(sig.slice(1), sig.slice(0, len(sig) - 1)).to_numpy(zero_copy_only=False)
+            group = np.cumsum(start) - 1
+            several = np.bincount(group, fresh) > 1
+            several[[0, -1]] = True  # they may go on in another batch
+            chosen = b.take(pa.array(np.flatnonzero(fresh & (several[group] | (salt > 0)))))
             out = []
-            for key, salt, sig, n in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for key, salt, sig, n in zip(*(chosen.column(i).to_pylist() for i in range(4))):
                 if (key, salt) != now:
                     now, head, hn, last, shown = (key, salt), sig, n, sig, salt > 0
                     if salt:  # a dealt list: its head is found over all salts
@@ -207,16 +245,37 @@ def shared_lists(entries: DataFrame) -> DataFrame:
                         out.append((key, salt, head, hn, head, hn))
                     out.append((key, salt, sig, n, None if salt else head, hn))
             cols = list(zip(*out)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
     found = entries.repartition("key", "salt").sortWithinPartitions("key", "salt", "sig").mapInArrow(run, "key long, salt int, sig binary, n int, head binary, hn int")
-    found = found.persist(StorageLevel.DISK_ONLY)
+    with batch_rows(entries.sparkSession, 16_384):
+        found = found.persist(StorageLevel.DISK_ONLY)
+        found.count()
     dealt = found.filter("salt > 0").select("key", "sig", "n")
     heads = dealt.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("h"), F.count("*").alias("c")).filter("c > 1")
     dealt = dealt.join(heads, "key").select("key", "sig", "n", F.col("h.sig").alias("head"), F.col("h.n").alias("hn"))
     return found.filter("salt = 0").select("key", "sig", "n", "head", "hn").unionByName(dealt)
 
 
+def wanted_bodies(staged: DataFrame, pairs: DataFrame) -> DataFrame:
+    """sig and shingles of the classes in the pairs (and of a few more), one row each.
+
+    A map of the signatures' first bits drops the other sets where they lie; it has 2**WANTED_BITS bits at any size of the corpus.
+    """
+    at = F.conv(F.substring(F.hex("sig"), 1, WANTED_BITS // 4), 16, 10).cast("long")
+    got = pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(at.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v")).toPandas()
+    words = np.zeros(1 << (WANTED_BITS - 6), np.int64)
+    words[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64)
+    bits = staged.sparkSession.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = np.array([int.from_bytes(s[:WANTED_BITS // 8], "big") for s in b.column(0).to_pylist()], np.int64)
+            yield b.take(pa.array(np.flatnonzero(bits.value[p])))
+
+    return cut(staged.filter("n > 0").select("sig", "shingles").mapInArrow(run, "sig binary, shingles binary").dropDuplicates(["sig"]))
+
+
 def fits(a: str, b: str):
     """Whether two sizes allow a link."""
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
@@ -230,7 +289,7 @@ def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     def run(cols: dict) -> dict:
         ok = []
         for x, y in zip(cols["sa"], cols["sb"]):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            p, q = unpacked(x), unpacked(y)
             both = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
             ok.append(100 * both >= PERCENT * (len(p) + len(q) - both))
         return {"a": cols["a"], "b": cols["b"], "ok": ok}
@@ -274,25 +333,26 @@ def joined(docs: DataFrame, text: str, key: str) -> DataFrame:
     known, counts = heavy_table(spark, staged)
     heavy = spark.sparkContext.broadcast((known, counts))
     sizes = {r["n"]: r["c"] for r in classes.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("c")).collect()}
-    scan = 2.0 + float((counts.astype(float) ** 2).sum()) / max(1, sum(n * c for n, c in sizes.items()))
+    # Prefixes avoid the heavy table, so a list that is scanned is no longer than the table's last count, once the table is full.
+    scan = 1.0 + (float(counts.min()) if len(counts) == HEAVY_TABLE else 1.0)
     lists = shared_lists(postings(staged, heavy, border(sizes, scan)))
-    bodies = cut(staged.join(lists.select("sig").distinct(), "sig", "left_semi").select("sig", "shingles").dropDuplicates(["sig"]))
+    met = F.sum(F.when(F.col("key") % 2 != 0, SUBSET).otherwise(1)) >= SUBSET
 
-    star = lists.filter((F.col("sig") != F.col("head")) & fits("n", "hn")).select(F.col("head").alias("a"), F.col("sig").alias("b")).distinct()
-    links = cut(verify(star, bodies))
+    star = cut(lists.filter((F.col("sig") != F.col("head")) & fits("n", "hn")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
+    links = cut(verify(star, wanted_bodies(staged, star)))
     comp = components(links)
 
-    known_comp = lists.select("key", "sig", "n", "head").join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
+    named = lists.join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     head = comp.select(F.col("sig").alias("head"), F.col("comp").alias("hc"))
-    named = known_comp.join(head, "head", "left").withColumn("hc", F.coalesce("hc", "head"))
-    # Only lists that some class shares without being in the head's component go on.
+    named = named.join(head, "head", "left").withColumn("hc", F.coalesce("hc", "head"))
+    # Only lists with a class outside the head's component go on; in those, every pair of two components is met.
     apart = cut(named.filter("comp != hc").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac")))
-    others = named.join(apart.select("key").distinct(), "key", "left_semi").select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "head", "hc")
-    # Both apart from the head's component: one order of the two is enough. The head itself met all in the star.
-    more = (apart.join(others, "key")
-            .filter((F.col("ac") != F.col("bc")) & fits("an", "bn") & (F.col("b") != F.col("head")) & ((F.col("bc") == F.col("hc")) | (F.col("a") < F.col("b"))))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    extra = cut(verify(more, bodies))
+    others = named.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "hc")
+    # Both outside the head's component: one order of the two is enough.
+    pairs = (apart.join(others, "key").filter((F.col("ac") != F.col("bc")) & fits("an", "bn") & ((F.col("bc") == F.col("hc")) | (F.col("a") < F.col("b"))))
+             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
+    more = cut(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
+    extra = cut(verify(more, wanted_bodies(staged, more)))
     final = components(links.unionByName(extra)) if extra.limit(1).count() else comp
     staged.unpersist()
 
