@@ -176,12 +176,12 @@ def subsets(size: int) -> np.ndarray:
 
 
 def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
-    """The lists' entries: key (of one shingle, or of a subset), salt, sig, n. The lists of very frequent shingles are dealt over salts."""
+    """The lists' entries: key (of one shingle, or of a subset), salt, sig, n, rest (shingles from the key's first one on). The lists of very frequent shingles are dealt over salts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = heavy.value
         for b in batches:
-            keys, salts, sigs, ns = [], [], [], []
+            keys, salts, sigs, ns, rests = [], [], [], [], []
             for sig, n, data in zip(*(b.column(i).to_pylist() for i in range(3))):
                 s = unpacked(data)
                 seen = np.zeros(n, np.int64)
@@ -191,7 +191,7 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
                     order = np.argsort(seen, kind="stable")
                     s, seen = s[order], seen[order]
                 prefix = n - least_shared(n) + SUBSET
-                own, deal = [], []
+                own, deal, place = [], [], []
                 if SUBSET <= n <= small:
                     at = subsets(min(n, prefix))
                     key = np.zeros(len(at), np.uint64)
@@ -199,29 +199,32 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
                         key = mixed(key + h)
                     own.append(key | np.uint64(1))  # an odd key is a subset's
                     deal.append(seen[at].min(axis=1))
+                    place.append(at[:, 0])
                 if n > small or 100 * n >= PERCENT * (small + 1):
                     own.append(s[:prefix] << np.uint64(1))
                     deal.append(seen[:prefix])
+                    place.append(np.arange(len(own[-1])))
                 if own:
                     parts = np.concatenate(deal) // LONG_LIST  # 0: not dealt
                     keys.append(np.concatenate(own))
                     salts.append(np.where(parts > 0, 1 + int.from_bytes(sig[:4], "little") % np.maximum(parts, 1), 0).astype(np.int32))
                     sigs.extend([sig] * len(parts))
                     ns.append(np.full(len(parts), n, np.int32))
+                    rests.append(n - np.concatenate(place).astype(np.int32))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(sigs, pa.binary()), pa.array(np.concatenate(ns))], names=["key", "salt", "sig", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(sigs, pa.binary()), pa.array(np.concatenate(ns)), pa.array(np.concatenate(rests).astype(np.int32))], names=["key", "salt", "sig", "n", "rest"])
 
-    return staged.filter("n > 0").select("sig", "n", "shingles").mapInArrow(run, "key long, salt int, sig binary, n int")
+    return staged.filter("n > 0").select("sig", "n", "shingles").mapInArrow(run, "key long, salt int, sig binary, n int, rest int")
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
-    """Lists with two classes or more: key, sig, n, head (the list's least class), hn. One shuffle; a task streams over its sorted lists."""
-    names = ["key", "salt", "sig", "n", "head", "hn"]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32())
+    """Lists with two classes or more: key, sig, n, rest, head (the list's least class), hn, hrest. One shuffle; a task streams over its sorted lists."""
+    names = ["key", "salt", "sig", "n", "rest", "head", "hn", "hrest"]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = head = last = None
-        hn, shown = 0, False
+        hn, hr, shown = 0, 0, False
         for b in batches:
             key, salt = b.column(0).to_numpy(), b.column(1).to_numpy()
             start, fresh = np.ones(len(key), bool), np.ones(len(key), bool)
@@ -233,28 +236,28 @@ def shared_lists(entries: DataFrame) -> DataFrame:
             several[[0, -1]] = True  # they may go on in another batch
             chosen = b.take(pa.array(np.flatnonzero(fresh & (several[group] | (salt > 0)))))
             out = []
-            for key, salt, sig, n in zip(*(chosen.column(i).to_pylist() for i in range(4))):
+            for key, salt, sig, n, rest in zip(*(chosen.column(i).to_pylist() for i in range(5))):
                 if (key, salt) != now:
-                    now, head, hn, last, shown = (key, salt), sig, n, sig, salt > 0
+                    now, head, hn, hr, last, shown = (key, salt), sig, n, rest, sig, salt > 0
                     if salt:  # a dealt list: its head is found over all salts
-                        out.append((key, salt, sig, n, None, 0))
+                        out.append((key, salt, sig, n, rest, None, 0, 0))
                 elif sig != last:
                     last = sig
                     if not shown:
                         shown = True
-                        out.append((key, salt, head, hn, head, hn))
-                    out.append((key, salt, sig, n, None if salt else head, hn))
-            cols = list(zip(*out)) or [()] * 6
+                        out.append((key, salt, head, hn, hr, head, hn, hr))
+                    out.append((key, salt, sig, n, rest, None if salt else head, hn, hr))
+            cols = list(zip(*out)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    found = entries.repartition("key", "salt").sortWithinPartitions("key", "salt", "sig").mapInArrow(run, "key long, salt int, sig binary, n int, head binary, hn int")
+    found = entries.repartition("key", "salt").sortWithinPartitions("key", "salt", "sig").mapInArrow(run, "key long, salt int, sig binary, n int, rest int, head binary, hn int, hrest int")
     with batch_rows(entries.sparkSession, 16_384):
         found = found.persist(StorageLevel.DISK_ONLY)
         found.count()
-    dealt = found.filter("salt > 0").select("key", "sig", "n")
-    heads = dealt.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("h"), F.count("*").alias("c")).filter("c > 1")
-    dealt = dealt.join(heads, "key").select("key", "sig", "n", F.col("h.sig").alias("head"), F.col("h.n").alias("hn"))
-    return found.filter("salt = 0").select("key", "sig", "n", "head", "hn").unionByName(dealt)
+    dealt = found.filter("salt > 0").select("key", "sig", "n", "rest")
+    heads = dealt.groupBy("key").agg(F.min(F.struct("sig", "n", "rest")).alias("h"), F.count("*").alias("c")).filter("c > 1")
+    dealt = dealt.join(heads, "key").select("key", "sig", "n", "rest", F.col("h.sig").alias("head"), F.col("h.n").alias("hn"), F.col("h.rest").alias("hrest"))
+    return found.filter("salt = 0").select("key", "sig", "n", "rest", "head", "hn", "hrest").unionByName(dealt)
 
 
 def wanted_bodies(staged: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -276,9 +279,13 @@ def wanted_bodies(staged: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut(staged.filter("n > 0").select("sig", "shingles").mapInArrow(run, "sig binary, shingles binary").dropDuplicates(["sig"]))
 
 
-def fits(a: str, b: str):
-    """Whether two sizes allow a link."""
-    return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
+def fits(n: str, rest: str, n2: str, rest2: str):
+    """Whether two sets that meet at a key can link, were it one of their first SUBSET common shingles.
+
+    They have at most the shorter rest, and SUBSET - 1 shingles before it, in common. Linked sets
+    pass in the lists of their first SUBSET common shingles, which is as many as they need.
+    """
+    return (100 * F.least(n, n2) >= PERCENT * F.greatest(n, n2)) & ((100 + PERCENT) * (F.least(rest, rest2) + SUBSET - 1) >= PERCENT * (F.col(n) + F.col(n2)))
 
 
 def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -338,7 +345,7 @@ def joined(docs: DataFrame, text: str, key: str) -> DataFrame:
     lists = shared_lists(postings(staged, heavy, border(sizes, scan)))
     met = F.sum(F.when(F.col("key") % 2 != 0, SUBSET).otherwise(1)) >= SUBSET
 
-    star = cut(lists.filter((F.col("sig") != F.col("head")) & fits("n", "hn")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
+    star = cut(lists.filter((F.col("sig") != F.col("head")) & fits("n", "rest", "hn", "hrest")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
     links = cut(verify(star, wanted_bodies(staged, star)))
     comp = components(links)
 
@@ -346,10 +353,10 @@ def joined(docs: DataFrame, text: str, key: str) -> DataFrame:
     head = comp.select(F.col("sig").alias("head"), F.col("comp").alias("hc"))
     named = named.join(head, "head", "left").withColumn("hc", F.coalesce("hc", "head"))
     # Only lists with a class outside the head's component go on; in those, every pair of two components is met.
-    apart = cut(named.filter("comp != hc").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac")))
-    others = named.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "hc")
+    apart = cut(named.filter("comp != hc").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("rest").alias("ar"), F.col("comp").alias("ac")))
+    others = named.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("rest").alias("br"), F.col("comp").alias("bc"), "hc")
     # Both outside the head's component: one order of the two is enough.
-    pairs = (apart.join(others, "key").filter((F.col("ac") != F.col("bc")) & fits("an", "bn") & ((F.col("bc") == F.col("hc")) | (F.col("a") < F.col("b"))))
+    pairs = (apart.join(others, "key").filter((F.col("ac") != F.col("bc")) & fits("an", "ar", "bn", "br") & ((F.col("bc") == F.col("hc")) | (F.col("a") < F.col("b"))))
              .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
     more = cut(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
     extra = cut(verify(more, wanted_bodies(staged, more)))
