@@ -218,13 +218,24 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
-    """Lists with two classes or more: key, sig, n, rest, head (the list's least class), hn, hrest. One shuffle; a task streams over its sorted lists."""
+    """Lists with two classes or more that can link: key, sig, n, rest, head (the list's least class), hn, hrest. One shuffle; a task streams over its sorted lists."""
     names = ["key", "salt", "sig", "n", "rest", "head", "hn", "hrest"]
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
 
+    def table_of(rows: list) -> pa.RecordBatch:
+        cols = list(zip(*rows)) or [()] * 8
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = head = last = None
-        hn, hr, shown = 0, 0, False
+        now = head = second = last = None  # second: waits to see whether the list has more than two
+        out: list = []
+
+        def close() -> None:
+            """The end of a list: one of two classes whose sizes can't link is left out."""
+            if second is not None and can_link(*head[1:], *second[1:]):
+                out.append((*now, *head, *head))
+                out.append((*now, *second, *head))
+
         for b in batches:
             key, salt = b.column(0).to_numpy(), b.column(1).to_numpy()
             start, fresh = np.ones(len(key), bool), np.ones(len(key), bool)
@@ -235,20 +246,27 @@ def shared_lists(entries: DataFrame) -> DataFrame:
             several = np.bincount(group, fresh) > 1
             several[[0, -1]] = True  # they may go on in another batch
             chosen = b.take(pa.array(np.flatnonzero(fresh & (several[group] | (salt > 0)))))
-            out = []
-            for key, salt, sig, n, rest in zip(*(chosen.column(i).to_pylist() for i in range(5))):
+            for key, salt, *row in zip(*(chosen.column(i).to_pylist() for i in range(5))):
                 if (key, salt) != now:
-                    now, head, hn, hr, last, shown = (key, salt), sig, n, rest, sig, salt > 0
-                    if salt:  # a dealt list: its head is found over all salts
-                        out.append((key, salt, sig, n, rest, None, 0, 0))
-                elif sig != last:
-                    last = sig
-                    if not shown:
-                        shown = True
-                        out.append((key, salt, head, hn, hr, head, hn, hr))
-                    out.append((key, salt, sig, n, rest, None if salt else head, hn, hr))
-            cols = list(zip(*out)) or [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+                    close()
+                    now, head, second, last, long = (key, salt), row, None, row[0], False
+                elif row[0] == last:
+                    continue
+                elif long:
+                    out.append((*now, *row, *head))
+                elif second is None and not salt:
+                    second = row
+                elif not salt:
+                    long = True
+                    out.extend((*now, *x, *head) for x in (head, second, row))
+                    second = None
+                last = row[0]
+                if salt:  # a dealt list: its head is found over all salts
+                    out.append((*now, *row, None, 0, 0))
+            yield table_of(out)
+            out.clear()
+        close()
+        yield table_of(out)
 
     found = entries.repartition("key", "salt").sortWithinPartitions("key", "salt", "sig").mapInArrow(run, "key long, salt int, sig binary, n int, rest int, head binary, hn int, hrest int")
     with batch_rows(entries.sparkSession, 16_384):
@@ -288,6 +306,11 @@ def fits(n: str, rest: str, n2: str, rest2: str):
     return (100 * F.least(n, n2) >= PERCENT * F.greatest(n, n2)) & ((100 + PERCENT) * (F.least(rest, rest2) + SUBSET - 1) >= PERCENT * (F.col(n) + F.col(n2)))
 
 
+def can_link(n: int, rest: int, n2: int, rest2: int) -> bool:
+    """``fits`` of two rows."""
+    return 100 * min(n, n2) >= PERCENT * max(n, n2) and (100 + PERCENT) * (min(rest, rest2) + SUBSET - 1) >= PERCENT * (n + n2)
+
+
 def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """Pairs (a, b) whose whole sets link."""
     left = bodies.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
