@@ -5,10 +5,8 @@ BENCH_RUNS (default 3; the median of the warm runs is reported).
 
 Every query runs from the parquet tables (fixture derivation, bronze, silver,
 gold) and is fully executed with the ``noop`` sink, so nothing is collected.
-The ``literal_*`` entries time the literal join-then-group forms for
-comparison with the eager-aggregation operators, and ``all_layers_end_to_end_b``
-times ``run_pipeline`` (write and read back all ten tables, 17 checks, audit
-log); these extras are not in ``value``.
+``all_layers_end_to_end_b`` times ``run_pipeline`` (write and read back all ten tables, 17 checks, audit
+log); this extra is not in ``value``.
 """
 
 from __future__ import annotations
@@ -88,23 +86,10 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    sys.path.insert(0, os.path.join(ROOT, "tests"))
-    from literal_forms import destination_performance_sql, user_engagement_sql
 
     def layers(fix: str) -> Layers:
         return Layers(fixture(spark, SF_DIR, fix))
 
-    def literal(which: str):
-        def build():
-            L = layers("B")
-            L.silver_destinations.createOrReplaceTempView("bench_sd")
-            L.silver_users.createOrReplaceTempView("bench_su")
-            L.silver_travel_purchases.createOrReplaceTempView("bench_sp")
-            sql = (destination_performance_sql("bench_sd", "bench_sp") if which == "dest"
-                   else user_engagement_sql("bench_su", "bench_sp"))
-            return spark.sql(sql)
-        return build
-
     headline = {
         "silver_travel_purchases_b": lambda: layers("B").silver_travel_purchases,
         "gold_daily_revenue_metrics_a": lambda: layers("A").gold_daily_revenue_metrics,
@@ -124,8 +109,6 @@ def main() -> None:
         return spark.range(0)
 
     extra = {
-        "literal_destination_performance_b": literal("dest"),
-        "literal_user_engagement_b": literal("user"),
         "all_layers_end_to_end_b": all_layers,
     }
 

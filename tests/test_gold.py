@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID, SF_SMALL
-from tests.literal_forms import destination_performance_sql, user_engagement_sql
+from tests import naive
 from traveltiers.operators import gold, silver
 from traveltiers.plans.layers import Layers
 from traveltiers.sources.fixtures import fixture
@@ -125,25 +125,26 @@ def _compare(a, b, cols):
 @pytest.mark.parametrize("sf_dir,fix", [(SF_SMALL, "A"), (SF_MID, "A"), (SF_MID, "B")])
 def test_eager_aggregation_equals_literal_join(spark, sf_dir, fix):
     L = Layers(fixture(spark, sf_dir, fix))
-    L.silver_destinations.createOrReplaceTempView("sd")
-    L.silver_users.createOrReplaceTempView("su")
-    L.silver_travel_purchases.createOrReplaceTempView("sp")
-    lit_d = spark.sql(destination_performance_sql("sd", "sp"))
+    lit_d = naive.destinations(L.silver_destinations, L.silver_travel_purchases)
     ours_d = L.gold_destination_performance
     only_ours, only_lit, n = _compare(ours_d, lit_d, lit_d.columns)
     assert (only_ours, only_lit) == (0, 0) and n > 0
-    lit_u = spark.sql(user_engagement_sql("su", "sp"))
+    lit_u = naive.users(L.silver_users, L.silver_travel_purchases)
     only_ours, only_lit, n = _compare(L.gold_user_engagement, lit_u, lit_u.columns)
     assert (only_ours, only_lit) == (0, 0) and n > 0
 
 
 def test_distributed_rank_equals_window(spark):
-    from traveltiers.operators.ranking import rank_desc, rank_window
-    rows = [(i, (i % 7) if i % 5 else None, float(i % 3)) for i in range(3000)]
-    rows += [(10_000 + i, 0, 0.0) for i in range(1500)]  # one hot value holding a third of the rows
-    df = spark.createDataFrame(rows, "k bigint, m bigint, x double")
-    ours = rank_desc(df, {"rm": "m", "rx": "x"}, rows_per_bucket=200)
-    ref = rank_window(rank_window(df, "m", "rm"), "x", "rx")
+    from pyspark.sql import Window, functions as F
+    from traveltiers.operators.ranking import rank_desc
+    rows = [(i, (i % 7) if i % 5 else None, (i * 2654435761) % (1 << 40) - (1 << 39)) for i in range(3000)]
+    rows += [(10_000 + i, 0, 0) for i in range(1500)]  # one hot value holding a third of the rows
+    rows += [(20_000 + i, v, v) for i, v in enumerate((-(1 << 63), (1 << 63) - 1, -1, 65535, 65536, -65536))]
+    df = spark.createDataFrame(rows, "k bigint, m bigint, x bigint")
+    ours = rank_desc(df, {"rm": "m", "rx": "x"})
+    ref = df
+    for out, m in (("rm", "m"), ("rx", "x")):
+        ref = ref.withColumn(out, F.rank().over(Window.orderBy(F.desc_nulls_last(m))).cast("bigint"))
     assert _compare(ours, ref, ["k", "rm", "rx"])[:2] == (0, 0)
 
 
@@ -159,9 +160,9 @@ def test_fixture_a_counts(spark):
     revenue = L.gold_daily_revenue_metrics.agg(F.sum(F.col("total_revenue_usd").cast("decimal(18,2)"))).first()[0]
     assert str(revenue) == "372463.64"
     tiers = dict(L.gold_user_engagement.groupBy("customer_tier").count().collect())
-    assert tiers == {"platinum": 6, "gold": 107, "silver": 37, "bronze": 1367}
+    assert tiers == {"platinum": 6, "gold": 107, "silver": 37, "bronze": 1421}
     seg = dict(L.silver_users.groupBy("purchase_frequency_segment").count().collect())
-    assert seg == {"high_frequency": 500, "medium_frequency": 688, "low_frequency": 404}
+    assert seg == {"high_frequency": 521, "medium_frequency": 710, "low_frequency": 419}
 
 
 def test_silver_filters_keys_and_flags(spark):

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tests.literal_forms import destination_performance_sql, user_engagement_sql
+from tests import naive
 from tests.test_gold import DEST_SCHEMA, FACT_SCHEMA, USER_SCHEMA
 from traveltiers.operators import gold
 
@@ -39,14 +39,11 @@ def same(a, b):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(fact_row, min_size=0, max_size=40), st.lists(dest_row, min_size=1, max_size=8),
-       st.lists(user_row, min_size=1, max_size=8), st.integers(1, 3))
-def test_eager_aggregation_and_rank_equal_literal(spark, facts, dests, users, bucket_rows):
+       st.lists(user_row, min_size=1, max_size=8))
+def test_eager_aggregation_and_rank_equal_literal(spark, facts, dests, users):
     fact, dest, user = build(spark, facts, dests, users)
-    fact.createOrReplaceTempView("pf")
-    dest.createOrReplaceTempView("pd")
-    user.createOrReplaceTempView("pu")
-    lit_d = spark.sql(destination_performance_sql("pd", "pf"))
-    ours_d = gold.gold_destination_performance(dest, fact, rows_per_bucket=bucket_rows, row_bound=None)
+    lit_d = naive.destinations(dest, fact)
+    ours_d = gold.gold_destination_performance(dest, fact)
     assert same(ours_d, lit_d)
-    lit_u = spark.sql(user_engagement_sql("pu", "pf"))
+    lit_u = naive.users(user, fact)
     assert same(gold.gold_user_engagement(user, fact), lit_u)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
-from tests.literal_forms import destination_performance_sql
+from tests import naive
 from traveltiers.operators import gold
 from traveltiers.plans.layers import Layers
 from traveltiers.sources.fixtures import fixture
@@ -17,9 +17,7 @@ def test_hot_destination(spark):
     share = skewed.agg(F.avg((F.col("destination_id") == 0).cast("double"))).first()[0]
     assert share > 0.33
 
-    skewed.createOrReplaceTempView("skewed_fact")
-    L.silver_destinations.createOrReplaceTempView("skewed_dest")
-    literal = spark.sql(destination_performance_sql("skewed_dest", "skewed_fact"))
+    literal = naive.destinations(L.silver_destinations, skewed)
     ours = gold.gold_destination_performance(L.silver_destinations, skewed)
     cols = literal.columns
     assert ours.select(*cols).exceptAll(literal).count() == 0

@@ -164,14 +164,10 @@ def gold_destination_performance(
     purchases: DataFrame,
     run_ts: str | None = None,
     pairs: DataFrame | None = None,
-    **rank_options,
 ) -> DataFrame:
     """Destination metrics plus ``booking_rank`` and ``revenue_rank`` (RANK, DESC, NULLS LAST)."""
     metrics = destination_metrics(destinations, purchases, pairs)
-    if "row_bound" not in rank_options:
-        # One output row per destination group: the dimension's row count bounds it (a dimension-only scan).
-        rank_options = {**rank_options, "row_bound": destinations.count()}
-    ranked = rank_desc(metrics, {"booking_rank": "total_bookings", "revenue_rank": "_revenue_cents"}, **rank_options)
+    ranked = rank_desc(metrics, {"booking_rank": "total_bookings", "revenue_rank": "_revenue_cents"})
     return ranked.select(
         *DESTINATION_KEYS,
         "total_views", "total_clicks", "total_bookings", "click_rate_pct", "booking_rate_pct",

@@ -33,7 +33,6 @@ EXPECT_FRESH = "< 24 hours"
 EXPECT_NO_NEGATIVE_PRICES = "0 negative prices"
 EXPECT_VALID_RATES = "0 invalid rates"
 FRESHNESS_LIMIT_HOURS = 24.0
-AGE_FORMAT = "%.1f hours"
 AGE_UNKNOWN = "inf hours"
 RATE_MIN, RATE_MAX = 0, 100
 LAYER_TABLES = [
@@ -116,11 +115,23 @@ def referential_integrity_check(fact: DataFrame, dim: DataFrame, key: str, label
                       F.when(n == 0, F.lit(PASS)).otherwise(F.lit(WARN)))
 
 
+def _one_decimal(age: Column) -> Column:
+    """``x.y hours`` as C's %.1f gives it: the double's exact binary value, ties to the even digit."""
+    size = F.abs(age)
+    whole = F.floor(size)
+    tenths = ((size - whole) * F.lit(float(1 << 58))).cast("bigint") * 10  # the fraction in units of 2**-58, exact
+    digit, left = F.shiftright(tenths, 58), tenths.bitwiseAND(F.lit((1 << 58) - 1))
+    half = F.lit(1 << 57)
+    up = (left > half) | ((left == half) & (digit % 2 == 1))
+    n = whole * 10 + digit + up.cast("bigint")
+    return F.concat(F.when(age < 0, "-").otherwise(""), F.floor(n / 10).cast("string"), F.lit("."), (n % 10).cast("string"), F.lit(" hours"))
+
+
 def _age(max_ts: Column, as_of: str | None, limit_hours: float) -> tuple[Column, Column]:
     """``(actual, status)`` of a freshness check from the column holding ``max(ts)``."""
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     age = (F.unix_micros(now) - F.unix_micros(max_ts)) / F.lit(3.6e9)
-    actual = F.when(max_ts.isNull(), F.lit(AGE_UNKNOWN)).otherwise(F.format_string(AGE_FORMAT, age))
+    actual = F.when(max_ts.isNull(), F.lit(AGE_UNKNOWN)).otherwise(_one_decimal(age))
     status = F.when(age < F.lit(limit_hours), F.lit(PASS)).otherwise(F.lit(WARN))
     return actual, status
 

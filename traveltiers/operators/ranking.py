@@ -1,92 +1,52 @@
-"""``RANK() OVER (ORDER BY metric DESC NULLS LAST)`` over a whole table.
-
-A global window puts every row into one task. Here the rank is a function of
-the metric value alone: ``rank(v) = 1 + #rows with metric > v``. So
-
-1. the row count decides the plan: up to ``rows_per_bucket`` rows the plain
-   window runs in one task of proven size (a caller-supplied bound, such as
-   the dimension's row count, avoids any extra pass); otherwise
-2. the input is checkpointed once (the metric table is read several times);
-3. value counts ``groupBy(metric).count()`` collapse hot values to one row
-   (map-side combine) and are range-partitioned on the metric into ordered
-   buckets by Spark's own sampled range partitioner (binary search per row;
-   equal values always share a bucket). The bucketed counts are checkpointed,
-   so every later read sees the same bucket assignment even after a lost
-   executor forces a recomputation;
-4. per-bucket totals (one row per bucket) give each bucket an offset, and a
-   running sum inside each bucket counts the rows above each value;
-5. the rank of each distinct value is joined back on the metric
-   (null-safe); AQE broadcasts it when small and splits a hot value's
-   partition when it is skewed.
+"""RANK over a whole relation, without one task that sees all rows.
+
+The metric is a ``bigint``. Its distinct values are counted once, and the 64 bits of a
+value (shifted so that order is unsigned) are read as four digits of 16 bits, most
+significant first. For each level, rows are counted by prefix and the counts of greater
+siblings are summed in a window over one parent prefix. A value's rank is one plus these
+sums over its four levels. A window holds at most 2**16 + 1 rows at any size of the input,
+prefixes depend on the value alone, and one plan serves every size. NULLs come last: at
+the first level they stand below every digit.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from traveltiers.session import reliable_checkpoint
-
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+DIGIT_BITS, LEVELS = 16, 4
 
 
-def rank_window(df: DataFrame, metric: str, out: str) -> DataFrame:
-    """Single-task form (only for inputs of checked size)."""
-    w = Window.orderBy(F.desc_nulls_last(metric))
-    return df.withColumn(out, F.rank().over(w).cast("bigint"))
+def _prefix(metric: str, level: int) -> Column:
+    """The first ``level`` digits of a value (0: the common parent of all); -1 for NULL."""
+    if level == 0:
+        return F.lit(0).cast("bigint")
+    ordered = F.col(metric).bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))
+    return F.coalesce(F.shiftrightunsigned(ordered, 64 - DIGIT_BITS * level), F.lit(-1).cast("bigint")) if level < LEVELS else F.col(metric)
 
 
-def _rank_table(df: DataFrame, metric: str, out: str, key: str, buckets: int) -> DataFrame:
+def _rank_table(df: DataFrame, metric: str, out: str, key: str) -> DataFrame:
     """``(key, out)``: the rank of each distinct metric value."""
-    vc = df.groupBy(F.col(metric).alias(key)).agg(F.count(F.lit(1)).alias("_c"))
-    vc = vc.repartitionByRange(buckets, F.desc_nulls_last(key)).withColumn("_b", F.spark_partition_id())
-    vc = reliable_checkpoint(vc)
-    totals = vc.groupBy("_b").agg(F.sum("_c").alias("_bc"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per bucket (at most ``buckets``): a proven bound for the window and the broadcast.
-    offsets = totals.select("_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
-    vc = vc.join(F.broadcast(offsets), "_b")
-    above = Window.partitionBy("_b").orderBy(F.desc_nulls_last(key)).rowsBetween(Window.unboundedPreceding, -1)
-    return vc.select(
-        F.col(key),
-        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_c").over(above), F.lit(0))).cast("bigint").alias(out),
-    )
-
-
-def rank_desc(
-    df: DataFrame,
-    metrics: dict[str, str],
-    *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
-    checkpoint: bool = True,
-    row_bound: int | None = None,
-) -> DataFrame:
-    """Add one rank column per ``{out_name: metric_column}``; ties share a rank, gaps follow.
-
-    ``row_bound`` is a known upper bound on the rows of ``df`` (for example the
-    row count of the dimension it was grouped from). When it is within
-    ``rows_per_bucket`` the plain window runs directly, with no checkpoint.
-    """
-    if row_bound is not None and row_bound <= rows_per_bucket:
-        for out, metric in metrics.items():
-            df = rank_window(df, metric, out)
-        return df
-    if checkpoint:
-        df = reliable_checkpoint(df)
-    n = df.count()
-    buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
-    if buckets == 1:
-        for out, metric in metrics.items():
-            df = rank_window(df, metric, out)
-        return df
-    # Every rank table is built from the checkpointed input, then all are joined back.
+    counts = df.groupBy(F.col(metric).alias(key)).agg(F.count(F.lit(1)).alias("_c"))
+    table = counts.drop("_c").select(key, *[_prefix(key, k).alias(f"_p{k}") for k in range(LEVELS + 1)])
+    for level in range(1, LEVELS + 1):
+        node, parent = f"_p{level}", f"_p{level - 1}"
+        sums = counts.groupBy(_prefix(key, level - 1).alias("_parent"), _prefix(key, level).alias("_node")).agg(F.sum("_c").alias("_n"))
+        greater = Window.partitionBy("_parent").orderBy(F.desc_nulls_last("_node")).rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.select("_parent", "_node", F.coalesce(F.sum("_n").over(greater), F.lit(0)).alias(f"_s{level}"))
+        same = table[parent].eqNullSafe(sums["_parent"]) & table[node].eqNullSafe(sums["_node"])
+        table = table.join(sums, same).drop("_parent", "_node")
+    total = reduce(Column.__add__, [F.col(f"_s{k}") for k in range(1, LEVELS + 1)])
+    return table.select(key, (F.lit(1) + total).cast("bigint").alias(out))
+
+
+def rank_desc(df: DataFrame, metrics: dict[str, str]) -> DataFrame:
+    """Add one rank column per ``{out_name: metric_column}`` (bigint); ties share a rank, gaps follow."""
     result = df
     for out, metric in metrics.items():
         key = f"_rank_key_{out}"
-        table = _rank_table(df, metric, out, key, buckets)
+        table = _rank_table(df, metric, out, key)
         result = result.join(table, result[metric].eqNullSafe(table[key]), "left").drop(key)
     return result

@@ -21,10 +21,9 @@ AS_OF_LATE = "2024-02-02 13:00:00"
 
 
 class Layers:
-    def __init__(self, sources: Sources, run_ts: str | None = RUN_TS, rank_options: dict | None = None):
+    def __init__(self, sources: Sources, run_ts: str | None = RUN_TS):
         self.sources = sources
         self.run_ts = run_ts
-        self.rank_options = rank_options or {}
 
     @cached_property
     def bronze_travel_purchases(self) -> DataFrame:
@@ -61,7 +60,7 @@ class Layers:
     @cached_property
     def gold_destination_performance(self) -> DataFrame:
         return gold.gold_destination_performance(
-            self.silver_destinations, self.silver_travel_purchases, self.run_ts, **self.rank_options
+            self.silver_destinations, self.silver_travel_purchases, self.run_ts
         )
 
     @cached_property

@@ -46,7 +46,7 @@ def band(v: str, bands: list[tuple[int, str]], default: str) -> str:
 
 SRC_PURCHASE_A = f"""
 SELECT event_id AS id, ts,
-  CASE WHEN event_id % 1009 = 0 THEN NULL ELSE user_id END AS user_id,
+  CASE WHEN event_id % 1009 = 0 THEN NULL ELSE user_id + CASE WHEN user_id % 29 = 0 THEN 1000000000 ELSE 0 END END AS user_id,
   NULLIF(CAST(json_extract_string(props, '$.k') AS BIGINT), 99) AS destination_id,
   CASE WHEN event_type = 'error' THEN NULL ELSE event_type IN ('click', 'purchase') END AS clicked,
   CASE WHEN event_type = 'error' THEN NULL ELSE event_type = 'purchase' END AS purchased,
@@ -58,7 +58,7 @@ SELECT event_id AS id, ts,
 FROM events"""
 
 SRC_PURCHASE_B = f"""
-SELECT l_orderkey * 8 + l_linenumber AS id, l_shipdate AS ts, o_custkey AS user_id,
+SELECT l_orderkey * 8 + l_linenumber AS id, l_shipdate AS ts, o_custkey + CASE WHEN o_custkey % 29 = 0 THEN 1000000000 ELSE 0 END AS user_id,
   l_suppkey AS destination_id, l_linestatus = 'F' AS clicked, l_returnflag = 'R' AS purchased,
   CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS booking_date, l_extendedprice AS price,
   {_lat('o_custkey', 37, 181, 90)} AS user_latitude, {_lon('o_custkey', 53, 361, 180)} AS user_longitude
@@ -69,13 +69,13 @@ SELECT c_custkey AS user_id, TIMESTAMP '2024-01-01 00:00:00' AS ts,
   CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_acctbal % 1000 END AS mean_price_7d,
   CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE c_custkey % 15 END AS last_6m_purchases,
   {_lon('c_custkey', 53, 361, 180)} AS user_longitude, {_lat('c_custkey', 37, 181, 90)} AS user_latitude
-FROM customer WHERE c_custkey % 29 <> 0
+FROM customer
 UNION ALL
 SELECT c_custkey, TIMESTAMP '2024-01-15 00:00:00',
   CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_acctbal % 1000 END,
   CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 20 = 0 THEN (c_custkey + 5) % 15 ELSE c_custkey % 15 END,
   {_lon('c_custkey', 53, 361, 180)}, {_lat('c_custkey', 37, 181, 90)}
-FROM customer WHERE c_custkey % 29 <> 0 AND c_custkey % 10 = 0"""
+FROM customer WHERE c_custkey % 10 = 0"""
 
 SRC_DESTINATIONS = f"""
 SELECT s_suppkey AS destination_id, lower(concat(' ', s_name, ' city ')) AS name,

@@ -77,8 +77,7 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
       per-task execution memory (executor memory x 0.6 / cores; 2.4 GB for 16 GB / 4 cores).
     * Shuffles here move pruned columns after map-side partial aggregation, about a
       tenth of the scanned bytes at most; the initial shuffle partition count targets
-      128 MB per partition on that estimate, between 2x the cores and 30,000 (more
-      reducers only multiplies shuffle blocks), and AQE coalesces small partitions
+      128 MB per partition on that estimate, at least 2x the cores, and AQE coalesces small partitions
       and splits skewed ones at run time.
     * Broadcasts only from measured sizes: planning-time broadcasts (which trust
       size estimates that can be off by the parquet compression ratio) are off,
@@ -89,7 +88,7 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
     per_task = executor_memory_gb * 1024 * MB * 0.6 / max(1, cores_per_executor)
     split = int(min(256 * MB, per_task / 4))
     shuffle_estimate = input_bytes / 10
-    partitions = int(min(30_000, max(2 * total_cores, shuffle_estimate // (128 * MB))))
+    partitions = int(max(2 * total_cores, shuffle_estimate // (128 * MB)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),

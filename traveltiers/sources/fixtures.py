@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traveltiers.sources.tables import read_table, spread
+from traveltiers.sources.tables import read_table
 
 # Fixed values of the fixture definitions.
 LAT_FRACTION = 0.1234567
@@ -51,13 +51,21 @@ def _lon(n: str, mult: int, modulus: int, offset: int) -> Column:
     return _coord(n, mult, modulus, offset, LON_FRACTION)
 
 
+ORPHAN_SHIFT = 1_000_000_000
+
+
 def _null_when(cond: Column, value: Column, dtype: str) -> Column:
     return F.when(cond, F.lit(None).cast(dtype)).otherwise(value)
 
 
+def _or_orphan(key: str) -> Column:
+    """Every 29th user id shifted out of the customers' range: an orphan, without dropping a customer."""
+    return F.when(F.col(key) % 29 == 0, F.col(key) + ORPHAN_SHIFT).otherwise(F.col(key))
+
+
 def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule-coverage purchases from ``events``."""
-    e = spread(read_table(spark, sf_dir, "events", EVENTS_SCHEMA), "event_id")
+    e = read_table(spark, sf_dir, "events", EVENTS_SCHEMA)
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     is_error = F.col("event_type") == F.lit("error")
@@ -70,7 +78,7 @@ def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         eid.alias("id"),
         F.col("ts"),
-        _null_when(eid % 1009 == 0, F.col("user_id"), "bigint").alias("user_id"),
+        _null_when(eid % 1009 == 0, _or_orphan("user_id"), "bigint").alias("user_id"),
         F.nullif(k, F.lit(99)).alias("destination_id"),
         _null_when(is_error, F.col("event_type").isin("click", "purchase"), "boolean").alias("clicked"),
         _null_when(is_error, F.col("event_type") == F.lit("purchase"), "boolean").alias("purchased"),
@@ -83,13 +91,13 @@ def travel_purchase_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def travel_purchase_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume purchases from ``lineitem`` joined with ``orders`` (many months)."""
-    li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_SCHEMA), "l_orderkey")
+    li = read_table(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
     o = read_table(spark, sf_dir, "orders", ORDERS_SCHEMA)
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("id"),
         F.col("l_shipdate").alias("ts"),
-        F.col("o_custkey").alias("user_id"),
+        _or_orphan("o_custkey").alias("user_id"),
         F.col("l_suppkey").alias("destination_id"),
         (F.col("l_linestatus") == F.lit("F")).alias("clicked"),
         (F.col("l_returnflag") == F.lit("R")).alias("purchased"),
@@ -101,8 +109,8 @@ def travel_purchase_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two snapshots per kept customer (the second only for every tenth one)."""
-    c = read_table(spark, sf_dir, "customer", CUSTOMER_SCHEMA).filter(F.col("c_custkey") % 29 != 0)
+    """Two snapshots per customer (the second only for every tenth one)."""
+    c = read_table(spark, sf_dir, "customer", CUSTOMER_SCHEMA)
     key = F.col("c_custkey")
     mean_price = _null_when(key % 17 == 0, F.col("c_acctbal") % F.lit(1000), "double")
 

@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from traveltiers.session import scratch_path
 
 
 def _quote(text: str) -> str:
@@ -36,7 +35,9 @@ class TableSink:
 
     def __post_init__(self) -> None:
         if self.root is None:
-            self.root = scratch_path(self.spark, self.database)
+            # Results never go under the checkpoint folder: that is scratch space of one application.
+            warehouse = self.spark.conf.get("spark.sql.warehouse.dir")
+            self.root = os.path.join(warehouse, f"{self.database.replace('.', '/')}_tables")
         self.spark.sql(
             f"CREATE SCHEMA IF NOT EXISTS {self._schema()} COMMENT {_quote(self.database_comment)} "
             f"LOCATION {_quote(self.root)}"
@@ -73,6 +74,7 @@ class TableSink:
         obs = Observation(f"rows_{table}")
         extra = [c.alias(n) for n, c in (observe or {}).items()]
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
+        self._finish_swap(table)
         current = self.location(table)
         slot = "slot_b" if current and current.rstrip("/").endswith("slot_a") else "slot_a"
         staging = f"{table}__next"
@@ -95,6 +97,12 @@ class TableSink:
         self.observed[table] = dict(metrics)
         return rows
 
+    def _finish_swap(self, table: str) -> None:
+        """After a stop between drop and rename, the finished version stands under the staging name: give it its own back."""
+        staging = f"{table}__next"
+        if self.location(table) is None and self.location(staging) is not None:
+            self.spark.sql(f"ALTER TABLE {self.name(staging)} RENAME TO {self.name(table)}")
+
     def location(self, table: str) -> str | None:
         """Storage location of ``table``, or None when it does not exist."""
         if not self.spark.catalog.tableExists(f"{self.database}.{table}"):
@@ -103,6 +111,7 @@ class TableSink:
         return next((r.data_type for r in rows if r.col_name == "Location"), None)
 
     def read(self, table: str) -> DataFrame:
+        self._finish_swap(table)
         return self.spark.table(self.name(table))
 
     def properties(self, table: str) -> DataFrame:

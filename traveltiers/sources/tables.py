@@ -26,23 +26,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None =
     return reader.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a scan that yields fewer partitions than the session's parallelism.
-
-    An unsplittable input (one file with one row group) is read by a single
-    task, which then also does all per-row work of the stage (joins,
-    projections, partial aggregation). ``key`` must be a high-cardinality
-    column (an id): hashing on it spreads rows evenly and is deterministic on
-    a retry without the per-task sort a round-robin repartition needs. A scan
-    of many files or splits, as at production scale, is returned unchanged:
-    no extra shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
-
-
 def resolve(spark: SparkSession, table: str | DataFrame) -> DataFrame:
     """A DataFrame as-is, or a catalog table by (qualified) name."""
     return table if isinstance(table, DataFrame) else spark.table(table)
