@@ -71,7 +71,7 @@ def test_pipeline_end_to_end_and_gate_after_audit_write(spark):
     assert res.status == "PASS" and len(res.audit) == 17
     assert res.rows_written["silver_travel_purchases"] == 991
     assert res.rows_written["gold_daily_revenue_metrics"] == 30
-    assert res.rows_written["gold_user_engagement"] == 151
+    assert res.rows_written["gold_user_engagement"] == 157
     # The figures reported after the writes (FIXTURES.md, fixture A at sf0.001).
     assert res.report["silver_travel_purchases"]["invalid_prices"] == 5
     assert res.report["gold_daily_revenue_metrics"]["total_revenue_cents"] == 4136776
