@@ -17,6 +17,16 @@ def test_changed_rows(spark):
     assert got == {1: "unchanged", 2: "updated", 3: "deleted", 4: "inserted"}
 
 
+def test_changed_rows_on_repeated_and_null_keys(spark):
+    kind = "k bigint, a double"
+    old = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 1.0), (2, 1.0), (3, 1.0), (None, 1.0)], kind)
+    new = spark.createDataFrame([(1, 2.0), (1, 1.0), (2, 1.0), (3, 1.0), (3, 3.0), (None, 1.0), (4, 1.0), (4, 1.0)], kind)
+    got = [tuple(r) for r in extras.changed_rows(old, new, "k", ["a"]).collect()]
+    assert dict(got) == {1: "unchanged", 2: "updated", 3: "updated", 4: "inserted", None: "unchanged"}
+    assert len(got) == 5
+    assert {r.change for r in extras.changed_rows(old, old, "k", ["a"]).collect()} == {"unchanged"}
+
+
 def test_completeness_and_duplicates(spark):
     df = spark.createDataFrame([(1, None), (1, "x"), (2, None)], "k bigint, v string")
     got = {r.column_name: (r.null_count, r.total_count) for r in extras.completeness(df).collect()}
@@ -30,6 +40,9 @@ def test_latest_user_snapshot(spark):
     ], "user_id bigint, last_updated_at timestamp_ntz, avg_price_7day double")
     got = {r.user_id: r.avg_price_7day for r in silver.latest_user_snapshot(users).collect()}
     assert got == {1: 20.0, 2: 5.0}
+    tied = spark.createDataFrame([(1, datetime(2024, 1, 1), 1.0), (1, datetime(2024, 1, 1), 2.0)], users.schema)
+    for rows in (tied, tied.orderBy("avg_price_7day"), tied.orderBy(F.desc("avg_price_7day"))):
+        assert silver.latest_user_snapshot(rows.coalesce(1)).first().avg_price_7day == 2.0
 
 
 def test_sink_comments_and_schema(spark):

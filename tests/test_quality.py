@@ -48,6 +48,26 @@ def test_missing_table_is_a_fail_row(spark):
     assert c.status == "FAIL" and c.check == "record_count" and c.actual
 
 
+def test_missing_tables_are_fail_rows(spark):
+    rows = quality.quality_checks(spark, {}, AS_OF).collect()
+    assert len(rows) == 17 and {r.status for r in rows} == {"FAIL"}
+    assert sorted(r.check for r in rows).count("referential_integrity") == 2
+
+
+def test_unreadable_table_is_fail_rows_and_the_others_are_checked(spark, tmp_path):
+    tables = Layers(fixture(spark, SF_SMALL, "A")).tables()
+    good = {(r.check, r.table): (r.status, r.actual) for r in quality.audit_rows(spark, tables, AS_OF)}
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_bytes(b"PAR1 this is no parquet file PAR1")
+    tables["silver_users"] = spark.read.schema(tables["silver_users"].schema).parquet(str(tmp_path / "t"))
+    rows = quality.audit_rows(spark, tables, AS_OF)
+    spark.createDataFrame(rows, quality.CHECK_SCHEMA)
+    got = {(r.check, r.table): (r.status, r.actual) for r in rows}
+    broken = {("record_count", "silver_users"), ("referential_integrity", "silver_travel_purchases -> silver_users")}
+    assert {k: v for k, v in got.items() if k not in broken} == {k: v for k, v in good.items() if k not in broken}
+    assert len(rows) == 17 and all(got[k][0] == "FAIL" and got[k][1] for k in broken)
+
+
 def test_business_rules(spark):
     fact = spark.createDataFrame([(-1.0,), (2.0,)], "price_usd double")
     daily = spark.createDataFrame([(101.0,), (50.0,), (None,)], "conversion_rate_pct double")

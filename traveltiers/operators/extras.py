@@ -12,22 +12,32 @@ from pyspark.sql import functions as F
 
 
 def changed_rows(old: DataFrame, new: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """``(key, change)`` with change in inserted / deleted / updated / unchanged.
+    """``(key, change)``, one row per key, with change in inserted / deleted / updated / unchanged.
 
-    One full outer join on the key; values are compared through a hash of all
-    value columns in which NULLs are encoded, so NULL -> value counts as a change.
+    A repeated key is unchanged when both snapshots hold the same rows equally often. The
+    snapshots are counted by key and value hash, then by key: two map-side combined
+    aggregates and no join, so a key with n and m rows costs n + m. NULLs are part
+    of the hash (NULL -> value counts as a change), and the NULL key is one key.
     """
-    def hashed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(key), F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols]).alias(name))
+    def counted(df: DataFrame, in_old: int) -> DataFrame:
+        value = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols])
+        return df.select(F.col(key), value.alias("_value"), F.lit(in_old).alias("_old"), F.lit(1 - in_old).alias("_new"))
 
-    j = hashed(old, "_old").join(hashed(new, "_new"), key, "full_outer")
+    per_value = (
+        counted(old, 1).unionByName(counted(new, 0))
+        .groupBy(key, "_value").agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+    )
+    per_key = per_value.groupBy(key).agg(
+        F.sum("_old").alias("_n_old"), F.sum("_new").alias("_n_new"),
+        F.max(F.col("_old") != F.col("_new")).alias("_differs"),
+    )
     change = (
-        F.when(F.col("_old").isNull(), F.lit("inserted"))
-        .when(F.col("_new").isNull(), F.lit("deleted"))
-        .when(F.col("_old") != F.col("_new"), F.lit("updated"))
+        F.when(F.col("_n_old") == 0, F.lit("inserted"))
+        .when(F.col("_n_new") == 0, F.lit("deleted"))
+        .when(F.col("_differs"), F.lit("updated"))
         .otherwise(F.lit("unchanged"))
     )
-    return j.select(key, change.alias("change"))
+    return per_key.select(key, change.alias("change"))
 
 
 def completeness(df: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ reach the driver (at the gate).
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -241,33 +242,70 @@ def table_checks(df: DataFrame, name: str, layer: str, ts_col: str | None = None
     return agg.select(F.inline(F.array(*rows)))
 
 
-def quality_checks(spark: SparkSession, tables: dict[str, DataFrame], as_of: str | None = None) -> DataFrame:
-    """The 17-row audit log: 10 record counts, 2 orphan checks, 3 freshness, 2 rules.
-
-    Each table is read once: its count, freshness and rules come from one aggregate
-    (``table_checks``); the two orphan checks add one distinct-key anti join each.
-    """
+def _quality_parts(spark: SparkSession, tables: dict[str, str | DataFrame],
+                   as_of: str | None) -> list[tuple[Callable[[], DataFrame], list[dict[str, str]]]]:
+    """Per table and per reference: what makes its checks, and the names of those checks."""
     fresh = dict(FRESHNESS_COLUMNS)
     rules: dict[str, list[tuple[str, Column]]] = {}
     for t, _, expected, violation in business_rules():
         rules.setdefault(t, []).append((expected, violation))
+
+    def get(name: str) -> DataFrame:
+        return resolve(spark, tables.get(name, name))
+
+    def of_table(name: str, layer: str) -> DataFrame:
+        return table_checks(get(name), name, layer, fresh.get(name), as_of, rules.get(name, []))
+
+    def of_reference(key: str, dim: str, label: str) -> DataFrame:
+        return referential_integrity_check(get("silver_travel_purchases"), get(dim), key, label)
+
     parts = []
     for name, layer in LAYER_TABLES:
+        checks = [(RECORD_COUNT, EXPECT_ROWS)]
+        if name in fresh:
+            checks.append((DATA_FRESHNESS, EXPECT_FRESH))
+        checks += [(BUSINESS_RULE, expected) for expected, _ in rules.get(name, [])]
+        parts.append((partial(of_table, name, layer),
+                      [{"check": c, "table": name, "layer": layer, "expected": e} for c, e in checks]))
+    for key, dim, label in REFERENCES:
+        parts.append((partial(of_reference, key, dim, label), [{
+            "check": REFERENTIAL_INTEGRITY, "table": label, "layer": "silver", "expected": EXPECT_NO_ORPHANS}]))
+    return parts
+
+
+def quality_checks(spark: SparkSession, tables: dict[str, str | DataFrame], as_of: str | None = None) -> DataFrame:
+    """The 17-row audit log: 10 record counts, 2 orphan checks, 3 freshness, 2 rules.
+
+    A table's count, freshness and rules come from one aggregate over it (``table_checks``);
+    each orphan check adds one distinct-key anti join, which reads its two tables again.
+    Checks on a table that is missing are FAIL rows with the error.
+    """
+    def part(make: Callable[[], DataFrame], checks: list[dict[str, str]]) -> DataFrame:
         try:
-            df = resolve(spark, tables.get(name, name))
+            return make()
         except Exception as e:  # a missing table: FAIL rows instead of a crashed run
-            parts.append(_literal_row(spark, check=RECORD_COUNT, table=name, layer=layer,
-                                      expected=EXPECT_ROWS, actual=str(e), status=FAIL))
-            if name in fresh:
-                parts.append(_literal_row(spark, check=DATA_FRESHNESS, table=name, layer=layer,
-                                          expected=EXPECT_FRESH, actual=str(e), status=FAIL))
-            for expected, _ in rules.get(name, []):
-                parts.append(_literal_row(spark, check=BUSINESS_RULE, table=name, layer=layer,
-                                          expected=expected, actual=str(e), status=FAIL))
-            continue
-        parts.append(table_checks(df, name, layer, fresh.get(name), as_of, rules.get(name, [])))
-    parts.append(referential_integrity_checks(tables))
-    return union_checks(parts)
+            return union_checks(_literal_row(spark, **c, actual=str(e), status=FAIL) for c in checks)
+
+    return union_checks(part(make, checks) for make, checks in _quality_parts(spark, tables, as_of))
+
+
+def audit_rows(spark: SparkSession, tables: dict[str, str | DataFrame], as_of: str | None = None) -> list[Row]:
+    """The rows of ``quality_checks``, also when a table resolves but can't be read.
+
+    All checks run as one query; if that fails, each table's run by themselves, and
+    those that fail become FAIL rows with the error.
+    """
+    try:
+        return quality_checks(spark, tables, as_of).collect()  # 17 rows
+    except Exception:  # deliberate: some table can't be read; the others are still checked below
+        rows: list[Row] = []
+        for make, checks in _quality_parts(spark, tables, as_of):
+            try:
+                rows += make().collect()
+            except Exception as e:
+                failed = ({**c, "actual": str(e), "status": FAIL} for c in checks)
+                rows += [Row(**{name: c[name] for name in CHECK_COLUMNS}) for c in failed]
+        return rows
 
 
 def summarize(audit: DataFrame) -> DataFrame:

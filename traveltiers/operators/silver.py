@@ -73,12 +73,13 @@ def silver_users(bronze: DataFrame, run_ts: str | None = None) -> DataFrame:
 def latest_user_snapshot(users: DataFrame) -> DataFrame:
     """Optional extra (off by default in the gold layer): one row per user, newest ``last_updated_at``.
 
-    Uses ``max_by`` over a struct in a hash aggregate, so no per-user sort.
+    Snapshots of one time are told apart by the other columns (the greatest values, in column
+    order), so the pick does not depend on row order. The struct's maximum is map-side
+    combined; Spark runs it as a sort aggregate.
     """
     cols = [c for c in users.columns if c != "user_id"]
-    picked = users.groupBy("user_id").agg(
-        F.max_by(F.struct(*cols), F.col("last_updated_at")).alias("_s")
-    )
+    others = [c for c in cols if c != "last_updated_at"]
+    picked = users.groupBy("user_id").agg(F.max(F.struct("last_updated_at", *others)).alias("_s"))
     return picked.select("user_id", *[F.col(f"_s.{c}").alias(c) for c in cols])
 
 

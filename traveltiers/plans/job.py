@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 from traveltiers.operators.quality import DataQualityError  # noqa: E402
 from traveltiers.plans.pipeline import run_pipeline  # noqa: E402
-from traveltiers.session import get_session  # noqa: E402
+from traveltiers.session import cluster_conf, get_session  # noqa: E402
 from traveltiers.sources.fixtures import catalog_sources, fixture  # noqa: E402
 from traveltiers.sources.sink import TableSink  # noqa: E402
 
@@ -27,15 +27,23 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description="bronze -> silver -> gold -> quality gate")
     ap.add_argument("--source-schema", default="raw", help="catalog schema holding the three source tables")
     ap.add_argument("--target-schema", default="traveltiers", help="catalog schema for the layer tables")
-    ap.add_argument("--root", default=None, help="storage folder of the layer tables (default: checkpoint dir)")
+    ap.add_argument("--root", default=None, help="storage folder of the layer tables (default: the schema's own location)")
     ap.add_argument("--sf-dir", default=None, help="read a test-data folder instead of the catalog")
     ap.add_argument("--fixture", default="A", help="fixture to derive from --sf-dir (A or B)")
     ap.add_argument("--run-ts", default=None, help="pin the audit timestamp (default: now)")
     ap.add_argument("--as-of", default=None, help="freshness reference time (default: now)")
     ap.add_argument("--partition-silver", action="store_true", help="partition the silver fact by year/month")
+    ap.add_argument("--input-gb", type=float, default=None, help="size of the sources; with --cores sets partition sizes")
+    ap.add_argument("--cores", type=int, default=None, help="cores of the whole cluster")
+    ap.add_argument("--executor-memory-gb", type=float, default=16.0, help="memory of an executor")
+    ap.add_argument("--executor-cores", type=int, default=4, help="cores of an executor")
     args = ap.parse_args(argv)
+    if (args.input_gb is None) != (args.cores is None):
+        ap.error("--input-gb and --cores go together")
 
-    spark = get_session()
+    conf = {} if args.cores is None else cluster_conf(
+        int(args.input_gb * 1e9), args.cores, args.executor_memory_gb, args.executor_cores)
+    spark = get_session(**conf)
     src = (fixture(spark, args.sf_dir, args.fixture) if args.sf_dir
            else catalog_sources(spark, args.source_schema))
     sink = TableSink(spark, database=args.target_schema, root=args.root)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traveltiers.operators import bronze, gold, quality, silver
-from traveltiers.session import reliable_checkpoint
+from traveltiers.session import checkpoint_dir, reliable_checkpoint
 from traveltiers.sources.fixtures import Sources
 from traveltiers.sources.sink import TableSink
 
@@ -129,6 +129,7 @@ def run_pipeline(
     partition_silver: bool = False,
     raise_on_failure: bool = True,
 ) -> PipelineResult:
+    checkpoint_dir(spark)  # a cluster session without the shared folder fails before the first write
     t: dict[str, DataFrame] = {}
     t["bronze_travel_purchases"] = _write(
         sink, bronze.bronze_travel_purchases(sources.travel_purchase, run_ts, source_schema),
@@ -160,7 +161,7 @@ def run_pipeline(
         sink, gold.gold_user_engagement(t["silver_users"], fact, run_ts, pairs=pairs), "gold_user_engagement")
     t["gold_monthly_summary"] = _write(sink, gold.gold_monthly_summary(fact, run_ts), "gold_monthly_summary")
 
-    audit_rows = quality.quality_checks(spark, t, as_of).collect()  # 17 rows
+    audit_rows = quality.audit_rows(spark, t, as_of)
     _write(sink, spark.createDataFrame(audit_rows, quality.CHECK_SCHEMA), "dq_audit_log")
     failed = any(r["status"] == quality.FAIL for r in audit_rows)
     report = {table: dict(sink.observed.get(table, {})) for table in sink.written}
