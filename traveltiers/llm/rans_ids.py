@@ -33,6 +33,8 @@ STEP_IDS = 1 << 16
 SCALE = 20  # frequencies sum to 2**SCALE
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
 MEMO = 300_000
+#: Runs of whole texts that are gathered at once.
+HOLD_RUNS = 500_000
 
 
 # ---------------------------------------------------------------- coder
@@ -125,6 +127,19 @@ def scaled(counts: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- tokeniser
 
+class Codes(dict):
+    """Numbers of runs in the order in which they appear; ``new`` holds those without ids so far."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, run: str) -> int:
+        self[run] = out = len(self)
+        self.new.append(run)
+        return out
+
+
 class Ids:
     """Ids of texts by a tokenizers file; each run between ASCII white space is encoded once while remembered.
 
@@ -141,42 +156,63 @@ class Ids:
         self.tok = Tokenizer.from_str(spec)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.memo: dict[str, np.ndarray] = {}
         self.fast = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         self.special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
+        self.reset()
+
+    def reset(self) -> None:
+        """Forget all runs. The ids of run number c are ids[offsets[c]:offsets[c + 1]]; the empty run, number 0, is the end id."""
+        self.codes = Codes({"": 0})
+        self.ids, self.offsets = np.array([END_ID], np.uint32), np.array([0, 1])
 
     def raw(self, runs: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.fast(runs, add_special_tokens=False)]
 
+    def learn(self) -> None:
+        """Encode the runs that have a number and no ids yet."""
+        new, self.codes.new = self.codes.new, []
+        if not new:
+            return
+        # Lower-cased ASCII without its closing mark: one entry serves the word's other forms.
+        plain = [(r.lower(), "") if r.isascii() else (r, "") for r in new]
+        plain = [(a[:-1], a[-1]) if a[-1] in ",." and a[:-1].isalpha() and a.isascii() else (a, b) for a, b in plain]
+        need = list({x for pair in plain for x in pair if x})
+        got = dict(zip(need, self.raw(need)))
+        ids = [np.concatenate([got[a], got[b]]) if b else got[a] for a, b in plain]
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in ids])])
+        self.ids = np.concatenate([self.ids, *ids])
+
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
         from traveltiers.llm.common import words
 
-        split = [None if t and any(s in t for s in self.special) else words(t) for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        new = {r for s in split if s for r in s if r not in memo}
-        if new:
-            # Lower-cased ASCII without its closing mark: one entry serves the word's other forms.
-            plain = {r: (r.lower(), "") if r.isascii() else (r, "") for r in new}
-            for r, (low, _) in plain.items():
-                if low[-1] in ",." and low[:-1].isalpha() and low.isascii():
-                    plain[r] = low[:-1], low[-1]
-            need = {x for pair in plain.values() for x in pair if x and x not in memo}
-            need = list(need)
-            memo.update(zip(need, self.raw(need)))
-            for r, (a, b) in plain.items():
-                if r not in memo:
-                    memo[r] = np.concatenate([memo[a], memo[b]]) if b else memo[a]
-        end = np.array([END_ID], np.uint32)
-        out = []
-        for t, s in zip(texts, split):
-            if s is None:  # an added token's string: the library handles the whole text
-                out.append(np.concatenate([self.raw([t])[0], end]))
-            else:
-                out.append(np.concatenate([*map(memo.__getitem__, s), end]))
+        out: list = [None] * len(texts)
+        held, size = [], 0
+        for i, t in enumerate(texts):
+            if t and any(s in t for s in self.special):  # an added token's string: the library handles the whole text
+                out[i] = np.concatenate([self.raw([t])[0], self.ids[:1]])
+                continue
+            held.append((i, [*words(t), ""]))
+            size += len(held[-1][1])
+            if size >= HOLD_RUNS:
+                self.fill(out, held)
+                held, size = [], 0
+        if held:
+            self.fill(out, held)
         return out
 
+    def fill(self, out: list, held: list[tuple[int, list[str]]]) -> None:
+        """The ids of the held texts, gathered from the table of runs in one step."""
+        if len(self.codes) > MEMO:
+            self.reset()
+        sizes = [len(s) for _, s in held]
+        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(s for _, s in held)), np.int64, sum(sizes))
+        self.learn()
+        start, n = self.offsets[code], self.offsets[code + 1] - self.offsets[code]
+        ends = np.cumsum(n)
+        ids = self.ids[np.repeat(start - ends + n, n) + np.arange(ends[-1])]
+        for (i, _), own in zip(held, np.split(ids, ends[np.cumsum(sizes) - 1][:-1])):
+            out[i] = own
+
 
 _tokenisers: dict[int, Ids] = {}
 
