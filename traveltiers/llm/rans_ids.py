@@ -32,7 +32,8 @@ BLOCK_IDS = 1 << 17
 STEP_IDS = 1 << 16
 SCALE = 20  # frequencies sum to 2**SCALE
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
-MEMO = 300_000
+#: Runs that a worker remembers (some 150 MB); 24 batches of 512 documents held 670,000 distinct ones.
+MEMO = 1_000_000
 #: Runs of whole texts that are gathered at once.
 HOLD_RUNS = 500_000
 
