@@ -249,6 +249,44 @@ def test_jaccard_gray_zone(spark):
     assert rows_of(jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == slow_components(rows)
 
 
+def slow_groups(texts):
+    """Rows by component (rows without words by themselves), ids left aside."""
+    def grams(t):
+        ws = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return {tuple(ws[i:i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+    sets, comp = [grams(t) for t in texts], list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            comp = [comp[a] if c == comp[b] else c for c in comp]
+    return [[i for i, c in enumerate(comp) if c == x] for x in sorted(set(comp))]
+
+
+def check_kept(docs):
+    """Of each component exactly one row stays, one with its least id; null ids come last."""
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    left = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_documents(docs).collect()]
+    groups = slow_groups([t for _, t in rows])
+    assert len(left) == len(groups)
+    for g in groups:
+        own = {rows[i] for i in g}
+        least = min((k for k, _ in own if k is not None), default=None)
+        assert [k for k, t in left if (k, t) in own] == [least]
+
+
+def test_jaccard_keeps_one_row_a_group(docs):
+    check_kept(docs)
+
+
+def test_jaccard_keeps_texts_of_one_id(spark):
+    """Texts of one id, or of none, that link with nothing stay; copies go, whatever their id."""
+    texts = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(30)]
+    rows = [(7, t) for t in texts[:10]] + [(None, t) for t in texts[10:20]] * 3 + [(3, texts[20]), (5, texts[20] + " x"), (5, texts[21]), (9, texts[21]), (9, texts[21])]
+    rows += [(None, texts[22]), (None, texts[22] + " y"), (None, texts[23]), (4, texts[23])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_kept(docs)
+    assert jaccard_join.keep_documents(docs).count() == 24
+
+
 def test_leaks(spark):
     item = "In 2019 the farmer Smith sold 12 kg of rice to the miller and then walked 30 miles over the old hill road."
     other = item.replace("Smith", "Jones").replace("12", "48").replace("2019", "1876").replace("30", "77")

@@ -106,15 +106,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row: id, sig (of the set), n (its size), shingles (the sorted hashes as bytes)."""
-    named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
+def text_hash(text: str):
+    """128 bits of a text; null for null."""
+    return F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
+
+
+def sets(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
+    """Per row: id, sig (of the set), n (its size), shingles (the sorted hashes as bytes), and ``with_text`` th, the text's hash."""
+    named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"), *[text_hash(text).alias("th")] * with_text)
 
     def run(cols: dict) -> dict:
         data = [packed(shingles(t)) for t in cols["t"]]
-        return {"id": cols["id"], "sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // BYTES for d in data], "shingles": data}
+        return cols | {"sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // BYTES for d in data], "shingles": data}
 
-    return map_batches(named, run, "id long, sig binary, n int, shingles binary")
+    return map_batches(named, run, "id long, " + "th binary, " * with_text + "sig binary, n int, shingles binary")
 
 
 def heavy_table(spark: SparkSession, staged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -352,12 +357,12 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return out.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
 
 
-def joined(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """Per row: id, sig, n, component."""
+def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> DataFrame:
+    """Per row: id, sig, n, comp (the component's least signature), component (its least id), and ``with_text`` th."""
     spark = docs.sparkSession
     # Kept on the executors' disks while the join runs; a lost executor's part is made again from its documents.
-    staged = sets(docs, text, key).persist(StorageLevel.DISK_ONLY)
-    plain = cut(staged.select("id", "sig", "n"))
+    staged = sets(docs, text, key, with_text).persist(StorageLevel.DISK_ONLY)
+    plain = cut(staged.drop("shingles"))
     classes = cut(plain.filter("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least")))
 
     known, counts = heavy_table(spark, staged)
@@ -388,27 +393,35 @@ def joined(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     least = cut(classes.join(final, "sig", "left").select("sig", "least", F.coalesce("comp", "sig").alias("comp")))
     roots = least.groupBy("comp").agg(F.min("least").alias("component"))
-    member = cut(least.join(roots, "comp").select("sig", "component"))
+    member = cut(least.join(roots, "comp").select("sig", "comp", "component"))
     return plain.join(member, "sig", "left").withColumn("component", F.when(F.col("id").isNotNull(), F.col("component")))
 
 
 def keep_documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component, with all its columns: the one whose id names it; rows without id, or without words, stay.
+    """One row of each component, with all its columns: the one with the least id (null comes last), then signature; rows without words stay.
 
-    A kept id that stands on several rows stays once.
+    Rows are told apart by id and text, so the texts of one id, or of no id, are judged one by
+    one. Repeats of a row in both go.
     """
     names = tuple(docs.columns)
-    own = "__id"
-    while own in names:
-        own += "_"
-    out = joined(docs, text, key).filter("n > 0 and id is not null")
-    gone = out.filter("component != id").select(F.col("id").alias(own)).distinct()
-    again = out.filter("component = id").groupBy("id").count().filter("count > 1").select(F.col("id").alias(own))
-    stay = docs.withColumn(own, F.col(f"`{key}`").cast("long")).join(gone, own, "left_anti")
+    rows = joined(docs, text, key, with_text=True).filter("n > 0")
+    # One entry for an id and text; from here on no key is held by many.
+    held = cut(rows.groupBy("id", "th", "sig", "comp").count())
+    first = held.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sig", "th")).alias("x"))
+    first = cut(first.select(F.col("x.id").alias("kid"), F.col("x.th").alias("kth")))
+    of_first = held["id"].eqNullSafe(first["kid"]) & (held["th"] == first["kth"])
+    gone = held.join(first, of_first, "left_anti").select("id", "th")
+    again = cut(held.filter("count > 1").join(first, of_first, "left_semi").select("id", "th"))
+    own = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)], F.col(f"`{key}`").cast("long").alias("__id"), text_hash(text).alias("__th"))
+
+    def met(left: DataFrame, right: DataFrame):
+        return left["__id"].eqNullSafe(right["id"]) & (left["__th"] == right["th"])
+
+    stay = own.join(gone, met(own, gone), "left_anti")
     if again.limit(1).count():
-        once = stay.join(again, own, "left_semi").dropDuplicates([own])
-        stay = stay.join(again, own, "left_anti").unionByName(once)
-    return stay.select(*[F.col(f"`{c}`") for c in names])
+        once = stay.join(again, met(stay, again), "left_semi").dropDuplicates(["__id", "__th"])
+        stay = stay.join(again, met(stay, again), "left_anti").unionByName(once)
+    return stay.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(names)])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
