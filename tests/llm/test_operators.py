@@ -178,6 +178,18 @@ def test_rans_files(docs, spark, tmp_path, monkeypatch):
     assert keys == sorted(keys)
 
 
+def test_rans_case_of_added_tokens():
+    """An added token's string in another case is ordinary text, also where its run is shared or stands within a word."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    own = rans_ids.Ids(open(path, encoding="utf-8").read())
+    texts = ["<|ENDOFTEXT|>", "<|StartOfText|>", "A <|EndOfText|> b<|STARTOFTEXT|>C, Word, word", "<|endoftext|>", "x <|startoftext|> <|ENDOFTEXT|>", "<|ENDOFTEXT|>.", "Word, WORD. word"]
+    for t, ids in zip(texts, own.of(texts)):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids + [2], t
+
+
 def test_rans_block_parts():
     rnd = np.random.default_rng(1)
     for n in (0, 1, 1023, 1024, 1025, 200_000):

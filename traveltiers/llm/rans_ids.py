@@ -174,8 +174,9 @@ class Ids:
         new, self.codes.new = self.codes.new, []
         if not new:
             return
-        # Lower-cased ASCII without its closing mark: one entry serves the word's other forms.
-        plain = [(r.lower(), "") if r.isascii() else (r, "") for r in new]
+        # Lower-cased ASCII without its closing mark: one entry serves the word's other forms. Not where that would make an added token.
+        lower = [r.lower() if r.isascii() else r for r in new]
+        plain = [(r, "") if any(s in x for s in self.special) else (x, "") for r, x in zip(new, lower)]
         plain = [(a[:-1], a[-1]) if a[-1] in ",." and a[:-1].isalpha() and a.isascii() else (a, b) for a, b in plain]
         need = list({x for pair in plain for x in pair if x})
         got = dict(zip(need, self.raw(need)))
