@@ -126,6 +126,26 @@ def test_html(spark):
     assert out[1] == (want, len(want)) and out[2] == out[3] == out[4] == ("", 0) and out[5][0].startswith("deep deep")
 
 
+@pytest.mark.parametrize("before, after", [
+    ("<body class='has-sidebar'><article>", "</article>"), ("<body class='sidebar' id='social'><main>", "</main>"), ("<article class='post tag-news related-1'>", "</article>"),
+    ("<article class='social'>", "</article>"), ("<div class='with-sidebar'>", "</div>"), ("<div class='sidebar-left'><main>", "</main></div>"), ("<div id='modal'>", "</div>"),
+    ("<form id='aspnetForm'><article>", "</article></form>"), ("<form><div>", "</div></form>"), ("<div class='post related-1'>", "</div>")])
+def test_html_names_of_whole_pages(before, after):
+    """Names and forms around the whole page cost nothing; those of its parts still do."""
+    text = " ".join(f"word{i}" for i in range(50)) + "."
+    noise = "<div class='related'><p>Other things to read here.</p></div><form><p>Your mail, please.</p></form>"
+    assert html_cut.main_text(f"<html>{before}<p>{text}</p>{after}</html>") == text
+    assert html_cut.main_text(f"<html>{before}<p>{text}</p>{noise}{after}</html>") == text
+
+
+def test_html_comments_stay_out():
+    """Comments go also where they hold most of the text, with an article of their own each."""
+    text, said = " ".join(f"word{i}" for i in range(50)) + ".", "I liked this very much, thanks a lot for writing it. " * 9
+    comments = f"<section id='comments'><article class='comment'><p>{said}</p></article></section>"
+    assert html_cut.main_text(f"<body><article><p>{text}</p></article>{comments}</body>") == text
+    assert html_cut.main_text(f"<body><article><p>{text}</p><article class='comment'><p>{said}</p></article></article></body>") == text
+
+
 def test_piece_counts(docs):
     import sentencepiece
 

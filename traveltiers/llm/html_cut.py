@@ -7,6 +7,11 @@ one container, are tied by smoothness edges that weigh more the closer they stan
 element tree. The minimum cut between the terminals is the labelling with the least cost;
 the content blocks, in page order, are the text.
 
+Noise names (``sidebar``, ``social``) count as a name's parts, but not after a word of state
+(``has-sidebar``, ``tag-news``) and not on html, body, main or an outer article. A noise name or
+form that is page-wide costs nothing: it holds most of the page's unlinked text and all of its
+main (or article) elements; where there are none, four fifths of the text.
+
 A block whose score outweighs all its edges keeps its sign in every minimum cut, so such
 blocks are fixed first and only the rest goes through max-flow.
 
@@ -40,6 +45,8 @@ captcha comment comments commentlist consent cookie cookies copyright cta dialog
 header hidden legal login masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination
 popup privacy promo promoted promotion recommended related replies reply respond search share sharing sidebar signup site-header
 social sponsor sponsored subscribe subscription tags teaser toolbar topbar warning widget widgets""".split())
+#: First parts of a class or id that say something of the element and don't name it.
+STATES = frozenset("has with without no not is tag category cat layout enable enabled".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 # Classifier weights, in thousandths (capacities are whole numbers).
@@ -61,12 +68,12 @@ class Block:
 
 
 class Parser(HTMLParser):
-    """Blocks of text with the stack of open elements around each: (serial, tag, marks)."""
+    """Blocks of text with the stack of open elements around each: (serial, tag, mark, mark if page-wide)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack: list[tuple[int, str, int]] = []
+        self.stack: list[tuple[int, str, int, int]] = []
         self.parts: list[str] = []
         self.serial = self.link = self.linked = 0
         self.raw = ""
@@ -93,7 +100,7 @@ class Parser(HTMLParser):
                 self.stack.pop()
             if tag not in VOID:
                 self.serial += 1
-                self.stack.append((self.serial, tag, marks(tag, attrs)))
+                self.stack.append((self.serial, tag, *marks(tag, attrs, tag == "article" and any(x[1] == "article" for x in self.stack))))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag not in ("a", "script", "style"):
@@ -120,26 +127,58 @@ class Parser(HTMLParser):
                 self.linked += len(data)
 
 
-def marks(tag: str, attrs: list) -> int:
-    """The classifier's weight of one open element."""
+def marks(tag: str, attrs: list, nested: bool = False) -> tuple[int, int]:
+    """The classifier's weight of one open element, and its weight where it is page-wide."""
     at = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "style", "aria-hidden", "itemprop")} if attrs else {}
     score = NEVER_COST if tag in NEVER else AROUND_COST if tag in AROUND else HEADER_COST if tag == "header" else IN_BODY if tag in ("article", "main") else 0
+    wide = 0 if tag == "form" else score
     if at:
-        names = set()
+        names, parts = set(), set()
         for k in ("class", "id", "itemprop"):
             for name in at.get(k, "").lower().split():
+                own = _NAME.split(name)
                 names.add(name)
-                names.update(_NAME.split(name))
-        if names & NOISE_NAMES or at.get("role", "").lower() in NOISE_ROLES or "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", ""):
+                names.update(own)
+                parts.update([name] if own[0] in STATES else [name, *own])
+        if at.get("role", "").lower() in NOISE_ROLES or "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", ""):
+            return score + NOISE_COST, score + NOISE_COST
+        noise = parts & NOISE_NAMES and (nested or tag not in ("html", "body", "main", "article"))
+        if tag not in ("html", "body") and (names & BODY_NAMES or at.get("role", "").lower() in ("main", "article")):
+            wide = max(wide, IN_BODY)
+            score = score if noise else max(score, IN_BODY)
+        if noise:
             score += NOISE_COST
-        elif tag not in ("html", "body") and (names & BODY_NAMES or at.get("role", "").lower() in ("main", "article")):
-            score = max(score, IN_BODY)
-    return score
-
-
-def classify(b: Block) -> int:
+    return score, wide
+
+
+def page_wide(blocks: list[Block]) -> set[int]:
+    """Serials of the page-wide elements among those whose noise name or form would cost."""
+    asked = {n for b in blocks for n, _, mark, wide in b.path if mark < wide}
+    if not asked:
+        return asked
+    held: dict[int, int] = dict.fromkeys(asked, 0)
+    total, outer = 0, {"main": [], "article": []}
+    for b in blocks:
+        if any(m <= NEVER_COST for _, _, m, _ in b.path):
+            continue
+        own = len(b.text) - min(b.linked, len(b.text))
+        total += own
+        for n, *_ in b.path:
+            if n in asked:
+                held[n] += own
+        tags = [t for _, t, _, _ in b.path]
+        for tag, found in outer.items():
+            if tag in tags and not {"nav", "aside", "footer"} & set(tags):
+                found.append({n for n, *_ in b.path[:tags.index(tag)]})
+    around = outer["main"] or outer["article"]
+    if around:
+        return {n for n in asked.intersection(*around) if 2 * held[n] > total}
+    return {n for n in asked if 5 * held[n] >= 4 * total}
+
+
+def classify(b: Block, wide: set[int] = frozenset()) -> int:
     """The block's score: above 0 for content."""
-    around = [m for _, _, m in b.path]
+    around = [w if n in wide else m for n, _, m, w in b.path]
     score = BIAS + max([0, *around]) + min([0, *around])
     tag = b.path[-1][1] if b.path else ""
     score += PARAGRAPH if tag in ("p", "blockquote", "pre") else HEADING if tag in HEADINGS else 0
@@ -247,7 +286,8 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     blocks = parser.blocks
-    label = cut_labels([classify(b) for b in blocks], edges(blocks))
+    wide = page_wide(blocks)
+    label = cut_labels([classify(b, wide) for b in blocks], edges(blocks))
     return "\n\n".join(b.text for b, x in zip(blocks, label) if x)
 
 
