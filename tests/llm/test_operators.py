@@ -334,6 +334,22 @@ def test_leaks(spark):
     assert template_leaks.find(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_other_case_and_excerpts(spark):
+    """Copies in title case, without case or punctuation, and a run of 13 words are found; 12 words, or a run with other numbers, aren't."""
+    item = ("When Anna met the baker in Rome, Peter told Maria that 12 wagons of flour, sent by Carlo from Milan, had been lost near the bridge of Verona; "
+            "so Anna wrote to Luca, and Luca asked Paolo whether the miller knew the road that leads over the hills.")
+    words = item.split()
+    bare = re.sub(r"[^\w ]", "", item)
+    fill = "lorem stone water grass cloud river metal paper " * 4
+    rows = list(enumerate([item, item.title(), item.lower(), item.upper(), bare, bare.title(), fill + " ".join(words[4:17]) + " " + fill, fill + " ".join(words[3:16]).title() + " " + fill,
+                           fill + " ".join(words[4:16]) + " " + fill, fill + " ".join(words[4:17]).replace("12", "77") + " " + fill, fill, None, ""]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = template_leaks.find(docs, bench).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(8)) and all(r["copied"] for r in got)
+    assert sorted(r["doc_id"] for r in template_leaks.keep_documents(docs, bench).collect()) == [8, 9, 10, 11, 12]
+
+
 @pytest.mark.parametrize("name", ["host", "weak", "jaccard", "leaks", "toxic", "pieces", "bpe", "rans"])
 def test_empty_tables(spark, docs, name, tmp_path):
     none = docs.limit(0)
