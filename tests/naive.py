@@ -17,7 +17,12 @@ def _flags(fact):
     """The fact with one 0/1 column per kind of event and the money of bookings."""
     booked = F.coalesce("purchased", F.lit(False))
     return fact.select("*", F.coalesce("clicked", F.lit(False)).cast("bigint").alias("is_click"), booked.cast("bigint").alias("is_booking"),
-                       F.when(booked, F.col("price_usd").cast("decimal(18,2)")).alias("money"))
+                       F.when(booked, F.col("price_usd").cast("decimal(18,2)")).otherwise(0).alias("money"))
+
+
+def _revenue():
+    """NULL only where every row is a booking without a price; a row that matched nothing counts 0."""
+    return F.sum(F.when(F.col("is_booking").isNull(), F.lit(0).cast("decimal(18,2)")).otherwise(F.col("money")))
 
 
 def destinations(dim, fact):
@@ -25,11 +30,11 @@ def destinations(dim, fact):
     joined = dim.join(_flags(fact), "destination_id", "left")
     out = joined.groupBy(*DEST).agg(
         F.count("*").alias("total_views"), F.coalesce(F.sum("is_click"), zero).alias("total_clicks"), F.coalesce(F.sum("is_booking"), zero).alias("total_bookings"),
-        F.coalesce(F.sum("money"), F.lit(0).cast("decimal(18,2)")).alias("revenue"), F.count_distinct("user_id").alias("unique_visitors"),
+        _revenue().alias("revenue"), F.count_distinct("user_id").alias("unique_visitors"),
         F.count_distinct(F.when(F.col("is_booking") == 1, F.col("user_id"))).alias("unique_buyers"),
         F.min("transaction_timestamp").alias("first_transaction"), F.max("transaction_timestamp").alias("last_transaction"))
     for name, by in (("booking_rank", "total_bookings"), ("revenue_rank", "revenue")):
-        out = out.withColumn(name, F.rank().over(Window.orderBy(F.desc(by))).cast("bigint"))
+        out = out.withColumn(name, F.rank().over(Window.orderBy(F.desc_nulls_last(by))).cast("bigint"))
     return (out.withColumn("click_rate_pct", _share(F.col("total_clicks"), F.col("total_views")))
             .withColumn("booking_rate_pct", _share(F.col("total_bookings"), F.col("total_clicks")))
             .withColumn("total_revenue_usd", F.col("revenue").cast("double")).drop("revenue"))
@@ -42,7 +47,7 @@ def users(dim, fact):
     out = joined.groupBy(*USER).agg(
         F.count("transaction_id").alias("total_interactions"), F.coalesce(F.sum("is_click"), zero).alias("total_clicks"),
         F.coalesce(F.sum("is_booking"), zero).alias("total_purchases"), F.count("*").alias("rows"),
-        F.coalesce(F.sum("money"), F.lit(0).cast("decimal(18,2)")).alias("spend"), F.count_distinct("destination_id").alias("destinations_viewed"),
+        _revenue().alias("spend"), F.count_distinct("destination_id").alias("destinations_viewed"),
         F.count_distinct(F.when(F.col("is_booking") == 1, F.col("destination_id"))).alias("destinations_booked"),
         F.min("transaction_timestamp").alias("first_activity"), F.max("transaction_timestamp").alias("last_activity"))
     tier = F.lit("bronze")

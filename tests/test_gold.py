@@ -193,3 +193,48 @@ def test_shared_pairs_give_the_same_tables(spark):
     a = gold.gold_user_engagement(L.silver_users, fact, L.run_ts, pairs=pairs)
     b = L.gold_user_engagement
     assert _compare(a, b, b.columns)[:2] == (0, 0)
+
+
+def test_partials_give_days_and_months_without_expand(spark, frames):
+    """Item sets merge exactly: days and months equal countDistinct, also for NULL and negative ids and a NULL timestamp."""
+    import contextlib
+    import io
+
+    fact, _, _ = frames
+    odd = [(20 + i, ts(f"2024-01-{8 + i % 3:02d} 01:00:00"), u, k, True, i % 2 == 0, 1.25 * i, 2024, 1, "weekday")
+           for i, (u, k) in enumerate([(-1, 10), (-64, 11), (None, 12), (63, None), (64, -65), (1 << 62, 10), (-(1 << 63), 11), (1, 10), (1, 10)])]
+    fact = fact.unionByName(spark.createDataFrame(odd + [(40, None, 7, 10, True, True, None, None, None, "weekday")], FACT_SCHEMA))
+    fact = fact.withColumn("report_date", F.to_date("transaction_timestamp"))
+    partials = gold.purchase_partials(fact)
+    for got, keys, u, d in [
+        (gold.gold_daily_revenue_metrics(fact), gold.DAY_KEYS, "unique_users", "unique_destinations"),
+        (gold.gold_monthly_summary(fact), gold.MONTH_KEYS, "active_users", "destinations_in_demand"),
+        (gold.gold_monthly_summary(None, partials=partials), gold.MONTH_KEYS, "active_users", "destinations_in_demand"),
+    ]:
+        want = fact.groupBy(*keys).agg(F.countDistinct("user_id").alias(u), F.countDistinct("destination_id").alias(d))
+        assert got.select(*keys, u, d).exceptAll(want).count() == 0 and got.count() == want.count()
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            got.explain()
+        assert "Expand" not in plan.getvalue() and plan.getvalue().count("Union") == 1
+    assert partials.agg(F.sum("_n")).first()[0] == fact.count()
+
+
+def test_months_do_not_depend_on_the_path(spark):
+    L = Layers(fixture(spark, SF_MID, "B"))
+    a = gold.gold_monthly_summary(L.silver_travel_purchases, L.run_ts)
+    b = gold.gold_monthly_summary(None, L.run_ts, gold.purchase_partials(L.silver_travel_purchases))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_id_sets(spark):
+    from traveltiers.operators import idsets
+
+    values = [0, 1, 63, 64, -1, -64, -65, (1 << 63) - 1, -(1 << 63), 5, 5, None]
+    df = spark.createDataFrame([(v, v if v != 5 else None) for v in values], "a bigint, b bigint")
+    sets = idsets.words(df, {"a": "a", "b": "b"})
+    got = {(r["kind"], r["id"]) for r in idsets.ids(sets).collect()}
+    assert got == {("a", v) for v in values if v is not None} | {("b", v) for v in values if v is not None and v != 5}
+    assert {r["kind"]: r["n"] for r in sets.groupBy("kind").agg(idsets.size().alias("n")).collect()} == {"a": 10, "b": 9}
+    other = idsets.words(spark.createDataFrame([(64,), (7,), (None,)], "a bigint"), {"a": "a"})
+    assert {r["id"] for r in idsets.ids(idsets.minus(sets.where("kind = 'a'"), other)).collect()} == {v for v in values if v is not None and v != 64}

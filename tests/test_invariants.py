@@ -39,7 +39,7 @@ def test_destination_invariants(L):
 
 def test_engagement_invariants(L):
     eng = L.gold_user_engagement
-    assert eng.count() == 1517
+    assert eng.count() == 1571
     bad = eng.filter((F.col("destinations_booked") > F.col("destinations_viewed"))
                      | (F.col("total_purchases") > F.col("total_interactions"))
                      | (F.col("engagement_days") < 0)).count()

@@ -79,3 +79,24 @@ def test_operators_run_in_whole_stage_codegen(layers_b, table):
            if any(k in ln for k in ("Project [", "HashAggregate(", "Filter ", "Expand [",
                                     "BroadcastHashJoin", "SortMergeJoin"))]
     assert ops and all("*(" in ln for ln in ops), [ln.strip()[:80] for ln in ops if "*(" not in ln]
+
+
+def test_ranks_read_the_fact_once(layers_b):
+    """The metrics hold the only scan of the fact; the ranks stand on their materialised rows, through one rank table."""
+    assert plan(layers_b.destination_metrics).count("ReadSchema: struct<l_") == 1
+    perf = layers_b.gold_destination_performance
+    assert "ReadSchema" not in plan(perf)
+    perf.collect()
+    final = perf._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Window [") == 1 and "ReusedExchange" in final
+
+
+def test_orphan_checks_read_the_fact_once(layers_b):
+    from traveltiers.operators import quality
+
+    checks = quality.referential_integrity_checks(layers_b.tables())
+    p = plan(checks)
+    assert p.count("ReadSchema: struct<l_") == 1 and "LeftAnti" not in p
+    p = plan(quality.table_checks(checks.sparkSession, [quality.TablePart(layers_b.silver_users, "silver_users", "silver"),
+                                                        quality.TablePart(layers_b.silver_destinations, "silver_destinations", "silver")]))
+    assert p.split("\n\n")[0].count("Exchange") == 2  # one grouped aggregate, and the layout of its rows

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traveltiers.functions import rules as R
+from traveltiers.operators import idsets
 from traveltiers.operators.ranking import rank_desc
 from traveltiers.operators.silver import latest_user_snapshot
 
@@ -97,23 +98,62 @@ def _scaled(matched: Column, m: Column, value: str, unmatched: Column) -> Column
     return F.when(matched, m * F.col(value)).otherwise(unmatched)
 
 
-def gold_daily_revenue_metrics(purchases: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Grain: (date, year, month, day type); year, month and day type follow from the date."""
-    m = _purchase_measures()
-    price = F.col("price_usd")
-    bought_price = F.when(F.col("purchased"), price)
-    g = purchases.groupBy(
-        F.to_date("transaction_timestamp").alias("report_date"),
-        "transaction_year", "transaction_month", "day_type",
-    ).agg(
-        *[e.alias(n) for n, e in m.items()],
-        F.min(bought_price).alias("min_transaction_usd"),
-        F.max(bought_price).alias("max_transaction_usd"),
-        F.countDistinct("user_id").alias("unique_users"),
-        F.countDistinct("destination_id").alias("unique_destinations"),
-    )
+DAY_KEYS = ["report_date", "transaction_year", "transaction_month", "day_type"]
+MONTH_KEYS = ["transaction_year", "transaction_month"]
+_SUMS = ["_n", "_clicks", "_purchases", "_revenue", "_bought_sum", "_bought_n"]
+
+
+def purchase_partials(purchases: DataFrame, keys: list[str] = DAY_KEYS) -> DataFrame:
+    """Re-aggregatable partials by ``keys``, in one pass over the fact and without ``Expand``.
+
+    One row per (keys, kind, word): the ids of that kind (``user`` or ``destination``) as bits of
+    a 64-bit word (``operators.idsets``). The measures stand on the user rows alone. Everything
+    merges by sum, min, max and OR, so a table of daily partials gives days, months, any other
+    grain and the distinct keys of the fact. A hot day spreads over its words.
+    """
+    price, cents = F.col("price_usd"), R.cents("price_usd")
+    bought = F.when(F.col("purchased"), cents)
+    one, none, no_price = F.lit(1).cast("bigint"), F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    flag = lambda c: F.when(F.col(c), 1).otherwise(0).cast("bigint")
+    measures = {
+        "_n": one, "_clicks": flag("clicked"), "_purchases": flag("purchased"),
+        # SUM(CASE WHEN purchased THEN price ELSE 0 END): NULL only when every row is a NULL-price purchase.
+        "_revenue": F.when(F.col("purchased"), cents).otherwise(F.lit(0).cast("bigint")),
+        "_bought_sum": bought, "_bought_n": F.when(bought.isNotNull(), 1).otherwise(0).cast("bigint"),
+    }
+    paid = F.when(F.col("purchased"), price)
+    user = F.struct(F.lit("user").alias("kind"), idsets.word_of("user_id").alias("word"), idsets.bit_of("user_id").alias("bit"),
+                    *[e.alias(n) for n, e in measures.items()], paid.alias("_paid"))
+    destination = F.struct(F.lit("destination").alias("kind"), idsets.word_of("destination_id").alias("word"),
+                           idsets.bit_of("destination_id").alias("bit"), *[none.alias(n) for n in measures], no_price.alias("_paid"))
+    own = {"report_date": F.to_date("transaction_timestamp")}
+    rows = purchases.select(*[own.get(k, F.col(k)).alias(k) for k in keys], F.inline(F.array(user, destination)))
+    return rows.groupBy(*keys, "kind", "word").agg(
+        F.bit_or("bit").alias("bits"), *[F.sum(n).alias(n) for n in _SUMS], F.min("_paid").alias("_min"), F.max("_paid").alias("_max"))
+
+
+def merge_partials(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Partials of a coarser grain from those of a finer one."""
+    return partials.groupBy(*keys, "kind", "word").agg(
+        F.bit_or("bits").alias("bits"), *[F.sum(n).alias(n) for n in _SUMS], F.min("_min").alias("_min"), F.max("_max").alias("_max"))
+
+
+def _grain(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per ``keys``: the sums, and the exact distinct counts as set sizes."""
+    distinct = lambda kind: F.sum(F.when(F.col("kind") == kind, F.coalesce(F.bit_count("bits"), F.lit(0))).otherwise(0)).cast("bigint")
+    return partials.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in _SUMS], F.min("_min").alias("_min"), F.max("_max").alias("_max"),
+        distinct("user").alias("_users"), distinct("destination").alias("_destinations"))
+
+
+def gold_daily_revenue_metrics(purchases: DataFrame | None, run_ts: str | None = None, partials: DataFrame | None = None) -> DataFrame:
+    """Grain: (date, year, month, day type); year, month and day type follow from the date.
+
+    ``partials`` (from ``purchase_partials``) replaces the pass over the fact when given.
+    """
+    g = _grain(purchase_partials(purchases) if partials is None else partials, DAY_KEYS)
     return g.select(
-        "report_date", "transaction_year", "transaction_month", "day_type",
+        *DAY_KEYS,
         F.col("_n").alias("total_transactions"),
         F.col("_clicks").alias("total_clicks"),
         F.col("_purchases").alias("total_purchases"),
@@ -121,7 +161,8 @@ def gold_daily_revenue_metrics(purchases: DataFrame, run_ts: str | None = None)
         R.pct("_purchases", "_clicks").alias("click_to_purchase_rate_pct"),
         R.money_from_cents("_revenue").alias("total_revenue_usd"),
         R.avg_cents("_bought_sum", "_bought_n").alias("avg_transaction_value_usd"),
-        "min_transaction_usd", "max_transaction_usd", "unique_users", "unique_destinations",
+        F.col("_min").alias("min_transaction_usd"), F.col("_max").alias("max_transaction_usd"),
+        F.col("_users").alias("unique_users"), F.col("_destinations").alias("unique_destinations"),
         R.audit_ts(run_ts).alias("_generated_at"),
     )
 
@@ -217,27 +258,24 @@ def gold_user_engagement(users: DataFrame, purchases: DataFrame, run_ts: str | N
     )
 
 
-def gold_monthly_summary(purchases: DataFrame, run_ts: str | None = None) -> DataFrame:
+def gold_monthly_summary(purchases: DataFrame | None, run_ts: str | None = None, partials: DataFrame | None = None) -> DataFrame:
     """Grain (year, month) plus the previous row's revenue.
 
-    The LAG window runs over the aggregated months only: at most 12 rows per
+    ``partials`` of days (``purchase_partials``) roll up to months when given; otherwise the fact
+    is read once. The LAG window runs over the aggregated months only: at most 12 rows per
     calendar year of data, so one task is a proven bound.
     """
-    m = _purchase_measures()
-    g = purchases.groupBy("transaction_year", "transaction_month").agg(
-        *[e.alias(n) for n, e in m.items()],
-        F.countDistinct("user_id").alias("active_users"),
-        F.countDistinct("destination_id").alias("destinations_in_demand"),
-    )
+    months = purchase_partials(purchases, MONTH_KEYS) if partials is None else merge_partials(partials, MONTH_KEYS)
+    g = _grain(months, MONTH_KEYS)
     revenue = R.money_from_cents("_revenue")
     order = Window.orderBy(F.asc_nulls_first("transaction_year"), F.asc_nulls_first("transaction_month"))
     return g.select(
-        "transaction_year", "transaction_month",
+        *MONTH_KEYS,
         F.col("_n").alias("total_transactions"),
         F.col("_purchases").alias("total_bookings"),
         revenue.alias("monthly_revenue_usd"),
         R.avg_cents("_bought_sum", "_bought_n").alias("avg_booking_value_usd"),
-        "active_users", "destinations_in_demand",
+        F.col("_users").alias("active_users"), F.col("_destinations").alias("destinations_in_demand"),
         R.pct("_purchases", "_n").alias("monthly_conversion_pct"),
         F.lag(revenue, 1).over(order).alias("prev_month_revenue"),
         R.audit_ts(run_ts).alias("_generated_at"),

@@ -9,13 +9,15 @@ reach the driver (at the gate).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from traveltiers.operators import idsets
 from traveltiers.sources.tables import resolve
 
 # ---------------------------------------------------------------------------
@@ -60,6 +62,17 @@ REFERENCES = [
 CHECK_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CHECK_COLUMNS])
 
 
+@dataclass(frozen=True)
+class TablePart:
+    """A table and what is checked on it: the time column of its freshness, and ``(expected, violation)`` rules."""
+
+    df: DataFrame
+    name: str
+    layer: str
+    ts_col: str | None = None
+    rules: Sequence[tuple[str, Column]] = ()
+
+
 class DataQualityError(Exception):
     """Raised by the gate after the audit log is written, when a check FAILs."""
 
@@ -94,26 +107,46 @@ def record_count_check(spark: SparkSession, table: str | DataFrame, name: str, l
                       F.when(n > 0, F.lit(PASS)).otherwise(F.lit(FAIL)))
 
 
-def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Distinct non-NULL ``key`` values of ``fact`` absent from ``dim``.
+def key_sets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct non-NULL values of several ``bigint`` key columns as id sets, in one pass (``operators.idsets``)."""
+    return idsets.words(df, {k: k for k in keys})
 
-    Both sides are reduced to distinct keys (map-side combined) before the
-    anti join, so a hot key costs one row, not a third of the fact.
+
+def orphan_sets(fact_sets: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Ids of the fact's key sets absent from their dimension, as id sets: ``dims`` maps a key to its dimension.
+
+    The fact's keys were reduced to words before any shuffle (a hot key costs one row a task), and
+    one aggregate over the words of both sides takes the place of an anti join a key.
     """
-    return (
-        fact.select(key).distinct()
-        .join(dim.select(key).distinct(), key, "left_anti")
-        .filter(F.col(key).isNotNull())
-    )
+    return idsets.minus(fact_sets, idsets.union_of([key_sets(dim, [key]) for key, dim in dims.items()]))
+
+
+def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Distinct non-NULL ``key`` values of ``fact`` absent from ``dim``."""
+    return idsets.ids(orphan_sets(key_sets(fact, [key]), {key: dim})).select(F.col("id").alias(key))
+
+
+def fact_key_sets(partials: DataFrame) -> DataFrame:
+    """The fact's user and destination ids from its stored partials (``gold.purchase_partials``): no pass over the fact."""
+    kinds = F.concat("kind", F.lit("_id"))
+    return partials.where(F.col("word").isNotNull()).groupBy(kinds.alias("kind"), "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def _orphan_rows(orphans: DataFrame, references: Sequence[tuple[str, str, str]], layer: str) -> DataFrame:
+    """One check row per ``(key, dimension, label)``, also where there are no orphans."""
+    counts = [F.coalesce(F.sum(F.when(F.col("kind") == key, F.bit_count("bits"))), F.lit(0)).cast("bigint").alias(f"_n{i}")
+              for i, (key, _, _) in enumerate(references)]
+    rows = []
+    for i, (_, _, label) in enumerate(references):
+        n = F.col(f"_n{i}")
+        rows.append(_row(REFERENTIAL_INTEGRITY, label, layer, EXPECT_NO_ORPHANS, n, F.when(n == 0, F.lit(PASS)).otherwise(F.lit(WARN))))
+    return orphans.agg(*counts).select(F.inline(F.array(*rows)))
 
 
 def referential_integrity_check(fact: DataFrame, dim: DataFrame, key: str, label: str,
                                 layer: str = "silver") -> DataFrame:
     """PASS with 0 orphan keys, else WARN (never FAIL)."""
-    agg = orphan_keys(fact, dim, key).agg(F.count(F.lit(1)).alias("_n"))
-    n = F.col("_n")
-    return _check_row(agg, REFERENTIAL_INTEGRITY, label, layer, EXPECT_NO_ORPHANS, n,
-                      F.when(n == 0, F.lit(PASS)).otherwise(F.lit(WARN)))
+    return _orphan_rows(orphan_sets(key_sets(fact, [key]), {key: dim}), [(key, "", label)], layer)
 
 
 def _one_decimal(age: Column) -> Column:
@@ -172,11 +205,10 @@ def record_count_checks(spark: SparkSession, tables: dict[str, str | DataFrame],
     )
 
 
-def referential_integrity_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    fact = tables["silver_travel_purchases"]
-    return union_checks(
-        referential_integrity_check(fact, tables[dim], key, label) for key, dim, label in REFERENCES
-    )
+def referential_integrity_checks(tables: Mapping[str, DataFrame], partials: DataFrame | None = None) -> DataFrame:
+    """Every reference of the fact from one pass over it, or from its ``partials`` without one."""
+    sets = key_sets(tables["silver_travel_purchases"], [k for k, _, _ in REFERENCES]) if partials is None else fact_key_sets(partials)
+    return _orphan_rows(orphan_sets(sets, {key: tables[dim] for key, dim, _ in REFERENCES}), REFERENCES, "silver")
 
 
 def freshness_checks(spark: SparkSession, tables: dict[str, str | DataFrame], as_of: str | None = None,
@@ -220,86 +252,112 @@ def _row(check: str, table: str, layer: str | Column, expected: str, actual: Col
     )
 
 
-def table_checks(df: DataFrame, name: str, layer: str, ts_col: str | None = None, as_of: str | None = None,
-                 rules: Sequence[tuple[str, Column]] = ()) -> DataFrame:
-    """All checks of one table from a single aggregate over it: the record count, the freshness of
-    ``ts_col`` and each ``(expected, violation)`` rule, unpivoted into one check row each."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if ts_col:
-        aggs.append(F.max(F.col(ts_col).cast("timestamp")).alias("_max"))
-    aggs += [F.count_if(v).alias(f"_bad{i}") for i, (_, v) in enumerate(rules)]
-    agg = df.agg(*aggs)
-    n = F.col("_n")
-    rows = [_row(RECORD_COUNT, name, layer, EXPECT_ROWS, n, F.when(n > 0, F.lit(PASS)).otherwise(F.lit(FAIL)))]
-    if ts_col:
-        actual, status = _age(F.col("_max"), as_of, FRESHNESS_LIMIT_HOURS)
-        rows.append(_row(DATA_FRESHNESS, name, F.substring_index(F.lit(name), "_", 1), EXPECT_FRESH,
-                         actual, status))
-    for i, (expected, _) in enumerate(rules):
-        bad = F.col(f"_bad{i}")
-        rows.append(_row(BUSINESS_RULE, name, layer, expected, bad,
-                         F.when(bad == 0, F.lit(PASS)).otherwise(F.lit(FAIL))))
-    return agg.select(F.inline(F.array(*rows)))
-
-
-def _quality_parts(spark: SparkSession, tables: dict[str, str | DataFrame],
-                   as_of: str | None) -> list[tuple[Callable[[], DataFrame], list[dict[str, str]]]]:
-    """Per table and per reference: what makes its checks, and the names of those checks."""
-    fresh = dict(FRESHNESS_COLUMNS)
-    rules: dict[str, list[tuple[str, Column]]] = {}
-    for t, _, expected, violation in business_rules():
-        rules.setdefault(t, []).append((expected, violation))
-
-    def get(name: str) -> DataFrame:
-        return resolve(spark, tables.get(name, name))
-
-    def of_table(name: str, layer: str) -> DataFrame:
-        return table_checks(get(name), name, layer, fresh.get(name), as_of, rules.get(name, []))
-
-    def of_reference(key: str, dim: str, label: str) -> DataFrame:
-        return referential_integrity_check(get("silver_travel_purchases"), get(dim), key, label)
-
-    parts = []
-    for name, layer in LAYER_TABLES:
-        checks = [(RECORD_COUNT, EXPECT_ROWS)]
-        if name in fresh:
-            checks.append((DATA_FRESHNESS, EXPECT_FRESH))
-        checks += [(BUSINESS_RULE, expected) for expected, _ in rules.get(name, [])]
-        parts.append((partial(of_table, name, layer),
-                      [{"check": c, "table": name, "layer": layer, "expected": e} for c, e in checks]))
-    for key, dim, label in REFERENCES:
-        parts.append((partial(of_reference, key, dim, label), [{
-            "check": REFERENTIAL_INTEGRITY, "table": label, "layer": "silver", "expected": EXPECT_NO_ORPHANS}]))
-    return parts
-
+def table_checks(spark: SparkSession, parts: Sequence[TablePart], as_of: str | None = None) -> DataFrame:
+    """All checks of several tables from one grouped aggregate over their tagged rows.
 
-def quality_checks(spark: SparkSession, tables: dict[str, str | DataFrame], as_of: str | None = None) -> DataFrame:
+    A row of a table brings its tag, its time and whether it violates each rule; one aggregate by
+    tag (map-side combined, so a task passes on one row a table) gives count, latest time and
+    violations, and a second one over these few rows lays them out, also for tables without rows.
+    """
+    depth = max((len(p.rules) for p in parts), default=0)
+    tagged = []
+    for tag, p in enumerate(parts):
+        when = F.col(p.ts_col).cast("timestamp") if p.ts_col else F.lit(None).cast("timestamp")
+        broken = [F.coalesce(v, F.lit(False)) for _, v in p.rules] + [F.lit(False)] * (depth - len(p.rules))
+        tagged.append(p.df.select(F.lit(tag).alias("_tag"), when.alias("_ts"), *[v.alias(f"_bad{i}") for i, v in enumerate(broken)]))
+    by_tag = idsets.union_of(tagged).groupBy("_tag").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_ts").alias("_max"), *[F.count_if(f"_bad{i}").alias(f"_bad{i}") for i in range(depth)])
+    of = lambda tag, c: F.max(F.when(F.col("_tag") == tag, F.col(c)))
+    flat, rows = [], []
+    for tag, p in enumerate(parts):
+        n = F.col(f"_n{tag}")
+        flat.append(F.coalesce(of(tag, "_n"), F.lit(0).cast("bigint")).alias(f"_n{tag}"))
+        rows.append(_row(RECORD_COUNT, p.name, p.layer, EXPECT_ROWS, n, F.when(n > 0, F.lit(PASS)).otherwise(F.lit(FAIL))))
+        if p.ts_col:
+            flat.append(of(tag, "_max").alias(f"_max{tag}"))
+            actual, status = _age(F.col(f"_max{tag}"), as_of, FRESHNESS_LIMIT_HOURS)
+            rows.append(_row(DATA_FRESHNESS, p.name, F.substring_index(F.lit(p.name), "_", 1), EXPECT_FRESH, actual, status))
+        for i, (expected, _) in enumerate(p.rules):
+            bad = F.col(f"_bad{tag}_{i}")
+            flat.append(F.coalesce(of(tag, f"_bad{i}"), F.lit(0).cast("bigint")).alias(f"_bad{tag}_{i}"))
+            rows.append(_row(BUSINESS_RULE, p.name, p.layer, expected, bad, F.when(bad == 0, F.lit(PASS)).otherwise(F.lit(FAIL))))
+    return by_tag.agg(*flat).select(F.inline(F.array(*rows)))
+
+
+def _check_names(name: str, layer: str) -> list[dict[str, str]]:
+    """The checks that a table has, for FAIL rows when it is missing."""
+    checks = [(RECORD_COUNT, EXPECT_ROWS)]
+    if name in dict(FRESHNESS_COLUMNS):
+        checks.append((DATA_FRESHNESS, EXPECT_FRESH))
+    checks += [(BUSINESS_RULE, expected) for t, _, expected, _ in business_rules() if t == name]
+    return [{"check": c, "table": name, "layer": layer, "expected": e} for c, e in checks]
+
+
+def _reference_name(label: str) -> dict[str, str]:
+    return {"check": REFERENTIAL_INTEGRITY, "table": label, "layer": "silver", "expected": EXPECT_NO_ORPHANS}
+
+
+def _table_part(spark: SparkSession, tables: Mapping[str, str | DataFrame], name: str, layer: str) -> TablePart:
+    rules = [(expected, violation) for t, _, expected, violation in business_rules() if t == name]
+    part = TablePart(resolve(spark, tables.get(name, name)), name, layer, dict(FRESHNESS_COLUMNS).get(name), rules)
+    # Resolved here: a table without a column that its checks need counts as missing.
+    part.df.select(*([part.ts_col] if part.ts_col else []), *[violation for _, violation in rules])
+    return part
+
+
+def quality_checks(spark: SparkSession, tables: Mapping[str, str | DataFrame], as_of: str | None = None,
+                   partials: DataFrame | None = None) -> DataFrame:
     """The 17-row audit log: 10 record counts, 2 orphan checks, 3 freshness, 2 rules.
 
-    A table's count, freshness and rules come from one aggregate over it (``table_checks``);
-    each orphan check adds one distinct-key anti join, which reads its two tables again.
-    Checks on a table that is missing are FAIL rows with the error.
+    Counts, freshness and rules of all tables come from one grouped aggregate (``table_checks``),
+    both orphan checks from one pass over the fact, or none when its ``partials``
+    (``gold.purchase_partials``) are given. Checks on a table that is missing are FAIL rows with
+    the error.
     """
-    def part(make: Callable[[], DataFrame], checks: list[dict[str, str]]) -> DataFrame:
+    parts, out = [], []
+    for name, layer in LAYER_TABLES:
         try:
-            return make()
+            parts.append(_table_part(spark, tables, name, layer))
         except Exception as e:  # a missing table: FAIL rows instead of a crashed run
-            return union_checks(_literal_row(spark, **c, actual=str(e), status=FAIL) for c in checks)
-
-    return union_checks(part(make, checks) for make, checks in _quality_parts(spark, tables, as_of))
-
-
-def audit_rows(spark: SparkSession, tables: dict[str, str | DataFrame], as_of: str | None = None) -> list[Row]:
+            out += [_literal_row(spark, **c, actual=str(e), status=FAIL) for c in _check_names(name, layer)]
+    if parts:
+        out.append(table_checks(spark, parts, as_of))
+    dims, references = {}, []
+    for key, dim, label in REFERENCES:
+        try:
+            fact = resolve(spark, tables.get("silver_travel_purchases", "silver_travel_purchases")).select(key)
+            dims[key] = resolve(spark, tables.get(dim, dim)).select(key)
+            references.append((key, dim, label))
+        except Exception as e:
+            out.append(_literal_row(spark, **_reference_name(label), actual=str(e), status=FAIL))
+    if references:
+        fact = resolve(spark, tables.get("silver_travel_purchases", "silver_travel_purchases"))
+        sets = key_sets(fact, list(dims)) if partials is None else fact_key_sets(partials)
+        out.append(_orphan_rows(orphan_sets(sets, dims), references, "silver"))
+    return union_checks(out)
+
+
+def audit_rows(spark: SparkSession, tables: Mapping[str, str | DataFrame], as_of: str | None = None,
+               partials: DataFrame | None = None) -> list[Row]:
     """The rows of ``quality_checks``, also when a table resolves but can't be read.
 
     All checks run as one query; if that fails, each table's run by themselves, and
     those that fail become FAIL rows with the error.
     """
     try:
-        return quality_checks(spark, tables, as_of).collect()  # 17 rows
+        return quality_checks(spark, tables, as_of, partials).collect()  # 17 rows
     except Exception:  # deliberate: some table can't be read; the others are still checked below
+        def one(name: str, layer: str) -> DataFrame:
+            return table_checks(spark, [_table_part(spark, tables, name, layer)], as_of)
+
+        def reference(key: str, dim: str, label: str) -> DataFrame:
+            get = lambda t: resolve(spark, tables.get(t, t))
+            return referential_integrity_check(get("silver_travel_purchases"), get(dim), key, label)
+
+        alone = [(partial(one, name, layer), _check_names(name, layer)) for name, layer in LAYER_TABLES]
+        alone += [(partial(reference, *r), [_reference_name(r[2])]) for r in REFERENCES]
         rows: list[Row] = []
-        for make, checks in _quality_parts(spark, tables, as_of):
+        for make, checks in alone:
             try:
                 rows += make().collect()
             except Exception as e:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from traveltiers.functions import rules as R
-from traveltiers.operators import extras, gold, quality, silver
+from traveltiers.operators import extras, gold, idsets, quality, silver
 from traveltiers.operators.bronze import USER_COLUMNS
 from traveltiers.plans import oracle as O
 from traveltiers.plans.layers import AS_OF, AS_OF_LATE, Layers
@@ -187,12 +187,9 @@ SELECT DISTINCT 'destination' AS kind, t.destination_id AS orphan_id
 FROM silver_p t LEFT JOIN silver_d d ON t.destination_id = d.destination_id
 WHERE d.destination_id IS NULL AND t.destination_id IS NOT NULL""")
 def anti_join_orphans(L: Layers):
-    fact = L.silver_travel_purchases
-    users = quality.orphan_keys(fact, L.silver_users, "user_id").select(
-        F.lit("user").alias("kind"), F.col("user_id").alias("orphan_id"))
-    dests = quality.orphan_keys(fact, L.silver_destinations, "destination_id").select(
-        F.lit("destination").alias("kind"), F.col("destination_id").alias("orphan_id"))
-    return users.unionByName(dests)
+    sets = quality.key_sets(L.silver_travel_purchases, ["user_id", "destination_id"])
+    orphans = quality.orphan_sets(sets, {"user_id": L.silver_users, "destination_id": L.silver_destinations})
+    return idsets.ids(orphans).select(F.regexp_replace("kind", "_id$", "").alias("kind"), F.col("id").alias("orphan_id"))
 
 
 # ---------------------------------------------------------------------------
@@ -260,6 +257,12 @@ def agg_count_distinct(L: Layers):
     return L.gold_daily_revenue_metrics.select("report_date", "unique_users", "unique_destinations")
 
 
+@register("monthly_from_daily_partials", "B", "SELECT * FROM gold_monthly")
+def monthly_from_daily_partials(L: Layers):
+    """Months rolled up from the partials of days; distinct users and destinations from merged id sets."""
+    return gold.gold_monthly_summary(None, L.run_ts, L.daily_partials)
+
+
 @register("agg_conditional_distinct", "B", "SELECT destination_id, unique_visitors, unique_buyers FROM gold_dest")
 def agg_conditional_distinct(L: Layers):
     return L.destination_metrics.select("destination_id", "unique_visitors", "unique_buyers")
@@ -302,6 +305,12 @@ def dq_referential_integrity(L: Layers):
     return quality.referential_integrity_checks(L.tables())
 
 
+@register("dq_orphans_from_partials", "B", O.DQ_REFERENTIAL)
+def dq_orphans_from_partials(L: Layers):
+    """Both orphan checks from the daily partials' id sets."""
+    return quality.referential_integrity_checks(L.tables(), L.daily_partials)
+
+
 @register("dq_freshness", "A", O.dq_freshness())
 def dq_freshness(L: Layers):
     spark = L.sources.travel_purchase.sparkSession
@@ -322,13 +331,15 @@ def dq_business_rules(L: Layers):
 @register("dq_audit_log", "A", O.dq_audit_log())
 def dq_audit_log(L: Layers):
     spark = L.sources.travel_purchase.sparkSession
-    return quality.quality_checks(spark, L.tables(), AS_OF)
+    L = Layers(L.sources, L.run_ts, share=True)
+    return quality.quality_checks(spark, L.tables(), AS_OF, L.daily_partials)
 
 
 @register("dq_summary", "A", O.dq_summary())
 def dq_summary(L: Layers):
     spark = L.sources.travel_purchase.sparkSession
-    return quality.summarize(quality.quality_checks(spark, L.tables(), AS_OF))
+    L = Layers(L.sources, L.run_ts, share=True)
+    return quality.summarize(quality.quality_checks(spark, L.tables(), AS_OF, L.daily_partials))
 
 
 # ---------------------------------------------------------------------------

@@ -92,15 +92,6 @@ def rank_by_revenue(L: Layers):
     return L.gold_destination_performance.select("destination_id", "total_revenue_usd", "revenue_rank")
 
 
-@register("rank_bucketed", "B",
-          "SELECT destination_id, total_bookings, total_revenue_usd, booking_rank, revenue_rank FROM gold_dest")
-def rank_bucketed(L: Layers):
-    """Both ranks side by side."""
-    perf = gold.gold_destination_performance(
-        L.silver_destinations, L.silver_travel_purchases, L.run_ts)
-    return perf.select("destination_id", "total_bookings", "total_revenue_usd", "booking_rank", "revenue_rank")
-
-
 @register("lag_previous_month", "B",
           "SELECT transaction_year, transaction_month, monthly_revenue_usd, prev_month_revenue FROM gold_monthly")
 def lag_previous_month(L: Layers):
