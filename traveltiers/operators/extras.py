@@ -1,6 +1,7 @@
 """Extras the reference declares but does not implement (labelled as extras, not parity).
 
 * ``changed_rows``: change detection between two snapshots by key.
+* ``changed_values``: the columns that changed, with both values.
 * ``completeness``: NULL count per column in one pass.
 * ``duplicate_keys``: keys that occur more than once.
 """
@@ -40,6 +41,27 @@ def changed_rows(old: DataFrame, new: DataFrame, key: str, cols: list[str]) -> D
     return per_key.select(key, change.alias("change"))
 
 
+def changed_values(old: DataFrame, new: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """``(key, column_name, old_value, new_value, n_old, n_new)``: the columns in which a key's rows differ, with what they lost and got.
+
+    One multiset difference by key, column and value (as strings; NULL is a value), map-side
+    combined and without a join: values that both snapshots hold equally often cancel out.
+    ``n_old`` and ``n_new`` count the values that only the old or only the new one holds; of several
+    the least is shown. A key that only one snapshot has shows all its columns, with NULL and 0
+    on the other side. A key with very many rows is spread over its values.
+    """
+    def cells(df: DataFrame, sign: int) -> DataFrame:
+        structs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols]
+        return df.select(F.col(key), F.inline(F.array(*structs))).withColumn("_sign", F.lit(sign).cast("bigint"))
+
+    left = cells(old, -1).unionByName(cells(new, 1)).groupBy(key, "column_name", "value").agg(F.sum("_sign").alias("_n")).where("_n != 0")
+    lost, got = F.col("_n") < 0, F.col("_n") > 0
+    return left.groupBy(key, "column_name").agg(
+        F.min(F.when(lost, F.col("value"))).alias("old_value"), F.min(F.when(got, F.col("value"))).alias("new_value"),
+        F.coalesce(F.sum(F.when(lost, -F.col("_n"))), F.lit(0)).cast("bigint").alias("n_old"),
+        F.coalesce(F.sum(F.when(got, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_new"))
+
+
 def completeness(df: DataFrame) -> DataFrame:
     """``(column_name, null_count, total_count)`` for every column, from one aggregate."""
     agg = df.agg(

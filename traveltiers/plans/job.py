@@ -17,7 +17,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 from traveltiers.operators.quality import DataQualityError  # noqa: E402
-from traveltiers.plans.pipeline import run_pipeline  # noqa: E402
+from traveltiers.plans.pipeline import LAYERS, run_pipeline  # noqa: E402
 from traveltiers.session import cluster_conf, get_session  # noqa: E402
 from traveltiers.sources.fixtures import catalog_sources, fixture  # noqa: E402
 from traveltiers.sources.sink import TableSink  # noqa: E402
@@ -37,19 +37,24 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--cores", type=int, default=None, help="cores of the whole cluster")
     ap.add_argument("--executor-memory-gb", type=float, default=16.0, help="memory of an executor")
     ap.add_argument("--executor-cores", type=int, default=4, help="cores of an executor")
+    ap.add_argument("--layers", default=",".join(LAYERS), help="layers to run, separated by commas; each reads what those before have written")
     args = ap.parse_args(argv)
+    layers = [x.strip() for x in args.layers.split(",") if x.strip()]
+    if set(layers) - set(LAYERS):
+        ap.error(f"--layers takes {', '.join(LAYERS)}")
     if (args.input_gb is None) != (args.cores is None):
         ap.error("--input-gb and --cores go together")
 
     conf = {} if args.cores is None else cluster_conf(
         int(args.input_gb * 1e9), args.cores, args.executor_memory_gb, args.executor_cores)
     spark = get_session(**conf)
-    src = (fixture(spark, args.sf_dir, args.fixture) if args.sf_dir
-           else catalog_sources(spark, args.source_schema))
+    src = None
+    if "bronze" in layers:
+        src = fixture(spark, args.sf_dir, args.fixture) if args.sf_dir else catalog_sources(spark, args.source_schema)
     sink = TableSink(spark, database=args.target_schema, root=args.root)
     try:
         result = run_pipeline(spark, src, sink, run_ts=args.run_ts, as_of=args.as_of,
-                              source_schema=args.source_schema, partition_silver=args.partition_silver)
+                              source_schema=args.source_schema, partition_silver=args.partition_silver, layers=layers)
     except DataQualityError as e:
         print(json.dumps({"status": "FAIL", "error": str(e), "rows_written": sink.written}))
         return 1

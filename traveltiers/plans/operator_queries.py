@@ -3,6 +3,8 @@ joins, aggregates, rules, quality checks, sinks and extras)."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from traveltiers.functions import rules as R
@@ -10,8 +12,9 @@ from traveltiers.operators import extras, gold, idsets, quality, silver
 from traveltiers.operators.bronze import USER_COLUMNS
 from traveltiers.plans import oracle as O
 from traveltiers.plans.layers import AS_OF, AS_OF_LATE, Layers
+from traveltiers.plans.pipeline import METADATA, PIPELINE, run_pipeline
 from traveltiers.plans.registry import register
-from traveltiers.sources.fixtures import SNAPSHOT_1, SNAPSHOT_2
+from traveltiers.sources.fixtures import SNAPSHOT_1, SNAPSHOT_2, Sources
 from traveltiers.sources.sink import TableSink
 
 # ---------------------------------------------------------------------------
@@ -373,27 +376,94 @@ def write_metrics(L: Layers):
     return spark.createDataFrame(list(sink.written.items()), "table string, rows_written bigint")
 
 
-@register("table_properties", "A", None)
-def table_properties(L: Layers):
-    from traveltiers.plans.pipeline import METADATA, PIPELINE
+def _values(columns: str, rows: list[tuple[str, ...]]) -> str:
+    """Oracle rows as VALUES."""
+    said = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+    return f"SELECT * FROM (VALUES {said}) v({columns})"
+
+
+@register("schema_comment", "A", _values('"schema", comment', [(
+    "traveltiers_schema", "Tiered travel analytics: raw, cleaned and aggregated tables with quality checks")]))
+def schema_comment(L: Layers):
+    return _sink(L, "schema").schema_comment()
+
+
+@register("table_comment", "A", _values('"table", comment', [("silver_destinations", "Silver: cleaned destinations")]))
+def table_comment(L: Layers):
+    sink = _sink(L, "comment")
+    sink.write(L.silver_destinations, "silver_destinations", comment="an older comment")
+    sink.write(L.silver_destinations, "silver_destinations", comment=METADATA["silver_destinations"]["comment"])
+    return sink.table_comment("silver_destinations")
 
+
+@register("table_properties", "A", _values('"key", "value"', [
+    ("layer", "gold"), ("business_domain", "finance"), ("refresh_frequency", "daily"), ("pipeline", "traveltiers")]))
+def table_properties(L: Layers):
     sink = _sink(L, "properties")
     meta = METADATA["gold_daily_revenue_metrics"]
     sink.write(L.gold_daily_revenue_metrics, "gold_daily_revenue_metrics", comment=meta["comment"],
                properties={**meta["properties"], "pipeline": PIPELINE})
-    return sink.properties("gold_daily_revenue_metrics").filter(~F.col("key").startswith("transient"))
+    return sink.properties("gold_daily_revenue_metrics")
 
 
-@register("column_comments", "A", None)
+@register("column_comments", "A", _values("col_name, data_type, comment", [
+    ("transaction_id", "bigint", "Transaction identifier"), ("user_id", "bigint", "References silver_users"),
+    ("destination_id", "bigint", "References silver_destinations"), ("price_usd", "double", "Validated price in USD"),
+    ("_price_invalid", "boolean", "Quality flag: price missing or out of range"), ("day_type", "string", "weekend or weekday")]))
 def column_comments(L: Layers):
-    from traveltiers.plans.pipeline import METADATA
-
     sink = _sink(L, "comments")
     sink.write(L.silver_travel_purchases, "silver_travel_purchases",
                column_comments=METADATA["silver_travel_purchases"]["columns"])
     return sink.column_comments("silver_travel_purchases")
 
 
+@register("audit_log_persisted", "A", O.dq_audit_log())
+def audit_log_persisted(L: Layers):
+    """The audit log as the quality layer writes it, read back from its table."""
+    sink = _sink(L, "audit")
+    run_pipeline(sink.spark, L.sources, sink, run_ts=L.run_ts, as_of=AS_OF, raise_on_failure=False)
+    return sink.read("dq_audit_log")
+
+
+@register("gate_verdict", "A", f"""
+SELECT 'as given' AS sources, overall_status = 'FAIL' AS raised, fail_count AS failures, total_count AS persisted
+FROM ({O.dq_summary()}) whole
+UNION ALL
+SELECT 'without destinations', true, CAST(3 AS BIGINT), total_count FROM ({O.dq_summary()}) whole""")
+def gate_verdict(L: Layers):
+    """Whether the gate raises, on the sources as they are and without any destination (three empty
+    tables); the failures that it reports, and the audit rows that were persisted before it did."""
+    spark = L.sources.travel_purchase.sparkSession
+    empty = Sources(L.sources.travel_purchase, L.sources.user_features, L.sources.destination_location.limit(0))
+    rows = []
+    for name, tag, sources in (("as given", "gate", L.sources), ("without destinations", "gate_empty", empty)):
+        sink = _sink(L, tag)
+        try:
+            run_pipeline(spark, sources, sink, run_ts=L.run_ts, as_of=AS_OF)
+            raised = False
+        except quality.DataQualityError:
+            raised = True
+        log = sink.read("dq_audit_log")
+        rows.append((name, raised, log.where(F.col("status") == quality.FAIL).count(), log.count()))
+    return spark.createDataFrame(rows, "sources string, raised boolean, failures bigint, persisted bigint")
+
+
+@register("run_timestamp_unpinned", "A", """
+SELECT 'bronze_travel_purchases' AS "table", COUNT(*) AS total_rows, CAST(1 AS BIGINT) AS distinct_times, true AS within_run FROM bronze_p
+UNION ALL SELECT 'silver_users', COUNT(*), CAST(1 AS BIGINT), true FROM silver_u""")
+def run_timestamp_unpinned(L: Layers):
+    """Audit times without a pinned run time: one a query, and between its start and its end."""
+    live = Layers(L.sources, run_ts=None)
+    spark = L.sources.travel_purchase.sparkSession
+    rows = []
+    for name, column in (("bronze_travel_purchases", "_ingested_at"), ("silver_users", "_processed_at")):
+        start = time.time()
+        t = F.unix_micros(column) / 1e6
+        got = getattr(live, name).agg(F.count(F.lit(1)), F.count_distinct(column), F.min(t), F.max(t)).first()
+        rows.append((name, got[0], got[1], start - 0.001 <= got[2] and got[3] <= time.time() + 0.001))
+    return spark.createDataFrame(rows, "table string, total_rows bigint, distinct_times bigint, within_run boolean")
+
+
 # ---------------------------------------------------------------------------
 # Extras (X1-X3), declared by the reference but not implemented there
 # ---------------------------------------------------------------------------
@@ -417,6 +487,23 @@ def changed_rows(L: Layers):
     return extras.changed_rows(old, new, "user_id", cols)
 
 
+_SNAPSHOT = "(SELECT * FROM bronze_u WHERE ts = TIMESTAMP '{}')"
+
+
+@register("changed_values", "A", "\nUNION ALL\n".join(f"""
+SELECT COALESCE(o.user_id, n.user_id) AS user_id, '{c}' AS column_name, o.{c} AS old_value, n.{c} AS new_value,
+  CAST(CASE WHEN o.user_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_old, CAST(CASE WHEN n.user_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_new
+FROM {_SNAPSHOT.format(SNAPSHOT_1)} o FULL OUTER JOIN {_SNAPSHOT.format(SNAPSHOT_2)} n ON o.user_id = n.user_id
+WHERE o.user_id IS NULL OR n.user_id IS NULL OR o.{c} IS DISTINCT FROM n.{c}"""
+    for c in ("mean_price_7d", "last_6m_purchases")))
+def changed_values(L: Layers):
+    b = L.bronze_user_features
+    old = b.filter(F.col("ts") == F.lit(SNAPSHOT_1).cast("timestamp_ntz"))
+    new = b.filter(F.col("ts") == F.lit(SNAPSHOT_2).cast("timestamp_ntz"))
+    out = extras.changed_values(old, new, "user_id", ["mean_price_7d", "last_6m_purchases"])
+    return out.withColumns({c: F.col(c).cast("double") for c in ("old_value", "new_value")})
+
+
 def _completeness_sql() -> str:
     cols = ["transaction_id", "transaction_timestamp", "user_id", "destination_id", "clicked", "purchased",
             "booking_date", "price_usd", "user_latitude", "user_longitude", "_price_invalid",

@@ -10,6 +10,7 @@ the gate raise.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,53 +126,80 @@ def _write(sink: TableSink, df: DataFrame, table: str, source_schema: str | None
     return sink.read(table)
 
 
+LAYERS = ("bronze", "silver", "gold", "quality")
+_TABLES = [name for name, _ in quality.LAYER_TABLES]
+
+
+def run_bronze(sink: TableSink, sources: Sources, run_ts: str | None = None,
+               source_schema: str = bronze.DEFAULT_SOURCE_SCHEMA) -> None:
+    """The three bronze tables from the sources."""
+    for table, make, df in [
+        ("bronze_travel_purchases", bronze.bronze_travel_purchases, sources.travel_purchase),
+        ("bronze_user_features", bronze.bronze_user_features, sources.user_features),
+        ("bronze_destinations", bronze.bronze_destinations, sources.destination_location),
+    ]:
+        _write(sink, make(df, run_ts, source_schema), table, source_schema)
+
+
+def run_silver(sink: TableSink, run_ts: str | None = None, partition_silver: bool = False) -> None:
+    """The three silver tables from the written bronze ones."""
+    _write(sink, silver.silver_travel_purchases(sink.read("bronze_travel_purchases"), run_ts), "silver_travel_purchases",
+           partition_by=["transaction_year", "transaction_month"] if partition_silver else None)
+    _write(sink, silver.silver_users(sink.read("bronze_user_features"), run_ts), "silver_users")
+    _write(sink, silver.silver_destinations(sink.read("bronze_destinations"), run_ts), "silver_destinations")
+
+
+def run_gold(sink: TableSink, run_ts: str | None = None) -> None:
+    """The daily partials and the four gold tables from the written silver ones."""
+    fact = sink.read("silver_travel_purchases")
+    # Daily partials are a stored table: days, months and the orphan checks come from it, so the
+    # fact is read once for all of them.
+    partials = _write(sink, gold.purchase_partials(fact), "gold_daily_partials")
+    _write(sink, gold.gold_daily_revenue_metrics(None, run_ts, partials), "gold_daily_revenue_metrics")
+    # The (user, destination) first level is shared by the next two tables: one scan and one
+    # shuffle of the fact, checkpointed into the shared folder, instead of one per table.
+    pairs = reliable_checkpoint(gold.purchase_pairs(fact))
+    _write(sink, gold.gold_destination_performance(sink.read("silver_destinations"), fact, run_ts, pairs=pairs),
+           "gold_destination_performance")
+    _write(sink, gold.gold_user_engagement(sink.read("silver_users"), fact, run_ts, pairs=pairs), "gold_user_engagement")
+    _write(sink, gold.gold_monthly_summary(None, run_ts, partials), "gold_monthly_summary")
+
+
+def run_quality(sink: TableSink, as_of: str | None = None) -> list:
+    """The 17 checks over the written tables, written as the audit log; a missing table gives FAIL rows."""
+    names = [*_TABLES, "gold_daily_partials"]
+    there = {t: sink.read(t) for t in names if sink.version(t)}
+    tables = {t: there.get(t, sink.name(t)) for t in _TABLES}
+    audit_rows = quality.audit_rows(sink.spark, tables, as_of, there.get("gold_daily_partials"))
+    _write(sink, sink.spark.createDataFrame(audit_rows, quality.CHECK_SCHEMA), "dq_audit_log")
+    return audit_rows
+
+
 def run_pipeline(
     spark: SparkSession,
-    sources: Sources,
+    sources: Sources | None,
     sink: TableSink,
     run_ts: str | None = None,
     as_of: str | None = None,
     source_schema: str = bronze.DEFAULT_SOURCE_SCHEMA,
     partition_silver: bool = False,
     raise_on_failure: bool = True,
+    layers: Sequence[str] = LAYERS,
 ) -> PipelineResult:
+    """The named ``layers``, in their order; each reads the tables that the ones before have written,
+    in this run or an earlier one. ``sources`` are needed for bronze alone. Without the quality layer
+    the status is PASS and the audit empty."""
+    unknown = set(layers) - set(LAYERS)
+    if unknown:
+        raise ValueError(f"no such layer: {sorted(unknown)}")
     checkpoint_dir(spark)  # a cluster session without the shared folder fails before the first write
-    t: dict[str, DataFrame] = {}
-    t["bronze_travel_purchases"] = _write(
-        sink, bronze.bronze_travel_purchases(sources.travel_purchase, run_ts, source_schema),
-        "bronze_travel_purchases", source_schema)
-    t["bronze_user_features"] = _write(
-        sink, bronze.bronze_user_features(sources.user_features, run_ts, source_schema),
-        "bronze_user_features", source_schema)
-    t["bronze_destinations"] = _write(
-        sink, bronze.bronze_destinations(sources.destination_location, run_ts, source_schema),
-        "bronze_destinations", source_schema)
-
-    t["silver_travel_purchases"] = _write(
-        sink, silver.silver_travel_purchases(t["bronze_travel_purchases"], run_ts), "silver_travel_purchases",
-        partition_by=["transaction_year", "transaction_month"] if partition_silver else None)
-    t["silver_users"] = _write(sink, silver.silver_users(t["bronze_user_features"], run_ts), "silver_users")
-    t["silver_destinations"] = _write(
-        sink, silver.silver_destinations(t["bronze_destinations"], run_ts), "silver_destinations")
-
-    fact = t["silver_travel_purchases"]
-    # Daily partials are a stored table: days, months and the orphan checks come from it, so the
-    # fact is read once for all of them.
-    partials = _write(sink, gold.purchase_partials(fact), "gold_daily_partials")
-    t["gold_daily_revenue_metrics"] = _write(
-        sink, gold.gold_daily_revenue_metrics(None, run_ts, partials), "gold_daily_revenue_metrics")
-    # The (user, destination) first level is shared by the next two tables: one scan and one
-    # shuffle of the fact, checkpointed into the shared folder, instead of one per table.
-    pairs = reliable_checkpoint(gold.purchase_pairs(fact))
-    t["gold_destination_performance"] = _write(
-        sink, gold.gold_destination_performance(t["silver_destinations"], fact, run_ts, pairs=pairs),
-        "gold_destination_performance")
-    t["gold_user_engagement"] = _write(
-        sink, gold.gold_user_engagement(t["silver_users"], fact, run_ts, pairs=pairs), "gold_user_engagement")
-    t["gold_monthly_summary"] = _write(sink, gold.gold_monthly_summary(None, run_ts, partials), "gold_monthly_summary")
-
-    audit_rows = quality.audit_rows(spark, t, as_of, partials)
-    _write(sink, spark.createDataFrame(audit_rows, quality.CHECK_SCHEMA), "dq_audit_log")
+    if "bronze" in layers:
+        run_bronze(sink, sources, run_ts, source_schema)
+    if "silver" in layers:
+        run_silver(sink, run_ts, partition_silver)
+    if "gold" in layers:
+        run_gold(sink, run_ts)
+    audit_rows = run_quality(sink, as_of) if "quality" in layers else []
     failed = any(r["status"] == quality.FAIL for r in audit_rows)
     report = {table: dict(sink.observed.get(table, {})) for table in sink.written}
     daily = report.get("gold_daily_revenue_metrics", {})

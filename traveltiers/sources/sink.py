@@ -1,23 +1,27 @@
-"""Writing layer tables: whole-table replace plus table metadata.
-
-Each table has two storage slots under its folder (by default in the shared
-``spark.checkpoint.dir``). A write goes to the slot the table does not use,
-as a staging table, and only when the job has finished is the staging table
-renamed over the old one (metadata only). A failed or interrupted write (for
-example after repeated executor loss) therefore leaves the previous version
-readable, and storage never exceeds two versions. Properties and the
-comment are set again after every write; the row count comes from an
-``Observation`` on the write itself, not from a second scan.
+"""Writing layer tables: immutable versions behind a view that one statement switches.
+
+Each write makes a new version, a table of its own; readers go through a view of the table's
+name. When the version is complete, one ``CREATE OR REPLACE VIEW`` moves the view to it,
+together with its comment, its properties and its column comments, so a reader in any session
+sees the old version or the new one and never a missing table. A write that fails or stops
+before that statement leaves the view as it was. The version that the view left stays for
+readers that are still at it; older ones, and those of failed writes, are dropped after the
+switch. Storage holds two versions and the one that is being written. One writer a table at a
+time. The row count comes from an ``Observation`` on the write itself, not from a second scan.
 """
 
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: Between a table's name and its version's number, and the view's property that names the version.
+VERSION_MARK = "__v"
+VERSION_KEY = "traveltiers.version"
 
 
 def _quote(text: str) -> str:
@@ -50,9 +54,6 @@ class TableSink:
     def name(self, table: str) -> str:
         return f"{self._schema()}.`{table}`"
 
-    def path(self, table: str) -> str:
-        return os.path.join(self.root, table)
-
     def write(
         self,
         df: DataFrame,
@@ -68,54 +69,84 @@ class TableSink:
         ``observe`` adds named aggregate metrics computed during the same write
         (no second scan); they are kept in ``self.observed[table]``.
         """
-        for c, text in (column_comments or {}).items():
-            if c in df.columns:
-                df = df.withMetadata(c, {"comment": text})
         obs = Observation(f"rows_{table}")
         extra = [c.alias(n) for n, c in (observe or {}).items()]
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
-        self._finish_swap(table)
-        current = self.location(table)
-        slot = "slot_b" if current and current.rstrip("/").endswith("slot_a") else "slot_a"
-        staging = f"{table}__next"
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(staging)}")
-        w = df.write.mode("overwrite").format("parquet").option("path", os.path.join(self.path(table), slot))
+        before = self.version(table)
+        version = f"{table}{VERSION_MARK}{time.time_ns():020d}"
+        if partition_by:
+            # Files of the advisory size for each partition value: small ones are joined, a hot one is split (AQE).
+            df = df.hint("rebalance", *partition_by)
+        w = df.write.format("parquet")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.saveAsTable(self.name(staging))
-        # Swap: both tables are external, so dropping and renaming touch no data files.
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-        self.spark.sql(f"ALTER TABLE {self.name(staging)} RENAME TO {self.name(table)}")
-        if comment:
-            self.spark.sql(f"COMMENT ON TABLE {self.name(table)} IS {_quote(comment)}")
-        if properties:
-            props = ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in properties.items())
-            self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ({props})")
+        w.saveAsTable(self.name(version))
+        self._switch(table, version, df.columns, comment, properties, column_comments)
+        self._drop_versions(table, keep={version, before})
         metrics = obs.get
         rows = int(metrics["rows"])
         self.written[table] = rows
         self.observed[table] = dict(metrics)
         return rows
 
-    def _finish_swap(self, table: str) -> None:
-        """After a stop between drop and rename, the finished version stands under the staging name: give it its own back."""
-        staging = f"{table}__next"
-        if self.location(table) is None and self.location(staging) is not None:
-            self.spark.sql(f"ALTER TABLE {self.name(staging)} RENAME TO {self.name(table)}")
-
-    def location(self, table: str) -> str | None:
-        """Storage location of ``table``, or None when it does not exist."""
+    def _switch(self, table: str, version: str, columns: list[str], comment: str | None, properties: dict[str, str] | None,
+                column_comments: dict[str, str] | None) -> None:
+        """The one statement that makes ``version`` the table, with all its metadata."""
+        said = column_comments or {}
+        named = ", ".join(f"`{c}`" + (f" COMMENT {_quote(said[c])}" if c in said else "") for c in columns)
+        listed = ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in {**(properties or {}), VERSION_KEY: version}.items())
+        told = f" COMMENT {_quote(comment)}" if comment else ""
+        if self._kind(table) not in (None, "VIEW"):  # a table of an older layout, once
+            self.spark.sql(f"DROP TABLE {self.name(table)}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} ({named}){told} TBLPROPERTIES ({listed}) "
+                       f"AS SELECT {', '.join(f'`{c}`' for c in columns)} FROM {self.name(version)}")
+
+    def _drop_versions(self, table: str, keep: set[str | None]) -> None:
+        rows = self.spark.sql(f"SHOW TABLES IN {self._schema()} LIKE {_quote(table + VERSION_MARK + '*')}").collect()
+        for name in sorted(r.tableName for r in rows):
+            if name not in keep:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+
+    def _kind(self, table: str) -> str | None:
+        """VIEW, MANAGED, EXTERNAL, or None when there is nothing of that name."""
         if not self.spark.catalog.tableExists(f"{self.database}.{table}"):
             return None
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        return next((r.data_type for r in rows if r.col_name == "Type"), None)
+
+    def version(self, table: str) -> str | None:
+        """The version that the table's view shows, or None when there is no such view."""
+        if self._kind(table) != "VIEW":
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+        return next((r.value for r in rows if r.key == VERSION_KEY), None)
+
+    def location(self, table: str) -> str | None:
+        """Storage location of the table's current version, or None when it does not exist."""
+        version = self.version(table)
+        if version is None:
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(version)}").collect()
         return next((r.data_type for r in rows if r.col_name == "Location"), None)
 
     def read(self, table: str) -> DataFrame:
-        self._finish_swap(table)
+        """The table's current version. The view is resolved once, so one run works on one version."""
         return self.spark.table(self.name(table))
 
     def properties(self, table: str) -> DataFrame:
-        return self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}")
+        """The table's own properties, without those that Spark keeps for a view."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}")
+        return rows.filter(~F.col("key").startswith("view.") & (F.col("key") != VERSION_KEY) & ~F.col("key").startswith("transient"))
+
+    def table_comment(self, table: str) -> DataFrame:
+        """``(table, comment)``."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").filter(F.col("col_name") == "Comment")
+        return rows.select(F.lit(table).alias("table"), F.col("data_type").alias("comment"))
+
+    def schema_comment(self) -> DataFrame:
+        """``(schema, comment)``."""
+        rows = self.spark.sql(f"DESCRIBE SCHEMA EXTENDED {self._schema()}").filter(F.col("info_name") == "Comment")
+        return rows.select(F.lit(self.database).alias("schema"), F.col("info_value").alias("comment"))
 
     def column_comments(self, table: str) -> DataFrame:
         rows = self.spark.sql(f"DESCRIBE TABLE {self.name(table)}")
