@@ -14,6 +14,8 @@ Null or empty text: the end id alone. An empty table gives no blocks and an empt
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -141,6 +143,29 @@ class Codes(dict):
         return out
 
 
+#: Latin letters that no normal form composes and that have one letter as lower case (all up to U+024F but U+0130).
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
+def quick_encoder(spec: str):
+    """``encode_batch`` of the file's model behind its byte letters alone, for runs of lower-case Latin letters; None if the file has other steps than these.
+
+    Normal form, white space and lower case leave such a run as it is, and the split takes it whole.
+    """
+    from tokenizers import Tokenizer
+
+    parts = json.loads(spec)
+    steps = [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in cuts] != ["Split", "ByteLevel"] or parts.get("post_processor"):
+        return None
+    split = cuts[0]
+    if split.get("behavior") != "Removed" or not split.get("invert") or "|[\\p{L}]+|" not in split["pattern"].get("Regex", "") or cuts[1].get("use_regex"):
+        return None
+    quick = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": cuts[1], "added_tokens": [], "truncation": None, "padding": None}))
+    return getattr(quick, "encode_batch_fast", quick.encode_batch)
+
+
 class Ids:
     """Ids of texts by a tokenizers file; each run between ASCII white space is encoded once while remembered.
 
@@ -158,6 +183,7 @@ class Ids:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.fast = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
+        self.quick = quick_encoder(spec)
         self.special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.reset()
 
@@ -166,23 +192,36 @@ class Ids:
         self.codes = Codes({"": 0})
         self.ids, self.offsets = np.array([END_ID], np.uint32), np.array([0, 1])
 
-    def raw(self, runs: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.fast(runs, add_special_tokens=False)]
+    def raw(self, runs: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.fast(runs, add_special_tokens=False)]
+
+    def letters(self, runs: list[str]) -> list[list[int]]:
+        """Ids of runs of lower-case Latin letters: the file's model without the steps that leave them as they are."""
+        return [e.ids for e in self.quick(runs, add_special_tokens=False)] if self.quick else self.raw(runs)
 
     def learn(self) -> None:
         """Encode the runs that have a number and no ids yet."""
         new, self.codes.new = self.codes.new, []
         if not new:
             return
-        # Lower-cased ASCII without its closing mark: one entry serves the word's other forms. Not where that would make an added token.
-        lower = [r.lower() if r.isascii() else r for r in new]
-        plain = [(r, "") if any(s in x for s in self.special) else (x, "") for r, x in zip(new, lower)]
-        plain = [(a[:-1], a[-1]) if a[-1] in ",." and a[:-1].isalpha() and a.isascii() else (a, b) for a, b in plain]
-        need = list({x for pair in plain for x in pair if x})
-        got = dict(zip(need, self.raw(need)))
-        ids = [np.concatenate([got[a], got[b]]) if b else got[a] for a, b in plain]
+        # Letters without their closing mark, lower-cased: one entry serves the word's other forms. Other ASCII is lower-cased
+        # too, unless that would make an added token.
+        letters, others, plain = {}, {}, []
+        for r in new:
+            base, mark = (r[:-1], r[-1]) if r[-1] in ",." else (r, "")
+            if _LATIN.fullmatch(base):
+                pair = (base.lower(), mark)
+                letters[pair[0]] = others[mark] = None
+            else:
+                low = r.lower() if r.isascii() else r
+                pair = (r if any(s in low for s in self.special) else low, "")
+                others[pair[0]] = None
+            plain.append(pair)
+        others.pop("", None)
+        got = dict(zip(letters, self.letters(list(letters)))) | dict(zip(others, self.raw(list(others)))) | {"": []}
+        ids = [got[a] + got[b] if b else got[a] for a, b in plain]
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in ids])])
-        self.ids = np.concatenate([self.ids, *ids])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32)])
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
         from traveltiers.llm.common import words
@@ -191,7 +230,7 @@ class Ids:
         held, size = [], 0
         for i, t in enumerate(texts):
             if t and any(s in t for s in self.special):  # an added token's string: the library handles the whole text
-                out[i] = np.concatenate([self.raw([t])[0], self.ids[:1]])
+                out[i] = np.array(self.raw([t])[0] + [END_ID], np.uint32)
                 continue
             held.append((i, [*words(t), ""]))
             size += len(held[-1][1])
