@@ -7,10 +7,11 @@ input, whatever their names, neither reach nor disturb them.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -80,25 +81,66 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema))
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str, state: Callable | None = None) -> DataFrame:
-    """``fn`` over Arrow batches: a dict of column -> list in, a dict of column -> values out.
+def tidy() -> None:
+    """Give back to the system what earlier tasks of this worker have freed: a worker serves many tasks, and its high-water mark would stay."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+class Columns(Mapping):
+    """The columns of a batch, as lists when they are asked for. ``cols | {...}`` and ``rest()`` pass the others on as they came."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self._raw = dict(zip(batch.schema.names, batch.columns))
+        self._lists: dict[str, list] = {}
+
+    def __getitem__(self, name: str) -> list:
+        if name not in self._lists:
+            self._lists[name] = self._raw[name].to_pylist()
+        return self._lists[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._raw)
+
+    def __len__(self) -> int:
+        return len(self._raw)
+
+    def rest(self) -> dict:
+        """All columns as they came."""
+        return dict(self._raw)
+
+    def __or__(self, more: Mapping) -> dict:
+        return self._raw | dict(more)
+
 
-    ``state`` makes, once a task, an object that ``fn`` gets as its second argument.
+def _column(x, kind: pa.DataType) -> pa.Array:
+    if isinstance(x, pa.Array):
+        return x if x.type == kind else x.cast(kind)
+    return pa.array(x, kind)
+
+
+def map_batches(df: DataFrame, fn: Callable[[Columns], dict], schema: str, state: Callable | None = None) -> DataFrame:
+    """``fn`` over Arrow batches: its columns in, a dict of column -> values (or Arrow arrays) out.
+
+    ``state`` makes, once a task, an object that ``fn`` gets as its second argument. Batches hold BATCH_ROWS rows at most.
     """
     spark = df.sparkSession
     ship(spark)
-    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(limit)) > BATCH_ROWS or int(spark.conf.get(limit)) <= 0:
-        spark.conf.set(limit, str(BATCH_ROWS))
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         own = state() if state else None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
-            out = fn(cols, own) if state else fn(cols)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                cols = Columns(whole.slice(at, BATCH_ROWS))
+                out = fn(cols, own) if state else fn(cols)
+                yield pa.RecordBatch.from_arrays([_column(out[f.name], f.type) for f in arrow], schema=arrow)
 
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(limit)) > BATCH_ROWS or int(spark.conf.get(limit)) <= 0:
+        spark.conf.set(limit, str(BATCH_ROWS))
     return df.mapInArrow(run, schema)

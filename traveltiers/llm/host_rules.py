@@ -69,11 +69,12 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
 def features(docs: DataFrame, text: str = "text", host: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns as ``k0``, ``k1`` ..., with ``__host``, the base counts, ``__base_failed`` and ``__soft_failed``."""
     named = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
-                        F.coalesce(F.col(f"`{host}`"), F.lit("")).alias("__host"), F.col(f"`{text}`").alias("__text"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
+                        F.coalesce(F.col(f"`{host}`"), F.lit("")).alias("__host"), *[F.col(f"`{text}`").alias("__text")] * (text not in keep))
+    own = f"k{keep.index(text)}" if text in keep else "__text"  # a kept text goes to the worker once
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields if f.name != "__text")
 
-    def count(cols: dict) -> dict:
-        got = list(zip(*map(base_counts, cols.pop("__text"))))  # a batch has a row at least
+    def count(cols) -> dict:
+        got = list(zip(*map(base_counts, cols[own])))  # a batch has a row at least
         return cols | dict(zip(("__n_words", "__word_chars", "__n_symbols", "__n_dup_lines", "__n_repeat_words"), got))
 
     counted = map_batches(named, count, f"{kinds}, {BASE}")

@@ -297,7 +297,7 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
 
     def run(cols: dict) -> dict:
-        texts = [main_text(x) for x in cols.pop("__html")]
+        texts = [main_text(x) for x in cols["__html"]]
         return cols | {"__text": texts, "__n": [len(t) for t in texts]}
 
     out = map_batches(named, run, f"{kinds}, __text string, __n long")

@@ -1,7 +1,7 @@
 """Operator 10: n-gram Jaccard join, size-aware, heavy-light, with connected components.
 
-A document's set is its distinct 5-word shingles (A-Z lower-cased), as 48-bit hashes (two of the
-thousand or so shingles of a pair collide in one of some 10**8 pairs). Two
+A document's set is its distinct 5-word shingles (A-Z lower-cased), counted as 64-bit hashes and joined
+as their upper 48 bits (two of the thousand or so shingles of a pair collide in one of some 10**8 pairs). Two
 sets link when 100 * |both| >= 80 * |either|. The steps:
 
 1. Equal sets are one class (by a 128-bit signature); classes, not documents, are joined.
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from traveltiers.llm.common import batch_rows, cut, map_batches, table, words
+from traveltiers.llm.common import batch_rows, cut, map_batches, table, tidy, words
 
 WIDTH, PERCENT = 5, 80
 SUBSET = 3
@@ -54,7 +54,6 @@ HEAVY_HOLD = 1 << 21
 LONG_LIST = 5_000
 _LOWER = {i: i + 32 for i in range(65, 91)}
 BYTES = 6
-_KEEP = np.uint64((1 << 8 * BYTES) - 1)
 #: Bits of the map of signatures whose sets are needed again; it only spares work.
 WANTED_BITS = 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -74,7 +73,7 @@ _hashes = Hashes()
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """The set of a text: sorted distinct hashes."""
+    """The set of a text: sorted distinct 64-bit hashes."""
     ws = words(text.translate(_LOWER) if text and not text.isascii() else text.lower() if text else text)
     if not ws:
         return np.zeros(0, np.uint64)
@@ -83,11 +82,17 @@ def shingles(text: str | None) -> np.ndarray:
         x = np.full(1, len(ws), np.uint64)
         for v in h:
             x = mixed(x + v)
-        return x & _KEEP
+        return x
     x = np.zeros(len(h) - WIDTH + 1, np.uint64)
     for k in range(WIDTH):
         x = mixed(x + h[k:len(h) - WIDTH + 1 + k])
-    return np.unique(x & _KEEP)
+    return np.unique(x)
+
+
+def shortened(x: np.ndarray) -> np.ndarray:
+    """The upper 8 * BYTES bits of sorted hashes, in the same order, each once."""
+    x = x >> np.uint64(64 - 8 * BYTES)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -112,20 +117,22 @@ def text_hash(text: str):
 
 
 def sets(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
-    """Per row: id, sig (of the set), n (its size), shingles (the sorted hashes as bytes), and ``with_text`` th, the text's hash."""
+    """Per row: id, sig (of the set), n (its size), total (its size by 64-bit hashes), shingles (the sorted hashes as bytes), and ``with_text`` th, the text's hash."""
     named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"), *[text_hash(text).alias("th")] * with_text)
 
     def run(cols: dict) -> dict:
-        data = [packed(shingles(t)) for t in cols["t"]]
-        return cols | {"sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // BYTES for d in data], "shingles": data}
+        whole = [shingles(t) for t in cols["t"]]
+        data = [packed(shortened(x)) for x in whole]
+        return cols | {"sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // BYTES for d in data], "total": [len(x) for x in whole], "shingles": data}
 
-    return map_batches(named, run, "id long, " + "th binary, " * with_text + "sig binary, n int, shingles binary")
+    return map_batches(named, run, "id long, " + "th binary, " * with_text + "sig binary, n int, total int, shingles binary")
 
 
 def heavy_table(spark: SparkSession, staged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles (sorted) and their counts, from repeats that tasks see among different sets."""
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         held: dict[bytes, np.ndarray] = {}
         size = 0
 
@@ -184,6 +191,7 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
     """The lists' entries: key (of one shingle, or of a subset), salt, sig, n, rest (shingles from the key's first one on). The lists of very frequent shingles are dealt over salts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         known, counts = heavy.value
         for b in batches:
             keys, salts, sigs, ns, rests = [], [], [], [], []
@@ -222,8 +230,8 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
     return staged.filter("n > 0").select("sig", "n", "shingles").mapInArrow(run, "key long, salt int, sig binary, n int, rest int")
 
 
-def shared_lists(entries: DataFrame) -> DataFrame:
-    """Lists with two classes or more that can link: key, sig, n, rest, head (the list's least class), hn, hrest. One shuffle; a task streams over its sorted lists."""
+def shared_lists(entries: DataFrame, held: list[DataFrame]) -> DataFrame:
+    """Lists with two classes or more that can link: key, sig, n, rest, head (the list's least class), hn, hrest. One shuffle; a task streams over its sorted lists. What is kept on disk is added to ``held``, to be given up when the lists have been read."""
     names = ["key", "salt", "sig", "n", "rest", "head", "hn", "hrest"]
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
 
@@ -277,6 +285,7 @@ def shared_lists(entries: DataFrame) -> DataFrame:
     with batch_rows(entries.sparkSession, 16_384):
         found = found.persist(StorageLevel.DISK_ONLY)
         found.count()
+    held.append(found)
     dealt = found.filter("salt > 0").select("key", "sig", "n", "rest")
     heads = dealt.groupBy("key").agg(F.min(F.struct("sig", "n", "rest")).alias("h"), F.count("*").alias("c")).filter("c > 1")
     dealt = dealt.join(heads, "key").select("key", "sig", "n", "rest", F.col("h.sig").alias("head"), F.col("h.n").alias("hn"), F.col("h.rest").alias("hrest"))
@@ -354,7 +363,7 @@ def components(links: DataFrame) -> DataFrame:
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, n_shingles, component_id (the smallest id reachable by links)."""
     out = joined(docs, text, key)
-    return out.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
+    return out.select(F.col("id").alias(key), F.col("total").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
 
 
 def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> DataFrame:
@@ -370,7 +379,8 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     sizes = {r["n"]: r["c"] for r in classes.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count("*").alias("c")).collect()}
     # Prefixes avoid the heavy table, so a list that is scanned is no longer than the table's last count, once the table is full.
     scan = 1.0 + (float(counts.min()) if len(counts) == HEAVY_TABLE else 1.0)
-    lists = shared_lists(postings(staged, heavy, border(sizes, scan)))
+    held = [staged]
+    lists = shared_lists(postings(staged, heavy, border(sizes, scan)), held)
     met = F.sum(F.when(F.col("key") % 2 != 0, SUBSET).otherwise(1)) >= SUBSET
 
     star = cut(lists.filter((F.col("sig") != F.col("head")) & fits("n", "rest", "hn", "hrest")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
@@ -389,7 +399,8 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     more = cut(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
     extra = cut(verify(more, wanted_bodies(staged, more)))
     final = components(links.unionByName(extra)) if extra.limit(1).count() else comp
-    staged.unpersist()
+    for kept in held:
+        kept.unpersist()
 
     least = cut(classes.join(final, "sig", "left").select("sig", "least", F.coalesce("comp", "sig").alias("comp")))
     roots = least.groupBy("comp").agg(F.min("least").alias("component"))

@@ -316,7 +316,7 @@ def text_measures(texts: DataFrame, pairs: DataFrame, folder: str, heavy: int =
         at = np.minimum(np.searchsorted(pair, own), max(0, len(pair) - 1))
         hit = pair[at] == own if len(pair) else np.zeros(len(own), bool)
         by, weight, at = text[hit], links[hit], at[hit]
-        out = {c: x for c, x in cols.items() if c not in ("pairs", "links")}
+        out = cols.rest()
         # bincount adds doubles: whole numbers stay exact below 2**53
         out["n_best"] = np.bincount(by, weight * best[at], n).astype(np.int64)
         out["count_sum"] = np.zeros(n, np.int64)

@@ -130,9 +130,10 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", rows: int = SA
 def score(docs: DataFrame, weights: dict[int, float], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns as ``k0``, ``k1`` ..., and ``__junk``, the probability of junk."""
     model = docs.sparkSession.sparkContext.broadcast(weights)
-    named = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("__text"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
-    return map_batches(named, lambda cols, own: {"__junk": [own.score(t) for t in cols.pop("__text")]} | cols,
+    named = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], *[F.col(f"`{text}`").alias("__text")] * (text not in keep))
+    read = f"k{keep.index(text)}" if text in keep else "__text"  # a kept text goes to the worker once
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields if f.name != "__text")
+    return map_batches(named, lambda cols, own: cols | {"__junk": [own.score(t) for t in cols[read]]},
                        f"{kinds}, __junk double", lambda: ftrl.Scorer(model.value, features))
 
 
