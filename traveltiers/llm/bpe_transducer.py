@@ -29,7 +29,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traveltiers.llm.common import map_batches, table
+from traveltiers.llm.common import map_batches, remember, table
 
 #: Bounds of what a worker remembers: pre-tokens, transitions, neighbour tests.
 MEMO_WORDS, MEMO_STEPS, MEMO_PAIRS = 400_000, 300_000, 500_000
@@ -261,6 +261,7 @@ class Codec:
 
 
 _codecs: dict[int, Codec] = {}
+remember(__name__, _codecs)
 
 
 def codec(ranks_file: bytes, pattern: str) -> Codec:

@@ -81,8 +81,19 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema))
 
 
-def tidy() -> None:
-    """Give back to the system what earlier tasks of this worker have freed: a worker serves many tasks, and its high-water mark would stay."""
+_remembered: list[tuple[str, dict]] = []
+
+
+def remember(owner: str, cache: dict) -> None:
+    """Declare what a module keeps between the tasks of a worker; it is given up when another module's tasks come."""
+    _remembered.append((owner, cache))
+
+
+def tidy(owner: str) -> None:
+    """At the start of a task of ``owner``: drop what other modules remember, and give back to the system what earlier tasks have freed."""
+    for name, cache in _remembered:
+        if name != owner:
+            cache.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -129,10 +140,10 @@ def map_batches(df: DataFrame, fn: Callable[[Columns], dict], schema: str, state
     """
     spark = df.sparkSession
     ship(spark)
-    arrow = arrow_schema(schema)
+    arrow, owner = arrow_schema(schema), fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tidy()
+        tidy(owner)
         own = state() if state else None
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_ROWS):

@@ -43,8 +43,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from traveltiers.llm.common import batch_rows, cut, map_batches, table, tidy, words
+from traveltiers.llm.common import batch_rows, cut, map_batches, remember, table, tidy, words
 
+OWNER = __name__
 WIDTH, PERCENT = 5, 80
 SUBSET = 3
 HEAVY_TABLE = 1 << 18
@@ -70,6 +71,7 @@ class Hashes(dict):
 
 
 _hashes = Hashes()
+remember(OWNER, _hashes)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -132,7 +134,7 @@ def heavy_table(spark: SparkSession, staged: DataFrame) -> tuple[np.ndarray, np.
     """The most frequent shingles (sorted) and their counts, from repeats that tasks see among different sets."""
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tidy()
+        tidy(OWNER)
         held: dict[bytes, np.ndarray] = {}
         size = 0
 
@@ -191,7 +193,7 @@ def postings(staged: DataFrame, heavy, small: int) -> DataFrame:
     """The lists' entries: key (of one shingle, or of a subset), salt, sig, n, rest (shingles from the key's first one on). The lists of very frequent shingles are dealt over salts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tidy()
+        tidy(OWNER)
         known, counts = heavy.value
         for b in batches:
             keys, salts, sigs, ns, rests = [], [], [], [], []

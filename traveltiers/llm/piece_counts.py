@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traveltiers.llm.common import map_batches, table
+from traveltiers.llm.common import map_batches, remember, table
 
 LIMIT = 4096
 MEMO = 400_000
@@ -68,6 +68,7 @@ class PieceCounter:
 
 
 _counters: dict[int, PieceCounter] = {}
+remember(__name__, _counters)
 
 
 def counter(model: bytes) -> PieceCounter:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traveltiers.llm.common import arrow_schema, map_batches, table
+from traveltiers.llm.common import arrow_schema, map_batches, remember, table
 from traveltiers.session import scratch_path
 
 END_ID = 2
@@ -256,6 +256,7 @@ class Ids:
 
 
 _tokenisers: dict[int, Ids] = {}
+remember(__name__, _tokenisers)
 
 
 def tokeniser(spec: str) -> Ids:

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traveltiers.llm.common import arrow_schema, map_batches, table
+from traveltiers.llm.common import arrow_schema, map_batches, remember, table
 from traveltiers.session import scratch_path
 
 HEAVY = 1 << 18
@@ -215,6 +215,7 @@ class Aligner:
 
 
 _aligners: dict[int, Aligner] = {}
+remember(__name__, _aligners)
 
 
 def aligner(spec: str, model: bytes) -> Aligner:
