@@ -11,7 +11,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from traveltiers.operators import gold, quality  # noqa: E402
+from traveltiers.operators import quality  # noqa: E402
 from traveltiers.plans.layers import AS_OF, Layers  # noqa: E402
 from traveltiers.session import get_session  # noqa: E402
 from traveltiers.sources.fixtures import fixture  # noqa: E402
@@ -52,13 +52,9 @@ def main() -> None:
          L.destination_metrics),
         ("gold_user_engagement", "Same pattern keyed by (user, destination).", L.gold_user_engagement),
         ("gold_monthly_summary", "LAG window over the aggregated months only.", L.gold_monthly_summary),
-        ("gold_destination_performance, bucketed rank path", "Ranks from the checkpointed metric table: "
-         "value counts range-partitioned into ordered buckets (checkpointed, so bucket ids are fixed), "
-         "broadcast offsets (bounded by the bucket count), a running sum per bucket, and a null-safe join back. Forced here "
-         "with 16 rows per bucket; by default it runs above 1M destinations.",
-         gold.gold_destination_performance(L.silver_destinations, L.silver_travel_purchases,
-                                           rows_per_bucket=16, row_bound=None)),
-        ("quality checks (fixture A, lazily over all layers)", "One aggregate per table (count, freshness and rules, unpivoted by Generate) plus the two orphan anti joins, in one union plan.",
+        ("gold_destination_performance", "Ranks over the materialised metrics: one value histogram, counts by prefix, one window over the children "
+         "of a prefix, and one rank table joined through one key.", L.gold_destination_performance),
+        ("quality checks (fixture A, lazily over all layers)", "One grouped aggregate over the tagged rows of all tables, and the orphan checks from one pass over the fact's id sets.",
          quality.quality_checks(spark, A.tables(), AS_OF)),
     ]
     out = ["# Physical plans", "",
