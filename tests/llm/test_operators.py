@@ -281,6 +281,25 @@ def test_jaccard_gray_zone(spark):
     assert rows_of(jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == slow_components(rows)
 
 
+def test_jaccard_sketches_refute_no_link(spark):
+    """Sets just inside and outside the limit, small and far larger than a sketch: no linked pair is refuted, and unlike pairs of usual size are."""
+    rnd = np.random.default_rng(4)
+    sets, linked = [], []
+    for n in (5, 40, 500, 5000):
+        for gone in (0, n // 20, n // 9, n // 8, n // 4):
+            x = np.unique(rnd.integers(0, 1 << 48, n, dtype=np.uint64))
+            y = np.unique(np.concatenate([x[gone:], rnd.integers(0, 1 << 48, gone, dtype=np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            sets.append((x, y))
+            linked.append(100 * both >= 80 * (len(x) + len(y) - both))
+    names = [f"a{i}" for i in range(jaccard_join.SKETCH)], [f"b{i}" for i in range(jaccard_join.SKETCH)]
+    rows = [(i, len(x), len(y), *jaccard_join.sketch(x).tolist(), *jaccard_join.sketch(y).tolist()) for i, (x, y) in enumerate(sets)]
+    kinds = ", ".join(["i int, an int, bn int", *(f"{c} long" for c in names[0] + names[1])])
+    left = {r["i"] for r in spark.createDataFrame(rows, kinds).filter(jaccard_join.near("an", "bn", *names)).collect()}
+    assert any(linked) and {i for i, ok in enumerate(linked) if ok} <= left
+    assert 14 not in left  # 500 shingles, a quarter exchanged
+
+
 def slow_groups(texts):
     """Rows by component (rows without words by themselves), ids left aside."""
     def grams(t):

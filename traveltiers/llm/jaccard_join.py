@@ -4,7 +4,7 @@ A document's set is its distinct 5-word shingles (A-Z lower-cased), counted as 6
 as their upper 48 bits (two of the thousand or so shingles of a pair collide in one of some 10**8 pairs). Two
 sets link when 100 * |both| >= 80 * |either|. The steps:
 
-1. Equal sets are one class (by a 128-bit signature); classes, not documents, are joined.
+1. Equal sets are one class (by a 96-bit signature); classes, not documents, are joined.
 2. Shingles that a task sees in several sets are counted; the HEAVY_TABLE most frequent
    ones form the heavy table (a bounded broadcast; it only orders shingles, so it changes
    cost and never results). All sets order their shingles alike: light ones first, by hash,
@@ -16,10 +16,12 @@ sets link when 100 * |both| >= 80 * |either|. The steps:
    a pair must meet in SUBSET lists. The border is the size with the least cost: subsets
    written for small sets against postings times the length of the lists that they scan.
 4. Within a list every class is held against the list's first class (a star, linear in the
-   list). Classes that this doesn't bring together are then paired with all others of the
-   list that are in another component, so no link between components is missed and a list
-   of near copies costs a multiple of its length, not its square.
-5. Pairs are verified on the whole sets; components come from repeated minimum labels with
+   list). Classes that this doesn't bring together are then held against all others of the
+   list that are in another component, so no link between components is missed.
+5. A set's sketch is the parity of its shingles in each of 64 * SKETCH buckets. Two sketches
+   differ in at most as many bits as the sets in shingles, so a pair whose sketches differ in
+   more than linked sets may is refuted, exactly, before it is written.
+6. Pairs are verified on the whole sets; components come from repeated minimum labels with
    pointer jumping.
 
 Null or empty texts, and texts without words, have empty sets and link with nothing. Fewer
@@ -55,8 +57,13 @@ HEAVY_HOLD = 1 << 21
 LONG_LIST = 5_000
 _LOWER = {i: i + 32 for i in range(65, 91)}
 BYTES = 6
+#: Bytes of a set's signature: at 10**10 sets, two different ones share it with a chance of about 10**-9.
+SIGNATURE = 12
+#: Words of 64 bits of a set's sketch.
+SKETCH = 8
 #: Bits of the map of signatures whose sets are needed again; it only spares work.
 WANTED_BITS = 24
+MARKS = [f"k{i}" for i in range(SKETCH)]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,21 +120,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+def sketch(x: np.ndarray) -> np.ndarray:
+    """The parity of the hashes in each of 64 * SKETCH buckets, as SKETCH integers."""
+    odd = np.bincount((x % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def text_hash(text: str):
     """128 bits of a text; null for null."""
     return F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
 
 
 def sets(docs: DataFrame, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
-    """Per row: id, sig (of the set), n (its size), total (its size by 64-bit hashes), shingles (the sorted hashes as bytes), and ``with_text`` th, the text's hash."""
+    """Per row: id, sig (of the set), n (its size), total (its size by 64-bit hashes), k0, k1, ... (its sketch), shingles (the sorted hashes as bytes), and ``with_text`` th, the text's hash."""
     named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"), *[text_hash(text).alias("th")] * with_text)
 
     def run(cols: dict) -> dict:
         whole = [shingles(t) for t in cols["t"]]
-        data = [packed(shortened(x)) for x in whole]
-        return cols | {"sig": [blake2b(d, digest_size=16).digest() for d in data], "n": [len(d) // BYTES for d in data], "total": [len(x) for x in whole], "shingles": data}
+        short = [shortened(x) for x in whole]
+        data = [packed(x) for x in short]
+        marks = np.array([sketch(x) for x in short], np.int64).reshape(-1, SKETCH)
+        return cols | {name: pa.array(marks[:, i]) for i, name in enumerate(MARKS)} | {"sig": [blake2b(d, digest_size=SIGNATURE).digest() for d in data], "n": [len(d) // BYTES for d in data], "total": [len(x) for x in whole], "shingles": data}
 
-    return map_batches(named, run, "id long, " + "th binary, " * with_text + "sig binary, n int, total int, shingles binary")
+    return map_batches(named, run, "id long, " + "th binary, " * with_text + "sig binary, n int, total int, " + "".join(f"{name} long, " for name in MARKS) + "shingles binary")
 
 
 def heavy_table(spark: SparkSession, staged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -327,6 +342,19 @@ def can_link(n: int, rest: int, n2: int, rest2: int) -> bool:
     return 100 * min(n, n2) >= PERCENT * max(n, n2) and (100 + PERCENT) * (min(rest, rest2) + SUBSET - 1) >= PERCENT * (n + n2)
 
 
+def near(n: str, n2: str, marks: list[str], marks2: list[str]):
+    """Whether two sets of these sizes and sketches may link: linked ones differ in (100 - PERCENT) / (100 + PERCENT) of their shingles at most."""
+    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(marks, marks2)), F.lit(0))
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col(n) + F.col(n2))
+
+
+def refuted_away(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches leave."""
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("sig").alias(side), F.col("n").alias(f"{side}n"), *[F.col(x).alias(f"{side}{x}") for x in MARKS]), side)
+    return pairs.filter(near("an", "bn", [f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS])).select("a", "b")
+
+
 def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """Pairs (a, b) whose whole sets link."""
     left = bodies.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
@@ -374,7 +402,7 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     # Kept on the executors' disks while the join runs; a lost executor's part is made again from its documents.
     staged = sets(docs, text, key, with_text).persist(StorageLevel.DISK_ONLY)
     plain = cut(staged.drop("shingles"))
-    classes = cut(plain.filter("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least")))
+    classes = cut(plain.filter("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least"), *[F.first(x).alias(x) for x in MARKS]))
 
     known, counts = heavy_table(spark, staged)
     heavy = spark.sparkContext.broadcast((known, counts))
@@ -385,19 +413,21 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     lists = shared_lists(postings(staged, heavy, border(sizes, scan)), held)
     met = F.sum(F.when(F.col("key") % 2 != 0, SUBSET).otherwise(1)) >= SUBSET
 
-    star = cut(lists.filter((F.col("sig") != F.col("head")) & fits("n", "rest", "hn", "hrest")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
+    star = lists.filter((F.col("sig") != F.col("head")) & fits("n", "rest", "hn", "hrest")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b")
+    star = cut(refuted_away(star, classes))
     links = cut(verify(star, wanted_bodies(staged, star)))
     comp = components(links)
 
-    named = lists.join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-    head = comp.select(F.col("sig").alias("head"), F.col("comp").alias("hc"))
-    named = named.join(head, "head", "left").withColumn("hc", F.coalesce("hc", "head"))
-    # Only lists with a class outside the head's component go on; in those, every pair of two components is met.
-    apart = cut(named.filter("comp != hc").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("rest").alias("ar"), F.col("comp").alias("ac")))
-    others = named.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("rest").alias("br"), F.col("comp").alias("bc"), "hc")
-    # Both outside the head's component: one order of the two is enough.
-    pairs = (apart.join(others, "key").filter((F.col("ac") != F.col("bc")) & fits("an", "ar", "bn", "br") & ((F.col("bc") == F.col("hc")) | (F.col("a") < F.col("b"))))
-             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(met.alias("met")).filter("met").select("a", "b"))
+    # Only lists with classes of several components go on; in those, every pair of two components is met.
+    named = cut(lists.select("key", "sig", "n", "rest").join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig")))
+    mixed = named.groupBy("key").agg(F.min(F.struct("sig", "comp"))["comp"].alias("hc"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key", "hc")
+    mixed = cut(named.join(mixed, "key").withColumn("first", F.expr("comp = hc")).drop("hc").join(classes.select("sig", *MARKS), "sig"))
+    apart = mixed.filter("not first").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("rest").alias("ar"), F.col("comp").alias("ac"), *[F.col(x).alias(f"a{x}") for x in MARKS])
+    others = mixed.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("rest").alias("br"), F.col("comp").alias("bc"), "first", *[F.col(x).alias(f"b{x}") for x in MARKS])
+    # Both outside the first class's component: one order of the two is enough.
+    possible = fits("an", "ar", "bn", "br") & near("an", "bn", [f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS])
+    pairs = (apart.join(others, (apart["key"] == others["key"]) & (F.col("ac") != F.col("bc")) & (F.col("first") | (F.col("a") < F.col("b"))) & possible)
+             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum(F.when(apart["key"] % 2 != 0, SUBSET).otherwise(1)).alias("met")).filter(F.col("met") >= SUBSET).select("a", "b"))
     more = cut(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
     extra = cut(verify(more, wanted_bodies(staged, more)))
     final = components(links.unionByName(extra)) if extra.limit(1).count() else comp
