@@ -21,7 +21,8 @@ sets link when 100 * |both| >= 80 * |either|. The steps:
 5. A set's sketch is the parity of its shingles in each of 64 * SKETCH buckets. Two sketches
    differ in at most as many bits as the sets in shingles, so a pair whose sketches differ in
    more than linked sets may is refuted, exactly, before it is written.
-6. Pairs are verified on the whole sets; components come from repeated minimum labels with
+6. Pairs are verified on the whole sets, between components the likeliest pair of every two first, and
+   then all that still lie in different ones; components come from repeated minimum labels with
    pointer jumping.
 
 Null or empty texts, and texts without words, have empty sets and link with nothing. Fewer
@@ -325,7 +326,7 @@ def wanted_bodies(staged: DataFrame, pairs: DataFrame) -> DataFrame:
             p = np.array([int.from_bytes(s[:WANTED_BITS // 8], "big") for s in b.column(0).to_pylist()], np.int64)
             yield b.take(pa.array(np.flatnonzero(bits.value[p])))
 
-    return cut(staged.filter("n > 0").select("sig", "shingles").mapInArrow(run, "sig binary, shingles binary").dropDuplicates(["sig"]))
+    return staged.filter("n > 0").select("sig", "shingles").mapInArrow(run, "sig binary, shingles binary").dropDuplicates(["sig"])
 
 
 def fits(n: str, rest: str, n2: str, rest2: str):
@@ -342,10 +343,14 @@ def can_link(n: int, rest: int, n2: int, rest2: int) -> bool:
     return 100 * min(n, n2) >= PERCENT * max(n, n2) and (100 + PERCENT) * (min(rest, rest2) + SUBSET - 1) >= PERCENT * (n + n2)
 
 
+def distance(marks: list[str], marks2: list[str]):
+    """Bits in which two sketches differ."""
+    return sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(marks, marks2)), F.lit(0))
+
+
 def near(n: str, n2: str, marks: list[str], marks2: list[str]):
     """Whether two sets of these sizes and sketches may link: linked ones differ in (100 - PERCENT) / (100 + PERCENT) of their shingles at most."""
-    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(marks, marks2)), F.lit(0))
-    return (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col(n) + F.col(n2))
+    return (100 + PERCENT) * distance(marks, marks2) <= (100 - PERCENT) * (F.col(n) + F.col(n2))
 
 
 def refuted_away(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -355,6 +360,13 @@ def refuted_away(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.filter(near("an", "bn", [f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS])).select("a", "b")
 
 
+def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose classes lie in different components."""
+    for side in ("a", "b"):
+        pairs = pairs.select("a", "b", *[c for c in pairs.columns if c == "ca"]).join(comp.select(F.col("sig").alias(side), F.col("comp").alias(f"c{side}")), side, "left")
+    return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
 def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """Pairs (a, b) whose whole sets link."""
     left = bodies.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
@@ -427,10 +439,18 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     # Both outside the first class's component: one order of the two is enough.
     possible = fits("an", "ar", "bn", "br") & near("an", "bn", [f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS])
     pairs = (apart.join(others, (apart["key"] == others["key"]) & (F.col("ac") != F.col("bc")) & (F.col("first") | (F.col("a") < F.col("b"))) & possible)
-             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum(F.when(apart["key"] % 2 != 0, SUBSET).otherwise(1)).alias("met")).filter(F.col("met") >= SUBSET).select("a", "b"))
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.struct("ac", "bc")).otherwise(F.struct(F.col("bc").alias("ac"), F.col("ac").alias("bc"))).alias("of"), apart["key"], distance([f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS]).alias("d"))
+             .groupBy("a", "b").agg(met.alias("met"), F.first("of").alias("of"), F.first("d").alias("d")).filter("met").select("a", "b", "of.ac", "of.bc", "d"))
     more = cut(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
-    extra = cut(verify(more, wanted_bodies(staged, more)))
-    final = components(links.unionByName(extra)) if extra.limit(1).count() else comp
+    # The likeliest pair of every two components goes first; then the pairs that still lie in different ones.
+    best = cut(more.groupBy(F.least("ac", "bc"), F.greatest("ac", "bc")).agg(F.min(F.struct("d", "a", "b")).alias("x")).select("x.a", "x.b"))
+    final = comp
+    for left in (lambda: best, lambda: cut(across(more.join(best, ["a", "b"], "left_anti"), final))):
+        now = left()
+        extra = cut(verify(now, wanted_bodies(staged, now))) if now.limit(1).count() else now
+        if extra.limit(1).count():
+            links = links.unionByName(extra)
+            final = components(links)
     for kept in held:
         kept.unpersist()
 
