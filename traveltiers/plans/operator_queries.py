@@ -279,7 +279,7 @@ def agg_rate_pct(L: Layers):
 
 @register("global_totals", "A", f"""
 SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE _price_invalid) AS invalid_prices,
-  CAST({O._m(O.REV)} AS DOUBLE) AS total_revenue_usd, MAX(transaction_timestamp) AS last_transaction
+  CAST({O.REVENUE} AS DOUBLE) AS total_revenue_usd, MAX(transaction_timestamp) AS last_transaction
 FROM silver_p""")
 def global_totals(L: Layers):
     s = L.silver_travel_purchases
