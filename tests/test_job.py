@@ -38,6 +38,7 @@ def test_job_runs_layers_by_themselves(spark):
     assert job.main([*base, "--layers", "bronze"]) == 0
     assert not spark.catalog.tableExists("tt_layers.silver_users")
     assert job.main([*base, "--layers", "silver, gold"]) == 0
+    assert job.main([*base, "--layers", "silver,gold", "--refresh"]) == 0
     assert job.main([*base, "--layers", "quality"]) == 0
     whole = tempfile.mkdtemp(prefix="tt-whole-")
     assert job.main([*base[:5], "tt_whole", "--root", whole, *base[8:]]) == 0

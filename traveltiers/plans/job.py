@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-ts", default=None, help="pin the audit timestamp (default: now)")
     ap.add_argument("--as-of", default=None, help="freshness reference time (default: now)")
     ap.add_argument("--partition-silver", action="store_true", help="partition the silver fact by year/month")
+    ap.add_argument("--refresh", action="store_true", help="daily tables: write only the days whose facts have changed")
     ap.add_argument("--input-gb", type=float, default=None, help="size of the sources; with --cores sets partition sizes")
     ap.add_argument("--cores", type=int, default=None, help="cores of the whole cluster")
     ap.add_argument("--executor-memory-gb", type=float, default=16.0, help="memory of an executor")
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     sink = TableSink(spark, database=args.target_schema, root=args.root)
     try:
         result = run_pipeline(spark, src, sink, run_ts=args.run_ts, as_of=args.as_of,
-                              source_schema=args.source_schema, partition_silver=args.partition_silver, layers=layers)
+                              source_schema=args.source_schema, partition_silver=args.partition_silver, layers=layers,
+                              refresh=args.refresh)
     except DataQualityError as e:
         print(json.dumps({"status": "FAIL", "error": str(e), "rows_written": sink.written}))
         return 1

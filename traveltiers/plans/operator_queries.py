@@ -12,7 +12,7 @@ from traveltiers.operators import extras, gold, idsets, quality, silver
 from traveltiers.operators.bronze import USER_COLUMNS
 from traveltiers.plans import oracle as O
 from traveltiers.plans.layers import AS_OF, AS_OF_LATE, Layers
-from traveltiers.plans.pipeline import METADATA, PIPELINE, run_pipeline
+from traveltiers.plans.pipeline import FACT, METADATA, PIPELINE, refreshed_days, run_pipeline, whole_days
 from traveltiers.plans.registry import register
 from traveltiers.sources.fixtures import SNAPSHOT_1, SNAPSHOT_2, Sources
 from traveltiers.sources.sink import TableSink
@@ -425,6 +425,32 @@ def audit_log_persisted(L: Layers):
     return sink.read("dq_audit_log")
 
 
+def _refreshed(L: Layers, tag: str) -> TableSink:
+    """Day and month tables built from an older state of the fact (without the last month's clicks), then refreshed
+    by day from the present one."""
+    fact = L.silver_travel_purchases
+    last = fact.agg(F.max(F.trunc("transaction_timestamp", "month"))).first()[0]
+    older = fact.withColumn("clicked", F.col("clicked") & (F.trunc("transaction_timestamp", "month") != F.lit(last)))
+    sink = _sink(L, tag)
+    sink.write(older, FACT)
+    whole_days(sink, L.run_ts)
+    sink.write(fact, FACT)
+    refreshed_days(sink, L.run_ts)
+    return sink
+
+
+@register("daily_refreshed_by_day", "A", "SELECT * FROM gold_daily")
+def daily_refreshed_by_day(L: Layers):
+    """The daily table after an incremental refresh of the days that have changed."""
+    return _refreshed(L, "refresh_days").read("gold_daily_revenue_metrics")
+
+
+@register("monthly_after_refresh", "A", "SELECT * FROM gold_monthly")
+def monthly_after_refresh(L: Layers):
+    """Months rolled up from the daily partials after an incremental refresh."""
+    return gold.gold_monthly_summary(None, L.run_ts, _refreshed(L, "refresh_months").read("gold_daily_partials"))
+
+
 @register("gate_verdict", "A", f"""
 SELECT 'as given' AS sources, overall_status = 'FAIL' AS raised, fail_count AS failures, total_count AS persisted
 FROM ({O.dq_summary()}) whole

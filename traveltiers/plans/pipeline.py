@@ -12,14 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traveltiers.operators import bronze, gold, quality, silver
+from traveltiers.operators.extras import changed_rows
 from traveltiers.session import checkpoint_dir, reliable_checkpoint
 from traveltiers.sources.fixtures import Sources
-from traveltiers.sources.sink import TableSink
+from traveltiers.sources.sink import OWN, TableSink
 
 PIPELINE = "traveltiers"
 
@@ -116,13 +118,18 @@ def report_metrics() -> dict[str, dict[str, Column]]:
     }
 
 
-def _write(sink: TableSink, df: DataFrame, table: str, source_schema: str | None = None, **kw) -> DataFrame:
+def _write(sink: TableSink, df: DataFrame, table: str, source_schema: str | None = None, own: dict[str, str] | None = None,
+           days: list | None = None, **kw) -> DataFrame:
+    """Write a table with its metadata and read it back; with ``days``, only the rows of these report dates are replaced."""
     meta = METADATA.get(table, {})
-    props = {**meta.get("properties", {}), "pipeline": PIPELINE}
+    props = {**meta.get("properties", {}), "pipeline": PIPELINE, **(own or {})}
     if source_schema and props.get("layer") == "bronze":
         props["source_system"] = source_schema
-    sink.write(df, table, comment=meta.get("comment"), properties=props,
-               column_comments=meta.get("columns"), observe=report_metrics().get(table), **kw)
+    said = dict(comment=meta.get("comment"), properties=props, column_comments=meta.get("columns"), observe=report_metrics().get(table))
+    if days is None:
+        sink.write(df, table, **said, **kw)
+    else:
+        sink.patch(df, table, "report_date", days, **said, **kw)
     return sink.read(table)
 
 
@@ -149,20 +156,87 @@ def run_silver(sink: TableSink, run_ts: str | None = None, partition_silver: boo
     _write(sink, silver.silver_destinations(sink.read("bronze_destinations"), run_ts), "silver_destinations")
 
 
-def run_gold(sink: TableSink, run_ts: str | None = None) -> None:
-    """The daily partials and the four gold tables from the written silver ones."""
-    fact = sink.read("silver_travel_purchases")
-    # Daily partials are a stored table: days, months and the orphan checks come from it, so the
-    # fact is read once for all of them.
-    partials = _write(sink, gold.purchase_partials(fact), "gold_daily_partials")
-    _write(sink, gold.gold_daily_revenue_metrics(None, run_ts, partials), "gold_daily_revenue_metrics")
+FACT = "silver_travel_purchases"
+#: Property of the daily partials: the version of the fact that they and the day and month tables stand on.
+BUILT_FROM = OWN + "built_from"
+#: Beyond so many changed days (the days stand in a view's text) the day tables are written whole.
+MAX_CHANGED_DAYS = 400
+
+
+def run_gold(sink: TableSink, run_ts: str | None = None, refresh: bool = False) -> None:
+    """The daily partials and the four gold tables from the written silver ones.
+
+    With ``refresh`` the partials and the daily table get only the days whose facts have changed.
+    """
+    fact = sink.read(FACT)
+    partials = refreshed_days(sink, run_ts) if refresh else None
+    if partials is None:
+        partials = whole_days(sink, run_ts)
+    _write(sink, gold.gold_monthly_summary(None, run_ts, partials), "gold_monthly_summary")
     # The (user, destination) first level is shared by the next two tables: one scan and one
     # shuffle of the fact, checkpointed into the shared folder, instead of one per table.
     pairs = reliable_checkpoint(gold.purchase_pairs(fact))
     _write(sink, gold.gold_destination_performance(sink.read("silver_destinations"), fact, run_ts, pairs=pairs),
            "gold_destination_performance")
     _write(sink, gold.gold_user_engagement(sink.read("silver_users"), fact, run_ts, pairs=pairs), "gold_user_engagement")
-    _write(sink, gold.gold_monthly_summary(None, run_ts, partials), "gold_monthly_summary")
+
+
+def whole_days(sink: TableSink, run_ts: str | None = None) -> DataFrame:
+    """The stored daily partials and the daily table from the whole fact; returns the partials.
+
+    Days, months and the orphan checks come from the partials, so the fact is read once for all of them.
+    """
+    own = {BUILT_FROM: ",".join(sink.versions(FACT))}
+    partials = _write(sink, gold.purchase_partials(sink.read(FACT)), "gold_daily_partials", own=own)
+    _write(sink, gold.gold_daily_revenue_metrics(None, run_ts, partials), "gold_daily_revenue_metrics")
+    return partials
+
+
+def changed_days(old: DataFrame, new: DataFrame) -> list:
+    """The report dates (None: NULL) on which two states of the fact hold different rows, as to what the daily partials read.
+
+    One multiset difference by day, without a join; a hot day spreads over its values. The result is bounded by the calendar.
+    """
+    cols = ["transaction_timestamp", "user_id", "destination_id", "clicked", "purchased", "price_usd"]
+    by_day = [df.select(F.to_date("transaction_timestamp").alias("report_date"), *cols) for df in (old, new)]
+    return [r.report_date for r in changed_rows(*by_day, "report_date", cols).where("change <> 'unchanged'").collect()]
+
+
+def on_days(fact: DataFrame, days: list) -> DataFrame:
+    """The fact's rows of these days. Year and month prune the partitions of a partitioned fact, the times row groups."""
+    known = sorted(d for d in days if d is not None)
+    at = F.col("transaction_timestamp")
+    hit = F.lit(False)
+    if known:
+        months = F.lit(False)
+        for year in sorted({d.year for d in known}):
+            months |= (F.col("transaction_year") == year) & F.col("transaction_month").isin(sorted({d.month for d in known if d.year == year}))
+        hit = (at >= F.lit(str(known[0])).cast("timestamp_ntz")) & (at < F.lit(str(known[-1] + timedelta(days=1))).cast("timestamp_ntz"))
+        hit = months & hit & F.to_date(at).isin(known)
+    return fact.where(hit | at.isNull() if None in days else hit)
+
+
+def refreshed_days(sink: TableSink, run_ts: str | None = None) -> DataFrame | None:
+    """The partials and the daily table with only their changed days written anew; returns the partials.
+
+    The present fact is compared with the version that the partials were built from. None, with
+    nothing done, where that version or the tables are gone or too many days have changed: then
+    ``whole_days`` is due. The daily table goes first and the partials, which name the fact's
+    version, last: a run that stops between them finds the same days again. Days that have not
+    changed keep their ``_generated_at``.
+    """
+    now, before = sink.versions(FACT), (sink.own_property("gold_daily_partials", BUILT_FROM) or "").split(",")
+    if not sink.version("gold_daily_revenue_metrics") or len(before) != 1 or not before[0] or not sink.spark.catalog.tableExists(f"{sink.database}.{before[0]}"):
+        return None
+    fact = sink.read(FACT)
+    days = changed_days(sink.read(before[0]), fact) if now != before else []
+    if len(days) > MAX_CHANGED_DAYS:
+        return None
+    if days:
+        part = reliable_checkpoint(gold.purchase_partials(on_days(fact, days)))
+        _write(sink, gold.gold_daily_revenue_metrics(None, run_ts, part), "gold_daily_revenue_metrics", days=days)
+        _write(sink, part, "gold_daily_partials", own={BUILT_FROM: ",".join(now)}, days=days)
+    return sink.read("gold_daily_partials")
 
 
 def run_quality(sink: TableSink, as_of: str | None = None) -> list:
@@ -185,10 +259,12 @@ def run_pipeline(
     partition_silver: bool = False,
     raise_on_failure: bool = True,
     layers: Sequence[str] = LAYERS,
+    refresh: bool = False,
 ) -> PipelineResult:
     """The named ``layers``, in their order; each reads the tables that the ones before have written,
     in this run or an earlier one. ``sources`` are needed for bronze alone. Without the quality layer
-    the status is PASS and the audit empty."""
+    the status is PASS and the audit empty. With ``refresh`` the day tables get their changed days only,
+    and ``report`` has the figures of what was written."""
     unknown = set(layers) - set(LAYERS)
     if unknown:
         raise ValueError(f"no such layer: {sorted(unknown)}")
@@ -198,7 +274,7 @@ def run_pipeline(
     if "silver" in layers:
         run_silver(sink, run_ts, partition_silver)
     if "gold" in layers:
-        run_gold(sink, run_ts)
+        run_gold(sink, run_ts, refresh)
     audit_rows = run_quality(sink, as_of) if "quality" in layers else []
     failed = any(r["status"] == quality.FAIL for r in audit_rows)
     report = {table: dict(sink.observed.get(table, {})) for table in sink.written}
