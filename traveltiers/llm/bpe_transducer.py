@@ -192,7 +192,7 @@ class Transducer:
     def encode(self, data: bytes) -> tuple[int, ...]:
         if len(self.steps) > MEMO_STEPS:
             self.forget()
-        state, out, steps = 0, (), self.steps
+        state, out, steps = 0, [], self.steps
         for b in data:
             got = steps.get(state << 8 | b)
             if got is None:
@@ -206,7 +206,8 @@ class Transducer:
             state, emitted = got
             if emitted:
                 out += emitted
-        return out + self.states[state][1][-1][1]
+        out += self.states[state][1][-1][1]
+        return tuple(out)
 
 
 class Memo(dict):
