@@ -23,7 +23,7 @@ further columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -59,32 +59,60 @@ _NAME = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
+class Element:
+    """An open element. What its ancestors say of it is told once, when it opens, so a page costs the same at any depth."""
+
+    __slots__ = ("tag", "parent", "depth", "mark", "wide", "never", "aside", "main", "article", "own", "outer", "most", "least")
+
+    def __init__(self, tag: str, parent: Element | None, attrs: list):
+        self.tag, self.parent = tag, parent
+        self.mark, self.wide = marks(tag, attrs, tag == "article" and parent is not None and parent.article is not None)
+        self.never = self.mark <= NEVER_COST  # something around it is never text
+        self.aside = tag in ("nav", "aside", "footer")
+        self.main = self.article = None  # the outermost ones around it, itself included
+        self.depth, self.own, self.outer = 1, 0, 0
+        if parent:
+            self.depth = parent.depth + 1
+            self.never, self.aside = self.never or parent.never, self.aside or parent.aside
+            self.main, self.article = parent.main, parent.article
+        if tag == "main" and not self.main:
+            self.main = self
+        elif tag == "article" and not self.article:
+            self.article = self
+
+
 class Block:
-    __slots__ = ("text", "path", "score", "words", "linked")
+    __slots__ = ("text", "at", "words", "linked")
 
-    def __init__(self, text: str, path: tuple, linked: int):
-        self.text, self.path, self.linked = text, path, linked
+    def __init__(self, text: str, at: Element | None, linked: int):
+        self.text, self.at, self.linked = text, at, linked
         self.words = text.count(" ") + 1
 
 
 class Parser(HTMLParser):
-    """Blocks of text with the stack of open elements around each: (serial, tag, mark, mark if page-wide)."""
+    """Blocks of text, each with the innermost open element around it, and all elements, parents first."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack: list[tuple[int, str, int, int]] = []
+        self.elements: list[Element] = []
+        self.at: Element | None = None
+        self.open: Counter = Counter()
         self.parts: list[str] = []
-        self.serial = self.link = self.linked = 0
+        self.link = self.linked = 0
         self.raw = ""
 
     def flush(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.blocks.append(Block(text, tuple(self.stack), self.linked))
+                self.blocks.append(Block(text, self.at, self.linked))
             self.parts, self.linked = [], 0
 
+    def close_one(self) -> None:
+        self.open[self.at.tag] -= 1
+        self.at = self.at.parent
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br":
             self.parts.append(" ")
@@ -95,12 +123,13 @@ class Parser(HTMLParser):
         elif tag in BLOCKS:
             self.flush()
             self.link = 0
-            open_tag = self.stack[-1][1] if self.stack else ""
-            if open_tag == "p" or open_tag in HEADINGS and tag in HEADINGS or tag == open_tag and tag in ("li", "dt", "dd", "td", "th", "tr", "option"):
-                self.stack.pop()
+            inside = self.at.tag if self.at else ""
+            if inside == "p" or inside in HEADINGS and tag in HEADINGS or tag == inside and tag in ("li", "dt", "dd", "td", "th", "tr", "option"):
+                self.close_one()
             if tag not in VOID:
-                self.serial += 1
-                self.stack.append((self.serial, tag, *marks(tag, attrs, tag == "article" and any(x[1] == "article" for x in self.stack))))
+                self.at = Element(tag, self.at, attrs)
+                self.elements.append(self.at)
+                self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag not in ("a", "script", "style"):
@@ -115,10 +144,10 @@ class Parser(HTMLParser):
             self.raw = ""
         elif tag in BLOCKS:
             self.flush()
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][1] == tag:
-                    del self.stack[i:]
-                    break
+            if self.open[tag]:
+                while self.at.tag != tag:
+                    self.close_one()
+                self.close_one()
 
     def handle_data(self, data: str) -> None:
         if not self.raw:
@@ -151,53 +180,70 @@ def marks(tag: str, attrs: list, nested: bool = False) -> tuple[int, int]:
     return score, wide
 
 
-def page_wide(blocks: list[Block]) -> set[int]:
-    """Serials of the page-wide elements among those whose noise name or form would cost."""
-    asked = {n for b in blocks for n, _, mark, wide in b.path if mark < wide}
+def page_wide(blocks: list[Block], elements: list[Element]) -> set[Element]:
+    """The page-wide elements among those whose noise name or form would cost; one pass from the leaves up."""
+    asked = [e for e in elements if e.mark < e.wide]
     if not asked:
-        return asked
-    held: dict[int, int] = dict.fromkeys(asked, 0)
-    total, outer = 0, {"main": [], "article": []}
+        return set()
+    total, outer = 0, {"main": set(), "article": set()}
     for b in blocks:
-        if any(m <= NEVER_COST for _, _, m, _ in b.path):
+        at = b.at
+        if at and at.never:
             continue
         own = len(b.text) - min(b.linked, len(b.text))
         total += own
-        for n, *_ in b.path:
-            if n in asked:
-                held[n] += own
-        tags = [t for _, t, _, _ in b.path]
-        for tag, found in outer.items():
-            if tag in tags and not {"nav", "aside", "footer"} & set(tags):
-                found.append({n for n, *_ in b.path[:tags.index(tag)]})
-    around = outer["main"] or outer["article"]
+        if at:
+            at.own += own
+            if not at.aside:
+                outer["main"].add(at.main)
+                outer["article"].add(at.article)
+    around = outer["main"] - {None} or outer["article"] - {None}
+    for e in reversed(elements):  # then ``own`` is an element's text and ``outer`` the number of ``around`` below it
+        if e.parent:
+            e.parent.own += e.own
+            e.parent.outer += e.outer + (e in around)
     if around:
-        return {n for n in asked.intersection(*around) if 2 * held[n] > total}
-    return {n for n in asked if 5 * held[n] >= 4 * total}
+        return {e for e in asked if e.outer == len(around) and 2 * e.own > total}
+    return {e for e in asked if 5 * e.own >= 4 * total}
 
 
-def classify(b: Block, wide: set[int] = frozenset()) -> int:
-    """The block's score: above 0 for content."""
-    around = [w if n in wide else m for n, _, m, w in b.path]
-    score = BIAS + max([0, *around]) + min([0, *around])
-    tag = b.path[-1][1] if b.path else ""
+def weigh(elements: list[Element], wide: set[Element]) -> None:
+    """The greatest and the least mark around each element, 0 included."""
+    for e in elements:
+        own = e.wide if e in wide else e.mark
+        e.most = max(e.parent.most if e.parent else 0, own)
+        e.least = min(e.parent.least if e.parent else 0, own)
+
+
+def classify(b: Block) -> int:
+    """The block's score, once its elements are weighed: above 0 for content."""
+    score, tag = BIAS, ""
+    if b.at:
+        score, tag = BIAS + b.at.most + b.at.least, b.at.tag
     score += PARAGRAPH if tag in ("p", "blockquote", "pre") else HEADING if tag in HEADINGS else 0
     score += min(MOST_WORDS, PER_WORD * b.words) + SENTENCE * (b.text[-1] in ".!?…”\"")
     return score + LINKS * min(b.linked, len(b.text)) // len(b.text)
 
 
+def steps(a: Element | None, b: Element | None) -> int:
+    """Elements that are around one of two places and not around the other."""
+    n = 0
+    while a is not b:
+        n += 1
+        if (a.depth if a else 0) >= (b.depth if b else 0):
+            a = a.parent
+        else:
+            b = b.parent
+    return n
+
+
 def edges(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """Smoothness edges (block, later block, weight)."""
     out, last = [], {}
     for i, b in enumerate(blocks):
-        home = b.path[-2][0] if len(b.path) > 1 else 0
+        home = b.at.parent if b.at else None
         if i:
-            a, same = blocks[i - 1].path, 0
-            for x, y in zip(a, b.path):
-                if x[0] != y[0]:
-                    break
-                same += 1
-            out.append((i - 1, i, NEAR + CLOSE // (1 + max(0, len(a) + len(b.path) - 2 * same - 2))))
+            out.append((i - 1, i, NEAR + CLOSE // (1 + max(0, steps(blocks[i - 1].at, b.at) - 2))))
         if home in last and last[home] != i - 1:
             out.append((last[home], i, SAME))
         last[home] = i
@@ -286,8 +332,8 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     blocks = parser.blocks
-    wide = page_wide(blocks)
-    label = cut_labels([classify(b, wide) for b in blocks], edges(blocks))
+    weigh(parser.elements, page_wide(blocks, parser.elements))
+    label = cut_labels([classify(b) for b in blocks], edges(blocks))
     return "\n\n".join(b.text for b, x in zip(blocks, label) if x)
 
 
