@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -86,8 +87,25 @@ def test_url_cascade(spark, monkeypatch):
     want = sorted(((i, *slow_url(u)) for i, u in enumerate(urls + urls)), key=repr)
     cols = ("page_id", "host", "path", "rule", "verdict")
     assert rows_of(url_cascade.judge(pages, url_cascade.rule_table(spark)), *cols) == want
-    monkeypatch.setattr(url_cascade, "MAX_FILTER_BYTES", 0)  # the way beyond the filters' bound
-    assert rows_of(url_cascade.judge(pages, url_cascade.rule_table(spark)), *cols) == want
+    monkeypatch.setattr(url_cascade, "MAX_FILTER_BYTES", 0)  # filters beyond a literal's bound
+    for size in (1, url_cascade.SHARD_KEYS):
+        monkeypatch.setattr(url_cascade, "SHARD_KEYS", size)
+        assert rows_of(url_cascade.judge(pages, url_cascade.rule_table(spark)), *cols) == want
+    assert url_cascade.judge(pages.limit(0), url_cascade.rule_table(spark)).collect() == []
+    none = url_cascade.judge(pages, url_cascade.rule_table(spark).limit(0)).select("rule", "verdict").distinct().collect()
+    assert [tuple(r) for r in none] == [(None, "allow")]
+
+
+@pytest.mark.parametrize("bits", [2, 16])
+def test_sharded_cascade_is_exact(spark, monkeypatch, bits):
+    monkeypatch.setattr(url_cascade, "MAX_FILTER_BYTES", 40)  # the first levels in shards, the last as literals
+    monkeypatch.setattr(url_cascade, "SHARD_KEYS", 100)
+    monkeypatch.setattr(url_cascade, "BITS_PER_KEY", bits)
+    listed = {i for i in range(3000) if i % 5 == 0}
+    universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
+    c = url_cascade.Cascade(universe, universe.filter(F.substring("key", 2, 9).cast("int") % 5 == 0))
+    got = c.mark(universe.unionByName(universe), "key", "hit").filter("hit").collect()
+    assert sorted(int(r["key"][1:]) for r in got) == sorted([*listed, *listed]) and c.levels[0].shards == 6 and not c.levels[-1].shards
 
 
 def test_cascade_is_exact(spark, monkeypatch):
@@ -146,6 +164,46 @@ def test_html_comments_stay_out():
     assert html_cut.main_text(f"<body><article><p>{text}</p><article class='comment'><p>{said}</p></article></article></body>") == text
 
 
+def test_html_deep_pages():
+    """Depth costs nothing: text at each of 20,000 open elements, closed ones that never opened."""
+    start = time.perf_counter()
+    for page in ("<div>some text here." * 20_000, "<p>some text here " * 20_000, "<div>" * 20_000 + "</p>x " * 20_000):
+        html_cut.main_text(page)
+    assert time.perf_counter() - start < 20
+    text = " ".join(f"word{i}" for i in range(50)) + "."
+    assert html_cut.main_text("<div>" * 20_000 + f"<article><p>{text}</p></article>" + "</div>" * 20_000) == text
+
+
+def test_html_marks_around_deep_blocks():
+    """Elements' own sums against the plain form over each block's whole path."""
+    rnd = random.Random(8)
+    tags, names = "div article main nav footer form section li p".split(), ["", " class=sidebar", " class='post content'", " id=comments", " class=has-sidebar"]
+    for _ in range(300):
+        page = "".join(rnd.choice([f"<{rnd.choice(tags)}{rnd.choice(names)}>", f"</{rnd.choice(tags)}>", "word " * rnd.choice([1, 9, 40])]) for _ in range(40))
+        parser = html_cut.Parser()
+        parser.feed(page), parser.close(), parser.flush()
+        wide = html_cut.page_wide(parser.blocks, parser.elements)
+        html_cut.weigh(parser.elements, wide)
+        paths = []
+        for b in parser.blocks:
+            path, e = [], b.at
+            while e:
+                path.insert(0, e)
+                e = e.parent
+            paths.append(path)
+            around = [0, *(x.wide if x in wide else x.mark for x in path)]
+            assert not path or (b.at.most, b.at.least) == (max(around), min(around))
+        for a, b in zip(paths, paths[1:]):
+            assert html_cut.steps(a[-1] if a else None, b[-1] if b else None) == len(set(a) ^ set(b))
+        live = [(p, b) for p, b in zip(paths, parser.blocks) if not any(x.mark <= html_cut.NEVER_COST for x in p)]
+        held = lambda x: sum(len(b.text) for p, b in live if x in p)
+        firsts = {t: [p[:[x.tag for x in p].index(t)] for p, _ in live if t in [x.tag for x in p] and not {"nav", "aside", "footer"} & {x.tag for x in p}] for t in ("main", "article")}
+        around, total = firsts["main"] or firsts["article"], sum(len(b.text) for _, b in live)
+        asked = [x for x in parser.elements if x.mark < x.wide]
+        want = {x for x in asked if (all(x in p for p in around) and 2 * held(x) > total if around else 5 * held(x) >= 4 * total)}
+        assert wide == want
+
+
 def test_piece_counts(docs):
     import sentencepiece
 
@@ -167,6 +225,20 @@ def test_bpe(docs):
     assert rows_of(out, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
 
 
+def test_bpe_long_runs():
+    """One pre-token of a million letters costs in proportion; a shorter one equals the library."""
+    import tiktoken
+
+    file = open(P.path("byte_bpe_50k.tiktoken"), "rb").read()
+    own = bpe_transducer.Codec(file, P.PATTERN)
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe_transducer.read_ranks(file), special_tokens={})
+    run = "".join(random.Random(2).choices("etaoinshrdlu", k=1_000_000))
+    assert own.encode(run[:30_000]) == enc.encode_ordinary(run[:30_000])
+    start = time.perf_counter()
+    ids = own.encode(run)
+    assert time.perf_counter() - start < 40 and "".join(x for _, x in own.decode(ids)) == run
+
+
 def test_bpe_forgets(monkeypatch):
     """Small bounds change nothing."""
     ranks = open(P.path("byte_bpe_50k.tiktoken"), "rb").read()

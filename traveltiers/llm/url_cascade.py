@@ -12,9 +12,11 @@ membership tests. Membership is exact and needs no join:
 * a key is listed if the first level that rejects it has an even number (or the last level
   has an odd one).
 
-A filter's bits grow with the listed keys only (BITS_PER_KEY each); the words are a literal
-in the plan. A list whose filters would pass MAX_FILTER_BYTES is looked up by a left join on
-the key instead, with the same result.
+A filter has BITS_PER_KEY bits for each key that its level encodes. Up to MAX_FILTER_BYTES its words
+are a literal in the plan. A larger level is cut by key hash into shards of SHARD_KEYS keys, each a filter of
+its own: one row of words, which the candidate keys of the shard (salted, for keys that many urls share)
+meet in a shuffle on the shard. It is the same cascade with the same rows, and nothing of its size is broadcast
+or brought to the driver. Only then do urls explode into their keys, and a join by host and path brings the rules back.
 
 A null url, or one without ``://``, has an empty host and path and no rule. Rows repeat as
 in the input; an empty table gives an empty result and further columns are ignored.
@@ -34,6 +36,7 @@ from traveltiers.llm.common import cut, table
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 BITS_PER_KEY, HASHES = 16, 4
 MAX_FILTER_BYTES = 8 << 20
+SHARD_KEYS, SALTS = 4096, 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,10 +48,13 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def shapes(keys: Sequence[str]) -> list[tuple[int, int]]:
-    """(labels of the host, characters of the path) that occur in the listed keys."""
-    parts = [(k.partition("/")[0], "/" + k.partition("/")[2] if "/" in k else "") for k in keys]
-    return sorted({(h.count(".") + 1, len(p)) for h, p in parts})
+def shapes(rules: DataFrame) -> list[tuple[int, int]]:
+    """(labels of the host, characters of the path) that occur in the listed keys: as many as there are such pairs, not rules."""
+    at = F.instr("key", "/")
+    host = F.when(at > 0, F.substring_index("key", "/", 1)).otherwise(F.col("key"))
+    path = F.when(at > 0, F.length("key") - at + 1).otherwise(0)
+    got = rules.where("key IS NOT NULL").select(F.size(F.split(host, r"\.")).alias("n"), path.cast("int").alias("m")).distinct()
+    return sorted((r["n"], r["m"]) for r in got.collect())
 
 
 def candidates(host: Column, path: Column, of: list[tuple[int, int]]) -> Column:
@@ -64,21 +70,46 @@ def positions(key: Column, level: int, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(level * 64 + i)), F.lit(bits)) for i in range(HASHES)]
 
 
+def bit(words: Column, at: Column) -> Column:
+    return F.getbit(F.get(words, (at / 64).cast("int")), (at % 64).cast("int")) == 1
+
+
 class Level:
-    """One Bloom filter: ``bits`` wide, its 64-bit words as text for a literal in the plan."""
+    """One Bloom filter over ``keys``: its 64-bit words as text for a literal in the plan, or as a table of shards."""
 
     def __init__(self, number: int, keys: DataFrame, n_keys: int):
-        self.number, self.bits = number, 64 * max(1, -(-n_keys * BITS_PER_KEY // 64))
-        at = keys.select(F.explode(F.array(*positions(F.col("key"), number, self.bits))).alias("p"))
-        one = F.expr("shiftleft(1L, cast(p % 64 as int))")
-        got = {r["w"]: r["v"] for r in at.groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(one).alias("v")).collect()}
-        self.words = ",".join(str(got.get(i, 0)) for i in range(self.bits // 64))
+        self.number = number
+        whole = n_keys * BITS_PER_KEY // 8 <= MAX_FILTER_BYTES
+        self.shards = 0 if whole else -(-n_keys // SHARD_KEYS)
+        self.bits = 64 * max(1, -(-(n_keys if whole else SHARD_KEYS) * BITS_PER_KEY // 64))
+        key = F.col("key")
+        at = keys.select(self.shard(key).alias("s"), F.explode(F.array(*positions(key, number, self.bits))).alias("p"))
+        words = at.groupBy("s", F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v"))
+        if whole:
+            got = {r["w"]: r["v"] for r in words.collect()}
+            self.words = ",".join(str(got.get(i, 0)) for i in range(self.bits // 64))
+            return
+        n = self.bits // 64
+        none = keys.sparkSession.range(self.shards * n).select(F.expr(f"id div {n}").alias("s"), F.expr(f"id % {n}").alias("w"), F.lit(0).cast("bigint").alias("v"))
+        full = words.unionByName(none).groupBy("s", "w").agg(F.bit_or("v").alias("v"))
+        row = F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x.v)  # one shard's words: a fixed number
+        self.table = cut(full.groupBy("s").agg(row.alias("words")))
 
-    def holds(self, key: Column) -> Column:
-        words = F.split(F.lit(self.words), ",").cast("array<bigint>")
-        tests = [F.getbit(F.get(words, (p / 64).cast("int")), (p % 64).cast("int")) == 1
-                 for p in positions(key, self.number, self.bits)]
-        return reduce(Column.__and__, tests)
+    def shard(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit(-self.number)), F.lit(max(1, self.shards)))
+
+    def holds(self, key: Column, words: Column | None = None) -> Column:
+        own = F.split(F.lit(self.words), ",").cast("array<bigint>") if words is None else words
+        return reduce(Column.__and__, [bit(own, p) for p in positions(key, self.number, self.bits)])
+
+    def test(self, rows: DataFrame, key: str, out: str) -> DataFrame:
+        """``rows`` with a boolean column ``out``: whether the filter lets their key through."""
+        if not self.shards:
+            return rows.withColumn(out, self.holds(F.col(key)))
+        salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+        words = self.table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = rows.withColumn("__s", self.shard(F.col(key))).withColumn("__salt", salt).join(words.withColumnRenamed("s", "__s"), ["__s", "__salt"])
+        return met.withColumn(out, self.holds(F.col(key), F.col("words"))).drop("__s", "__salt", "words")
 
 
 class Cascade:
@@ -90,38 +121,47 @@ class Cascade:
             listed.select("key", F.lit(0).alias("u"), F.lit(1).alias("l")))
         flags = cut(both.groupBy("key").agg(F.max("u").alias("u"), F.max("l").alias("l")).filter("u = 1").select("key", (F.col("l") == 1).alias("in_list")))
         self.levels: list[Level] = []
-        self.table = None
         inside, outside = flags.filter("in_list").select("key"), flags.filter("not in_list").select("key")
         n = inside.count()
-        if n * BITS_PER_KEY // 8 > MAX_FILTER_BYTES:
-            self.table = inside
-            return
         while n:
             level = Level(len(self.levels) + 1, inside, n)
             self.levels.append(level)
-            inside, outside = cut(outside.filter(level.holds(F.col("key")))), inside
+            inside, outside = cut(level.test(outside, "key", "__in").filter("__in").select("key")), inside
             n = inside.count()
 
-    def listed(self, key: Column) -> Column:
-        """Whether a key of the universe is listed."""
+    @property
+    def sharded(self) -> bool:
+        return any(level.shards for level in self.levels)
+
+    def verdict(self, holds: list[Column]) -> Column:
+        """Whether a key of the universe is listed, from what each level says of it."""
         out = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(self.levels):
-            out = F.when(level.holds(key), out).otherwise(F.lit(level.number % 2 == 0))
+        for level, held in reversed(list(zip(self.levels, holds))):
+            out = F.when(held, out).otherwise(F.lit(level.number % 2 == 0))
         return out
 
+    def listed(self, key: Column) -> Column:
+        """The same as an expression, where every filter is a literal."""
+        return self.verdict([level.holds(key) for level in self.levels])
+
+    def mark(self, rows: DataFrame, key: str, out: str) -> DataFrame:
+        """``rows`` with a boolean column ``out``: whether their key is listed."""
+        names = [f"__level{level.number}" for level in self.levels]
+        for level, name in zip(self.levels, names):
+            rows = level.test(rows, key, name)
+        return rows.withColumn(out, self.verdict([F.col(n) for n in names])).drop(*names)
+
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
-    """Per row: key, host, path, rule, verdict. ``rules``: (action, key), a list kept by people, read to the driver for its shapes."""
+    """Per row: key, host, path, rule, verdict. ``rules``: (action, key); a key that is both blocked and allowed is blocked."""
     host, path = split_url(F.col(f"`{url}`"))
     rows = pages.select(F.col(f"`{key}`").alias(key), host.alias("host"), path.alias("path"))
-    lists = [r for r in rules.select("action", "key").distinct().collect()]
-    of = shapes([r["key"] for r in lists])
-    found = rows.withColumn("__keys", candidates(F.col("host"), F.col("path"), of))
+    found = rows.withColumn("__keys", candidates(F.col("host"), F.col("path"), shapes(rules)))
     universe = cut(found.select(F.explode("__keys").alias("key")).distinct())
     block = Cascade(universe, rules.filter("action = 'block'").select("key"))
     allow = Cascade(universe, rules.filter("action = 'allow'").select("key").join(rules.filter("action = 'block'").select("key"), "key", "left_anti"))
-    if block.table is not None or allow.table is not None:
-        return _by_join(found, rules, key)
+    if block.sharded or allow.sharded:
+        return _by_shards(found, block, allow, key)
 
     def best(which: Cascade) -> Column:
         fit = F.filter("__keys", lambda k: which.listed(k))
@@ -134,14 +174,13 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", key: str = "page
     return both.select(key, "host", "path", rule.alias("rule"), verdict.alias("verdict"))
 
 
-def _by_join(found: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """Lists beyond the filter bound: candidate keys meet the rules in a shuffle join, then fold by url."""
-    urls = found.select("host", "path", F.explode_outer("__keys").alias("key")).distinct()
-    acts = rules.groupBy("key").agg(F.max("action").alias("action"))
-    hit = urls.join(acts, "key").groupBy("host", "path").agg(
-        F.max(F.struct(F.length("key").alias("n"), F.col("key").alias("k"), F.col("action").alias("a"))).alias("__r"))
+def _by_shards(found: DataFrame, block: Cascade, allow: Cascade, key: str) -> DataFrame:
+    """Filters beyond the literal's bound: each distinct url's keys meet the shards, then fold by url."""
+    urls = found.select("host", "path", "__keys").distinct().select("host", "path", F.explode("__keys").alias("__key"))
+    marked = allow.mark(block.mark(urls, "__key", "__block"), "__key", "__allow").where("__block OR __allow")
+    hit = marked.groupBy("host", "path").agg(F.max(F.struct(F.length("__key").alias("n"), F.col("__block").alias("b"), F.col("__key").alias("k"))).alias("__r"))
     return found.join(hit, ["host", "path"], "left").select(
-        key, "host", "path", F.col("__r.k").alias("rule"), F.coalesce(F.col("__r.a"), F.lit("allow")).alias("verdict"))
+        key, "host", "path", F.col("__r.k").alias("rule"), F.when(F.col("__r.b"), "block").otherwise("allow").alias("verdict"))
 
 
 def rule_table(spark, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
