@@ -38,6 +38,8 @@ LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW << 32)
 MEMO = 1_000_000
 #: Runs of whole texts that are gathered at once.
 HOLD_RUNS = 500_000
+#: Runs of letters that go to the library as one string.
+JOINED = 2048
 
 
 # ---------------------------------------------------------------- coder
@@ -148,22 +150,40 @@ _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f
 
 
 def quick_encoder(spec: str):
-    """``encode_batch`` of the file's model behind its byte letters alone, for runs of lower-case Latin letters; None if the file has other steps than these.
+    """``encode_batch`` of the file's model behind its byte letters alone, for runs of lower-case Latin letters with a space between, and
+    which ids end a run; None if the file has other steps than these.
 
-    Normal form, white space and lower case leave such a run as it is, and the split takes it whole.
+    Normal form, white space and lower case leave such a run as it is, and the split takes it whole. The model marks a run's
+    last piece, so one call gives the ids of many runs in a row.
     """
     from tokenizers import Tokenizer
 
     parts = json.loads(spec)
     steps = [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers", [])]
     cuts = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
-    if steps != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in cuts] != ["Split", "ByteLevel"] or parts.get("post_processor"):
+    mark = parts["model"].get("end_of_word_suffix")
+    if steps != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in cuts] != ["Split", "ByteLevel"] or parts.get("post_processor") or not mark:
         return None
     split = cuts[0]
     if split.get("behavior") != "Removed" or not split.get("invert") or "|[\\p{L}]+|" not in split["pattern"].get("Regex", "") or cuts[1].get("use_regex"):
         return None
-    quick = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": cuts[1], "added_tokens": [], "truncation": None, "padding": None}))
-    return getattr(quick, "encode_batch_fast", quick.encode_batch)
+    apart = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, cuts[1]]}
+    quick = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": apart, "added_tokens": [], "truncation": None, "padding": None}))
+    vocab = parts["model"]["vocab"]
+    last = np.zeros(1 + max(vocab.values()), bool)
+    last[[i for piece, i in vocab.items() if piece.endswith(mark)]] = True
+    return getattr(quick, "encode_batch_fast", quick.encode_batch), last
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in a row, and how many each list has."""
+    return np.fromiter(chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def gather(ids: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The stretches of ``n`` ids from ``start`` on, in a row."""
+    ends = np.cumsum(n)
+    return ids[np.repeat(start - ends + n, n) + np.arange(ends[-1])] if len(ends) else ids[:0]
 
 
 class Ids:
@@ -195,9 +215,16 @@ class Ids:
     def raw(self, runs: list[str]) -> list[list[int]]:
         return [e.ids for e in self.fast(runs, add_special_tokens=False)]
 
-    def letters(self, runs: list[str]) -> list[list[int]]:
-        """Ids of runs of lower-case Latin letters: the file's model without the steps that leave them as they are."""
-        return [e.ids for e in self.quick(runs, add_special_tokens=False)] if self.quick else self.raw(runs)
+    def letters(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row, and their number a run, of runs of lower-case Latin letters: the file's model without the steps that leave them as they are."""
+        if self.quick and runs:
+            encode, last = self.quick
+            joined = encode([" ".join(runs[i:i + JOINED]) for i in range(0, len(runs), JOINED)], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in joined])
+            ends = np.flatnonzero(last[ids])
+            if len(ends) == len(runs):
+                return ids, np.diff(ends, prepend=-1)
+        return flat(self.raw(runs))
 
     def learn(self) -> None:
         """Encode the runs that have a number and no ids yet."""
@@ -205,23 +232,26 @@ class Ids:
         if not new:
             return
         # Letters without their closing mark, lower-cased: one entry serves the word's other forms. Other ASCII is lower-cased
-        # too, unless that would make an added token.
-        letters, others, plain = {}, {}, []
+        # too, unless that would make an added token. A run is two pieces; letters are numbered from 0, others from -1 down.
+        letters, others, first, second = {}, {"": -1}, [], []
         for r in new:
             base, mark = (r[:-1], r[-1]) if r[-1] in ",." else (r, "")
             if _LATIN.fullmatch(base):
-                pair = (base.lower(), mark)
-                letters[pair[0]] = others[mark] = None
+                first.append(letters.setdefault(base.lower(), len(letters)))
+                second.append(others.setdefault(mark, -1 - len(others)))
             else:
                 low = r.lower() if r.isascii() else r
-                pair = (r if any(s in low for s in self.special) else low, "")
-                others[pair[0]] = None
-            plain.append(pair)
-        others.pop("", None)
-        got = dict(zip(letters, self.letters(list(letters)))) | dict(zip(others, self.raw(list(others)))) | {"": []}
-        ids = [got[a] + got[b] if b else got[a] for a, b in plain]
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in ids])])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32)])
+                if any(s in low for s in self.special):
+                    low = r
+                first.append(others.setdefault(low, -1 - len(others)))
+                second.append(-1)
+        ids, sizes = zip(self.letters(list(letters)), flat([[], *self.raw(list(others)[1:])]))
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        piece = np.array([first, second]).T.ravel()
+        piece = np.where(piece < 0, len(letters) - 1 - piece, piece)
+        n = sizes[piece]
+        self.ids = np.concatenate([self.ids, gather(ids, (np.cumsum(sizes) - sizes)[piece], n)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(n.reshape(-1, 2).sum(1))])
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
         from traveltiers.llm.common import words
@@ -249,8 +279,7 @@ class Ids:
         code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(s for _, s in held)), np.int64, sum(sizes))
         self.learn()
         start, n = self.offsets[code], self.offsets[code + 1] - self.offsets[code]
-        ends = np.cumsum(n)
-        ids = self.ids[np.repeat(start - ends + n, n) + np.arange(ends[-1])]
+        ends, ids = np.cumsum(n), gather(self.ids, start, n)
         for (i, _), own in zip(held, np.split(ids, ends[np.cumsum(sizes) - 1][:-1])):
             out[i] = own
 
