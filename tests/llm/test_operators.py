@@ -282,6 +282,28 @@ def test_rans_case_of_added_tokens():
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids + [2], t
 
 
+def test_rans_looks_up_distinct_runs(monkeypatch):
+    """A batch looks up each distinct run once, whatever white space is between; ids are the library's, with few runs gathered at once too."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tok, asked = Tokenizer.from_file(path), []
+
+    class Counted(rans_ids.Codes):
+        def __getitem__(self, run):
+            asked.append(run)
+            return super().__getitem__(run)
+
+    own = rans_ids.Ids(open(path, encoding="utf-8").read())
+    own.codes = Counted(own.codes)
+    texts = ["the cat the cat", "the  cat,\tThe cat.", None, "", " \n ", "\x0bCAT\x0c", "été Été, ÉTÉ. straße x\x1cy x\u3000y a\x85b", ", . ,. a,. 4, don't", "ÀÖŸ ĀɏſƏ Ωmega 中文 e\u0301"]
+    want = [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert [x.tolist() for x in own.of(texts)] == want
+    assert len(asked) == len(set(asked))
+    monkeypatch.setattr(rans_ids, "HOLD_RUNS", 2)
+    assert [x.tolist() for x in rans_ids.Ids(open(path, encoding="utf-8").read()).of(texts)] == want
+
+
 def test_rans_block_parts():
     rnd = np.random.default_rng(1)
     for n in (0, 1, 1023, 1024, 1025, 200_000):

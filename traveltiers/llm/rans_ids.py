@@ -22,6 +22,8 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,12 +151,29 @@ class Codes(dict):
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
 
+#: The letters that byte-level vocabularies write for bytes: printable Latin-1 stands for itself, the others follow from U+0100 on; here a space stays one.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = np.arange(256, dtype="<u2")
+_BYTE_LETTERS[[b for b in range(256) if b not in _PRINTED]] = range(256, 512 - len(_PRINTED))
+_BYTE_LETTERS[32] = 32
+
+
+def byte_letters(text: str) -> str:
+    """A text's UTF-8 bytes as byte letters, with its spaces."""
+    return text if text.isascii() else _BYTE_LETTERS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+
+
+def strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def quick_encoder(spec: str):
-    """``encode_batch`` of the file's model behind its byte letters alone, for runs of lower-case Latin letters with a space between, and
+    """``encode_batch`` of the file's model alone, for runs of lower-case Latin letters in byte letters with a space between, and
     which ids end a run; None if the file has other steps than these.
 
     Normal form, white space and lower case leave such a run as it is, and the split takes it whole. The model marks a run's
-    last piece, so one call gives the ids of many runs in a row.
+    last piece, so one call gives the ids of many runs in a row. The byte letters of ASCII letters are themselves; ``byte_letters``
+    spells the others.
     """
     from tokenizers import Tokenizer
 
@@ -165,9 +184,9 @@ def quick_encoder(spec: str):
     if steps != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in cuts] != ["Split", "ByteLevel"] or parts.get("post_processor") or not mark:
         return None
     split = cuts[0]
-    if split.get("behavior") != "Removed" or not split.get("invert") or "|[\\p{L}]+|" not in split["pattern"].get("Regex", "") or cuts[1].get("use_regex"):
+    if split.get("behavior") != "Removed" or not split.get("invert") or "|[\\p{L}]+|" not in split["pattern"].get("Regex", "") or cuts[1].get("use_regex") or cuts[1].get("add_prefix_space"):
         return None
-    apart = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, cuts[1]]}
+    apart = {"type": "WhitespaceSplit"}
     quick = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": apart, "added_tokens": [], "truncation": None, "padding": None}))
     vocab = parts["model"]["vocab"]
     last = np.zeros(1 + max(vocab.values()), bool)
@@ -219,7 +238,7 @@ class Ids:
         """Ids in a row, and their number a run, of runs of lower-case Latin letters: the file's model without the steps that leave them as they are."""
         if self.quick and runs:
             encode, last = self.quick
-            joined = encode([" ".join(runs[i:i + JOINED]) for i in range(0, len(runs), JOINED)], add_special_tokens=False)
+            joined = encode([byte_letters(" ".join(runs[i:i + JOINED])) for i in range(0, len(runs), JOINED)], add_special_tokens=False)
             ids = np.concatenate([np.array(e.ids, np.uint32) for e in joined])
             ends = np.flatnonzero(last[ids])
             if len(ends) == len(runs):
@@ -233,18 +252,29 @@ class Ids:
             return
         # Letters without their closing mark, lower-cased: one entry serves the word's other forms. Other ASCII is lower-cased
         # too, unless that would make an added token. A run is two pieces; letters are numbered from 0, others from -1 down.
-        letters, others, first, second = {}, {"": -1}, [], []
-        for r in new:
-            base, mark = (r[:-1], r[-1]) if r[-1] in ",." else (r, "")
-            if _LATIN.fullmatch(base):
-                first.append(letters.setdefault(base.lower(), len(letters)))
-                second.append(others.setdefault(mark, -1 - len(others)))
+        column = pa.array(new, pa.large_string())
+        ends = np.frombuffer(column.buffers()[1], np.int64)[1:len(new) + 1]
+        closing = np.frombuffer(column.buffers()[2], np.uint8)[ends - 1]
+        marked = (closing == ord(",")) | (closing == ord("."))
+        base = pc.if_else(pa.array(marked), pc.utf8_slice_codeunits(column, 0, -1), column)
+        ascii_word = pc.ascii_is_alpha(base)
+        at = np.flatnonzero(ascii_word.to_numpy(zero_copy_only=False))
+        coded = pc.ascii_lower(base.take(pa.array(at))).dictionary_encode()
+        letters, others = dict.fromkeys(strings(coded.dictionary)), {"": -1, ",": -2, ".": -3}
+        first, second = np.zeros(len(new), np.int64), np.full(len(new), -1, np.int64)
+        first[at] = coded.indices.to_numpy()
+        second[at] = np.where(marked[at], np.where(closing[at] == ord(","), -2, -3), -1)
+        for i in np.flatnonzero(~ascii_word.to_numpy(zero_copy_only=False)).tolist():  # ASCII words are done; no other lower-cases to one
+            r = new[i]
+            own, mark = (r[:-1], r[-1]) if r[-1] in ",." else (r, "")
+            if _LATIN.fullmatch(own):
+                first[i] = letters.setdefault(own.lower(), len(letters))
+                second[i] = others[mark]
             else:
                 low = r.lower() if r.isascii() else r
                 if any(s in low for s in self.special):
                     low = r
-                first.append(others.setdefault(low, -1 - len(others)))
-                second.append(-1)
+                first[i] = others.setdefault(low, -1 - len(others))
         ids, sizes = zip(self.letters(list(letters)), flat([[], *self.raw(list(others)[1:])]))
         ids, sizes = np.concatenate(ids), np.concatenate(sizes)
         piece = np.array([first, second]).T.ravel()
@@ -254,34 +284,40 @@ class Ids:
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(n.reshape(-1, 2).sum(1))])
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
-        from traveltiers.llm.common import words
-
         out: list = [None] * len(texts)
-        held, size = [], 0
+        plain = []
         for i, t in enumerate(texts):
             if t and any(s in t for s in self.special):  # an added token's string: the library handles the whole text
                 out[i] = np.array(self.raw([t])[0] + [END_ID], np.uint32)
-                continue
-            held.append((i, [*words(t), ""]))
-            size += len(held[-1][1])
-            if size >= HOLD_RUNS:
-                self.fill(out, held)
-                held, size = [], 0
-        if held:
-            self.fill(out, held)
+            else:
+                plain.append(i)
+        if not plain:
+            return out
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pa.array([texts[i] or "" for i in plain], pa.large_string())))
+        runs, sizes = pc.list_flatten(split), pc.list_value_length(split).to_numpy()  # a text without runs: one empty run
+        ends = np.cumsum(sizes, dtype=np.int64)
+        first = 0
+        while first < len(plain):
+            begin = ends[first] - sizes[first]
+            last = max(first + 1, int(np.searchsorted(ends, begin + HOLD_RUNS, "right")))
+            self.fill(out, plain[first:last], runs.slice(begin, ends[last - 1] - begin), ends[first:last] - begin)
+            first = last
         return out
 
-    def fill(self, out: list, held: list[tuple[int, list[str]]]) -> None:
-        """The ids of the held texts, gathered from the table of runs in one step."""
+    def fill(self, out: list, rows: list[int], runs: pa.Array, ends: np.ndarray) -> None:
+        """The ids of the rows' texts, gathered from the table of runs in one step; ``ends``: where each text's runs end. Each distinct run is looked up once."""
         if len(self.codes) > MEMO:
             self.reset()
-        sizes = [len(s) for _, s in held]
-        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(s for _, s in held)), np.int64, sum(sizes))
+        coded = runs.dictionary_encode()
+        number = np.fromiter(map(self.codes.__getitem__, strings(coded.dictionary)), np.int64, len(coded.dictionary))
         self.learn()
-        start, n = self.offsets[code], self.offsets[code + 1] - self.offsets[code]
-        ends, ids = np.cumsum(n), gather(self.ids, start, n)
-        for (i, _), own in zip(held, np.split(ids, ends[np.cumsum(sizes) - 1][:-1])):
-            out[i] = own
+        code = number[coded.indices.to_numpy()]
+        n = self.offsets[code + 1] - self.offsets[code]
+        n[code == 0] = 0  # the empty run is the end id, which every text gets below
+        ids, stops = gather(self.ids, self.offsets[code], n), np.cumsum(n)[ends - 1]
+        own = np.split(np.insert(ids, stops, END_ID), (stops + np.arange(1, len(stops) + 1))[:-1])
+        for i, x in zip(rows, own):
+            out[i] = x
 
 
 _tokenisers: dict[int, Ids] = {}
@@ -321,8 +357,6 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, text: str = "te
     staged.write.mode("overwrite").parquet(f"{folder}/ids")
 
     def count(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         total = np.zeros(1, np.int64)
         for b in batches:
             got = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u4"))
@@ -340,8 +374,6 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, text: str = "te
     schema = arrow_schema(kinds)
 
     def blocks(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         coder = Coder(tables.value)
         first, keys, lengths, held, size = 0, [], [], [], 0
 
