@@ -252,6 +252,26 @@ def test_bpe_forgets(monkeypatch):
     assert ["".join(x for _, x in tight.decode(i)) for i in want] == texts
 
 
+def test_bpe_ascii_split():
+    """ASCII texts are split by a pattern without Unicode classes, into the same pieces."""
+    own = bpe_transducer.Codec(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN)
+    rnd, every = random.Random(3), [chr(i) for i in range(128)]
+    assert own.split_ascii is not own.split
+    for k in range(20_000):
+        text = "".join(rnd.choices(every if k % 2 else "a1 '\n\tslvredtm.\x1c\x0b", k=rnd.randint(1, 12)))
+        assert own.split_ascii.findall(text) == own.split.findall(text), text
+    assert own.encode("we're 7 \n x") == [i for t in own.split.findall("we're 7 \n x") for i in own.machine.merged(t.encode())]
+    other = bpe_transducer.Codec(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), r"\p{L}+|\P{L}")
+    assert other.split_ascii is other.split
+
+
+def test_bpe_start_is_no_neighbour():
+    """Whether token 0 may stand at the start says nothing of two of them in a row."""
+    machine = bpe_transducer.Transducer({bytes([i]): i for i in range(256)} | {b"\0\0": 256})
+    assert machine.follows(-1, 0) and not machine.follows(0, 0)
+    assert machine.encode(b"\0\0\0") == tuple(machine.merged(b"\0\0\0"))
+
+
 def test_rans_files(docs, spark, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 

@@ -24,6 +24,7 @@ import base64
 import codecs
 import gc
 import hashlib
+import re
 from itertools import chain
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,11 @@ from traveltiers.llm.common import map_batches, remember, table
 MEMO_WORDS, MEMO_STEPS, MEMO_PAIRS = 400_000, 300_000, 500_000
 DECODE_STEP = 8192
 NEVER = 1 << 60
+#: What a pattern's classes are among ASCII characters, for texts that have no others: there Python's own ``re`` splits alike and sooner.
+_ASCII_FORMS = {
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+":
+        r" ?[A-Za-z]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\sA-Za-z0-9]+| ?[0-9]+|\s+(?!\S)|\s+",
+}
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -63,17 +69,20 @@ class Transducer:
         # Ranks of the merges that first take in a token's first and last byte, and of the byte pairs themselves.
         self.spine_of: dict[int, list] = {}
         self.first, self.last = {}, {}
+        self.entire: dict[int, bool] = {}  # whether a token is the encoding of its own bytes
         for tok, i in ranks.items():
             left, right = self.spines(tok)
             if any(x[1] >= y[1] for s in (left, right) for x, y in zip(s, s[1:])):
                 raise ValueError("a merge comes before the merges of its parts")
             self.first[i], self.last[i] = left[0][1], right[0][1]
+            self.entire[i] = len(left[-1][0]) == len(tok)
         self.byte_pair = {t[0] << 8 | t[1]: i for t, i in ranks.items() if len(t) == 2}
         # For every node, the earliest such merge of a token at or below it.
         self.soonest = [self.first[self.ends[n]] if n in self.ends else NEVER for n in range(len(self.child))]
         for n in range(len(self.child) - 1, -1, -1):  # children have higher numbers
             for c in self.child[n].values():
                 self.soonest[n] = min(self.soonest[n], self.soonest[c])
+        self.border = {i: t[-1] << 8 for t, i in ranks.items()}  # the upper half of the byte pair at a token's end
         self.pairs: dict[int, bool] = {}
         self.forget()
 
@@ -120,10 +129,6 @@ class Transducer:
             self.spine_of[token << 1], self.spine_of[token << 1 | 1] = self.spines(self.token[token])
         return self.spine_of[key]
 
-    def whole(self, token: int) -> bool:
-        """Whether a token is the encoding of its own bytes."""
-        return len(self.spine(token, 0)[-1][0]) == len(self.token[token])
-
     def apart(self, left: int, right: int) -> bool:
         """Whether no merge ever crosses the border of two tokens: both sides are replayed in the order of their merges."""
         a, b, i, j = self.spine(left, 1), self.spine(right, 0), 0, 0
@@ -139,49 +144,48 @@ class Transducer:
             else:
                 j += 1
 
-    def joined(self, left: int, byte: int, soonest: int) -> bool:
-        """Whether the bytes at the border merge before either side could take its own."""
-        m = self.byte_pair.get(self.token[left][-1] << 8 | byte)
-        return m is not None and m < soonest and m < self.last[left]
-
     def follows(self, left: int, right: int) -> bool:
         """Whether token ``right`` may stand after ``left`` (-1: at the start)."""
-        key = left << 20 | right if left >= 0 else -right
+        key = left << 20 | right if left >= 0 else ~right
         got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
-            if left < 0:
-                got = self.whole(right)
-            else:
-                got = self.whole(left) and self.whole(right) and self.apart(left, right)
-            self.pairs[key] = got
+            got = self.pairs[key] = self.entire[right] and (left < 0 or self.entire[left] and self.apart(left, right))
         return got
 
     def step(self, state: int, byte: int) -> tuple[int, tuple]:
         """Next state and the tokens emitted; made once."""
         before, guesses = self.states[state]
+        child, ends, byte_pair = self.child, self.ends, self.byte_pair
         done, live = None, []
         for node, path in guesses:
-            nxt = self.child[node].get(byte)
+            nxt = child[node].get(byte)
             if nxt is None:
                 continue
-            tok, prev = self.ends.get(nxt), path[-1] if path else before
-            if tok is not None and done is None and self.follows(prev, tok):
-                done = path + (tok,)
-            # A guess is dropped once no token at or below its node could stand after its predecessor.
-            if self.child[nxt] and (prev < 0 or not self.joined(prev, self.top[nxt], self.soonest[nxt])):
-                live.append((nxt, path))
+            prev = path[-1] if path else before
+            if done is None and nxt in ends and self.follows(prev, ends[nxt]):
+                done = path + (ends[nxt],)
+            if child[nxt]:
+                # A guess is dropped once no token at or below its node could stand after its predecessor: the bytes at the
+                # border merge before either side could take its own.
+                m = byte_pair.get(self.border[prev] | self.top[nxt]) if prev >= 0 else None
+                if m is None or m >= self.soonest[nxt] or m >= self.last[prev]:
+                    live.append((nxt, path))
         if done is None:
             raise ValueError("the ranks are no byte-level BPE: no token can end here")
+        common = len(done)
+        for _, path in live:
+            k, common = common, 0
+            while common < k and common < len(path) and path[common] == done[common]:
+                common += 1
+            if not common:
+                break
         live.append((0, done))
-        common, most = 0, min(len(p) for _, p in live)
-        while common < most and all(p[common] == done[common] for _, p in live):
-            common += 1
         out = done[:common]
         last = out[-1] if out else before
-        rest = tuple([(n, p[common:]) for n, p in live])
-        new = (last if most == common else -1, rest)
+        rest = tuple([(n, p[common:]) for n, p in live]) if common else tuple(live)
+        new = (-1 if all([p for _, p in rest]) else last, rest)
         number = self.number.get(new)
         if number is None:
             number = self.number[new] = len(self.states)
@@ -232,6 +236,7 @@ class Codec:
 
         self.machine = Transducer(read_ranks(ranks_file))
         self.split = regex.compile(pattern)
+        self.split_ascii = re.compile(_ASCII_FORMS[pattern], re.ASCII) if pattern in _ASCII_FORMS else self.split
         self.memo = Memo(self.machine)
         size = 1 + max(self.machine.token)
         self.bytes = [self.machine.token.get(i, b"") for i in range(size)]
@@ -243,7 +248,8 @@ class Codec:
             return []
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        return list(chain.from_iterable(map(self.memo.__getitem__, self.split.findall(text))))
+        split = self.split_ascii if text.isascii() else self.split
+        return list(chain.from_iterable(map(self.memo.__getitem__, split.findall(text))))
 
     def decode(self, ids: list[int]):
         """Pieces (bytes, text) of the decoded ids; a code point that two tokens share comes with the later one."""
