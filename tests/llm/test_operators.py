@@ -395,6 +395,30 @@ def test_jaccard_gray_zone(spark):
     assert rows_of(jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == slow_components(rows)
 
 
+def test_jaccard_pairs_of_a_near_group(spark, monkeypatch):
+    """A large group of near copies, most of which link with few: its pairs are nearly all settled before all classes of a list meet."""
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for k in range(240):
+        t = list(base)
+        for i in range((1, 2, 4)[k % 3]):
+            t[rnd.randrange(150)] = f"z{k}x{i}"
+        texts.append(" ".join(t))
+    rows = list(enumerate(texts))
+    met, cut = [], jaccard_join.cut
+
+    def counted(df):
+        out = cut(df)
+        if "ac" in out.columns:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "cut", counted)
+    assert rows_of(jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == slow_components(rows)
+    assert len(met) == 1 and met[0] < len(rows)
+
+
 def test_jaccard_sketches_refute_no_link(spark):
     """Sets just inside and outside the limit, small and far larger than a sketch: no linked pair is refuted, and unlike pairs of usual size are."""
     rnd = np.random.default_rng(4)

@@ -16,8 +16,9 @@ sets link when 100 * |both| >= 80 * |either|. The steps:
    a pair must meet in SUBSET lists. The border is the size with the least cost: subsets
    written for small sets against postings times the length of the lists that they scan.
 4. Within a list every class is held against the list's first class (a star, linear in the
-   list). Classes that this doesn't bring together are then held against all others of the
-   list that are in another component, so no link between components is missed.
+   list), and where the list is long, against the BEFORE classes before it as well, which leaves
+   few components of a dense group. Classes that this doesn't bring together are then held against all
+   others of the list that are in another component, so no link between components is missed.
 5. A set's sketch is the parity of its shingles in each of 64 * SKETCH buckets. Two sketches
    differ in at most as many bits as the sets in shingles, so a pair whose sketches differ in
    more than linked sets may is refuted, exactly, before it is written.
@@ -32,6 +33,7 @@ no component (null). Rows repeat as in the input; an empty table gives an empty
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from functools import cache
 from hashlib import blake2b
@@ -56,6 +58,8 @@ HEAVY_TABLE = 1 << 18
 HEAVY_HOLD = 1 << 21
 #: Entries from which a list is dealt over salts, one for so many.
 LONG_LIST = 5_000
+#: In lists of more classes than MANY each class is held against the BEFORE ones before it, before components are met.
+MANY, BEFORE = 8, 16
 _LOWER = {i: i + 32 for i in range(65, 91)}
 BYTES = 6
 #: Bytes of a set's signature: at 10**10 sets, two different ones share it with a chance of about 10**-9.
@@ -310,13 +314,47 @@ def shared_lists(entries: DataFrame, held: list[DataFrame]) -> DataFrame:
     return found.filter("salt = 0").select("key", "sig", "n", "rest", "head", "hn", "hrest").unionByName(dealt)
 
 
-def wanted_bodies(staged: DataFrame, pairs: DataFrame) -> DataFrame:
-    """sig and shingles of the classes in the pairs (and of a few more), one row each.
+def neighbours(found: DataFrame) -> DataFrame:
+    """Pairs (key, a, b) that may link, of each class of a long list and the BEFORE ones before it; ``found`` holds the lists, sorted.
+
+    Linear in the lists. They lie as they were dealt, so nothing is shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, listed = None, 0
+        last: deque = deque(maxlen=BEFORE)
+        early: list = []  # pairs of the list's first classes, until it is known to be long
+        for b in batches:
+            keys, left, right = [], [], []
+            for key, salt, *row in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if (key, salt) != now:
+                    now, listed, early = (key, salt), 0, []
+                    last.clear()
+                listed += 1
+                met = [(x[0], row[0]) for x in last if can_link(*x[1:], *row[1:])]
+                if listed <= MANY:
+                    early += met
+                    met = []
+                elif early:
+                    met += early
+                    early = []
+                for x, y in met:
+                    keys.append(key)
+                    left.append(x)
+                    right.append(y)
+                last.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["key", "a", "b"])
+
+    return found.select("key", "salt", "sig", "n", "rest").mapInArrow(run, "key long, a binary, b binary")
+
+
+def wanted_bodies(staged: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+    """sig and shingles of the classes on one side, a or b, of the pairs (and of a few more), one row each.
 
     A map of the signatures' first bits drops the other sets where they lie; it has 2**WANTED_BITS bits at any size of the corpus.
     """
     at = F.conv(F.substring(F.hex("sig"), 1, WANTED_BITS // 4), 16, 10).cast("long")
-    got = pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(at.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v")).toPandas()
+    got = pairs.select(F.col(side).alias("sig")).select(at.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v")).toPandas()
     words = np.zeros(1 << (WANTED_BITS - 6), np.int64)
     words[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64)
     bits = staged.sparkSession.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little"))
@@ -367,10 +405,9 @@ def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, staged: DataFrame) -> DataFrame:
     """Pairs (a, b) whose whole sets link."""
-    left = bodies.select(F.col("sig").alias("a"), F.col("shingles").alias("sa"))
-    right = bodies.select(F.col("sig").alias("b"), F.col("shingles").alias("sb"))
+    left, right = (wanted_bodies(staged, pairs, side).select(F.col("sig").alias(side), F.col("shingles").alias(f"s{side}")) for side in ("a", "b"))
 
     def run(cols: dict) -> dict:
         ok = []
@@ -427,8 +464,15 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
 
     star = lists.filter((F.col("sig") != F.col("head")) & fits("n", "rest", "hn", "hrest")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b")
     star = cut(refuted_away(star, classes))
-    links = cut(verify(star, wanted_bodies(staged, star)))
+    links = cut(verify(star, staged))
     comp = components(links)
+    # Where most pairs of a long list link, few components are left after this.
+    wide = neighbours(held[-1]).groupBy("a", "b").agg(met.alias("met")).filter("met").select("a", "b")
+    wide = cut(refuted_away(across(wide, comp).join(star, ["a", "b"], "left_anti"), classes))
+    if wide.limit(1).count():
+        star = star.unionByName(wide)
+        links = links.unionByName(cut(verify(wide, staged)))
+        comp = components(links)
 
     # Only lists with classes of several components go on; in those, every pair of two components is met.
     named = cut(lists.select("key", "sig", "n", "rest").join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig")))
@@ -447,7 +491,7 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     final = comp
     for left in (lambda: best, lambda: cut(across(more.join(best, ["a", "b"], "left_anti"), final))):
         now = left()
-        extra = cut(verify(now, wanted_bodies(staged, now))) if now.limit(1).count() else now
+        extra = cut(verify(now, staged)) if now.limit(1).count() else now
         if extra.limit(1).count():
             links = links.unionByName(extra)
             final = components(links)
