@@ -357,12 +357,12 @@ def wanted_bodies(staged: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
     got = pairs.select(F.col(side).alias("sig")).select(at.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v")).toPandas()
     words = np.zeros(1 << (WANTED_BITS - 6), np.int64)
     words[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64)
-    bits = staged.sparkSession.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little"))
+    bits = staged.sparkSession.sparkContext.broadcast(words.view(np.uint8))  # 2 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = np.array([int.from_bytes(s[:WANTED_BITS // 8], "big") for s in b.column(0).to_pylist()], np.int64)
-            yield b.take(pa.array(np.flatnonzero(bits.value[p])))
+            yield b.take(pa.array(np.flatnonzero(bits.value[p >> 3] >> (p & 7).astype(np.uint8) & 1)))
 
     return staged.filter("n > 0").select("sig", "shingles").mapInArrow(run, "sig binary, shingles binary").dropDuplicates(["sig"])
 
@@ -476,11 +476,11 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
 
     # Only lists with classes of several components go on; in those, every pair of two components is met.
     named = cut(lists.select("key", "sig", "n", "rest").join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig")))
-    mixed = named.groupBy("key").agg(F.min(F.struct("sig", "comp"))["comp"].alias("hc"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key", "hc")
-    mixed = cut(named.join(mixed, "key").withColumn("first", F.expr("comp = hc")).drop("hc").join(classes.select("sig", *MARKS), "sig"))
+    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key", "lo")
+    mixed = cut(named.join(mixed, "key").withColumn("first", F.expr("comp = lo")).drop("lo").join(classes.select("sig", *MARKS), "sig"))
     apart = mixed.filter("not first").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("rest").alias("ar"), F.col("comp").alias("ac"), *[F.col(x).alias(f"a{x}") for x in MARKS])
     others = mixed.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("rest").alias("br"), F.col("comp").alias("bc"), "first", *[F.col(x).alias(f"b{x}") for x in MARKS])
-    # Both outside the first class's component: one order of the two is enough.
+    # Both outside the list's least component: one order of the two is enough.
     possible = fits("an", "ar", "bn", "br") & near("an", "bn", [f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS])
     pairs = (apart.join(others, (apart["key"] == others["key"]) & (F.col("ac") != F.col("bc")) & (F.col("first") | (F.col("a") < F.col("b"))) & possible)
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.struct("ac", "bc")).otherwise(F.struct(F.col("bc").alias("ac"), F.col("ac").alias("bc"))).alias("of"), apart["key"], distance([f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS]).alias("d"))
