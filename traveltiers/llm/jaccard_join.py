@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from traveltiers.llm.common import batch_rows, cut, map_batches, remember, table, tidy, words
+from traveltiers.llm.common import batch_rows, cut, map_batches, remember, restart, table, tidy, words
 
 OWNER = __name__
 WIDTH, PERCENT = 5, 80
@@ -56,6 +56,8 @@ SUBSET = 3
 HEAVY_TABLE = 1 << 18
 #: Shingles that a task holds while it looks for repeated ones.
 HEAVY_HOLD = 1 << 21
+#: Upper bits of a shingle by which the table's last ones are told among those of one count.
+TIE_BITS = 16
 #: Entries from which a list is dealt over salts, one for so many.
 LONG_LIST = 5_000
 #: In lists of more classes than MANY each class is held against the BEFORE ones before it, before components are met.
@@ -174,13 +176,39 @@ def heavy_table(spark: SparkSession, staged: DataFrame) -> tuple[np.ndarray, np.
         if held:
             yield flush()
 
-    counted = staged.filter("n > 0").select("sig", "shingles").mapInArrow(repeats, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    top = counted.orderBy(F.desc("c"), "h").limit(HEAVY_TABLE).toPandas()  # bounded: HEAVY_TABLE rows
-    h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
+    counted = staged.filter("n > 0").select("sig", "shingles").mapInArrow(repeats, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).persist(StorageLevel.DISK_ONLY)
+    top = most_frequent(counted, HEAVY_TABLE).toArrow()  # bounded: HEAVY_TABLE rows, and the ties of one bucket
+    counted.unpersist()
+    h, c = top["h"].to_numpy(), top["c"].to_numpy()
+    first = np.lexsort((h, -c))[:HEAVY_TABLE]
+    h, c = h[first].view(np.uint64), c[first]
     order = np.argsort(h)
     return h[order], c[order]
 
 
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows (h, c) of the greatest c, then the least h, and some more of the last c: few enough to be collected.
+
+    The last row's place is told from counts of rows; a sort with a limit would send the driver up to ``most`` rows from each task.
+    """
+    def passed(rows: DataFrame, by: str, left: int, falling: bool) -> tuple[int | None, int]:
+        """The value of ``by`` at which so many rows are reached, and those left for it; None where there are no more."""
+        counts = rows.groupBy(F.expr(by).alias("v")).agg(F.count("*").alias("rows")).toArrow()
+        v, times = counts["v"].to_numpy(), counts["rows"].to_numpy()
+        order = np.argsort(-v if falling else v)
+        before = np.cumsum(times[order])
+        at = int(np.searchsorted(before, left))
+        if at == len(before):
+            return None, left
+        return int(v[order][at]), left - int(before[at] - times[order][at])
+
+    least, left = passed(counted, "c", most, True)  # the values of c are few: n of them stand for n * n / 2 repeats
+    if least is None:
+        return counted
+    ties, _ = passed(counted.filter(F.col("c") == least), f"shiftright(h, {8 * BYTES - TIE_BITS})", left, False)
+    return counted.filter((F.col("c") > least) | ((F.col("c") == least) & (F.shiftright("h", 8 * BYTES - TIE_BITS) <= ties)))
+
+
 def least_shared(n: int) -> int:
     """Shingles that a set of n shares at least with any set it links to."""
     return -(-PERCENT * n // 100)
@@ -354,9 +382,9 @@ def wanted_bodies(staged: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
     A map of the signatures' first bits drops the other sets where they lie; it has 2**WANTED_BITS bits at any size of the corpus.
     """
     at = F.conv(F.substring(F.hex("sig"), 1, WANTED_BITS // 4), 16, 10).cast("long")
-    got = pairs.select(F.col(side).alias("sig")).select(at.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v")).toPandas()
+    got = pairs.select(F.col(side).alias("sig")).select(at.alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("v")).toArrow()
     words = np.zeros(1 << (WANTED_BITS - 6), np.int64)
-    words[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64)
+    words[got["w"].to_numpy()] = got["v"].to_numpy()
     bits = staged.sparkSession.sparkContext.broadcast(words.view(np.uint8))  # 2 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,13 +455,13 @@ def components(links: DataFrame) -> DataFrame:
     Each round a node takes the least label among its own and its neighbours', then the
     label of that label. Rounds are cut by a checkpoint.
     """
-    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("sig"), F.least("a", "m").alias("comp")))
+    both = restart(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = restart(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("sig"), F.least("a", "m").alias("comp")))
     while True:
         seen = both.join(label.select(F.col("sig").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
         low = label.join(seen.withColumnRenamed("a", "sig"), "sig").select("sig", "comp", F.least("comp", "m").alias("low"))
         jump = label.select(F.col("sig").alias("low"), F.col("comp").alias("far"))
-        nxt = cut(low.join(jump, "low").select("sig", F.least("low", "far").alias("new"), (F.least("low", "far") != F.col("comp")).alias("moved")))
+        nxt = restart(low.join(jump, "low").select("sig", F.least("low", "far").alias("new"), (F.least("low", "far") != F.col("comp")).alias("moved")))
         label = nxt.select("sig", F.col("new").alias("comp"))
         if not nxt.filter("moved").limit(1).count():
             return label
@@ -450,8 +478,8 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     spark = docs.sparkSession
     # Kept on the executors' disks while the join runs; a lost executor's part is made again from its documents.
     staged = sets(docs, text, key, with_text).persist(StorageLevel.DISK_ONLY)
-    plain = cut(staged.drop("shingles"))
-    classes = cut(plain.filter("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least"), *[F.first(x).alias(x) for x in MARKS]))
+    plain = restart(staged.drop("shingles"))
+    classes = restart(plain.filter("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least"), *[F.first(x).alias(x) for x in MARKS]))
 
     known, counts = heavy_table(spark, staged)
     heavy = spark.sparkContext.broadcast((known, counts))
@@ -463,21 +491,21 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     met = F.sum(F.when(F.col("key") % 2 != 0, SUBSET).otherwise(1)) >= SUBSET
 
     star = lists.filter((F.col("sig") != F.col("head")) & fits("n", "rest", "hn", "hrest")).groupBy(F.col("head").alias("a"), F.col("sig").alias("b")).agg(met.alias("met")).filter("met").select("a", "b")
-    star = cut(refuted_away(star, classes))
-    links = cut(verify(star, staged))
+    star = restart(refuted_away(star, classes))
+    links = restart(verify(star, staged))
     comp = components(links)
     # Where most pairs of a long list link, few components are left after this.
     wide = neighbours(held[-1]).groupBy("a", "b").agg(met.alias("met")).filter("met").select("a", "b")
-    wide = cut(refuted_away(across(wide, comp).join(star, ["a", "b"], "left_anti"), classes))
+    wide = restart(refuted_away(across(wide, comp).join(star, ["a", "b"], "left_anti"), classes))
     if wide.limit(1).count():
         star = star.unionByName(wide)
-        links = links.unionByName(cut(verify(wide, staged)))
+        links = links.unionByName(restart(verify(wide, staged)))
         comp = components(links)
 
     # Only lists with classes of several components go on; in those, every pair of two components is met.
-    named = cut(lists.select("key", "sig", "n", "rest").join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig")))
+    named = restart(lists.select("key", "sig", "n", "rest").join(comp, "sig", "left").withColumn("comp", F.coalesce("comp", "sig")))
     mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key", "lo")
-    mixed = cut(named.join(mixed, "key").withColumn("first", F.expr("comp = lo")).drop("lo").join(classes.select("sig", *MARKS), "sig"))
+    mixed = restart(named.join(mixed, "key").withColumn("first", F.expr("comp = lo")).drop("lo").join(classes.select("sig", *MARKS), "sig"))
     apart = mixed.filter("not first").select("key", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("rest").alias("ar"), F.col("comp").alias("ac"), *[F.col(x).alias(f"a{x}") for x in MARKS])
     others = mixed.select("key", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("rest").alias("br"), F.col("comp").alias("bc"), "first", *[F.col(x).alias(f"b{x}") for x in MARKS])
     # Both outside the list's least component: one order of the two is enough.
@@ -485,22 +513,22 @@ def joined(docs: DataFrame, text: str, key: str, with_text: bool = False) -> Dat
     pairs = (apart.join(others, (apart["key"] == others["key"]) & (F.col("ac") != F.col("bc")) & (F.col("first") | (F.col("a") < F.col("b"))) & possible)
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.struct("ac", "bc")).otherwise(F.struct(F.col("bc").alias("ac"), F.col("ac").alias("bc"))).alias("of"), apart["key"], distance([f"a{x}" for x in MARKS], [f"b{x}" for x in MARKS]).alias("d"))
              .groupBy("a", "b").agg(met.alias("met"), F.first("of").alias("of"), F.first("d").alias("d")).filter("met").select("a", "b", "of.ac", "of.bc", "d"))
-    more = cut(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
+    more = restart(pairs.join(star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"))
     # The likeliest pair of every two components goes first; then the pairs that still lie in different ones.
-    best = cut(more.groupBy(F.least("ac", "bc"), F.greatest("ac", "bc")).agg(F.min(F.struct("d", "a", "b")).alias("x")).select("x.a", "x.b"))
+    best = restart(more.groupBy(F.least("ac", "bc"), F.greatest("ac", "bc")).agg(F.min(F.struct("d", "a", "b")).alias("x")).select("x.a", "x.b"))
     final = comp
-    for left in (lambda: best, lambda: cut(across(more.join(best, ["a", "b"], "left_anti"), final))):
+    for left in (lambda: best, lambda: restart(across(more.join(best, ["a", "b"], "left_anti"), final))):
         now = left()
-        extra = cut(verify(now, staged)) if now.limit(1).count() else now
+        extra = restart(verify(now, staged)) if now.limit(1).count() else now
         if extra.limit(1).count():
             links = links.unionByName(extra)
             final = components(links)
     for kept in held:
         kept.unpersist()
 
-    least = cut(classes.join(final, "sig", "left").select("sig", "least", F.coalesce("comp", "sig").alias("comp")))
+    least = restart(classes.join(final, "sig", "left").select("sig", "least", F.coalesce("comp", "sig").alias("comp")))
     roots = least.groupBy("comp").agg(F.min("least").alias("component"))
-    member = cut(least.join(roots, "comp").select("sig", "comp", "component"))
+    member = restart(least.join(roots, "comp").select("sig", "comp", "component"))
     return plain.join(member, "sig", "left").withColumn("component", F.when(F.col("id").isNotNull(), F.col("component")))
 
 
@@ -513,12 +541,12 @@ def keep_documents(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     names = tuple(docs.columns)
     rows = joined(docs, text, key, with_text=True).filter("n > 0")
     # One entry for an id and text; from here on no key is held by many.
-    held = cut(rows.groupBy("id", "th", "sig", "comp").count())
+    held = restart(rows.groupBy("id", "th", "sig", "comp").count())
     first = held.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sig", "th")).alias("x"))
-    first = cut(first.select(F.col("x.id").alias("kid"), F.col("x.th").alias("kth")))
+    first = restart(first.select(F.col("x.id").alias("kid"), F.col("x.th").alias("kth")))
     of_first = held["id"].eqNullSafe(first["kid"]) & (held["th"] == first["kth"])
     gone = held.join(first, of_first, "left_anti").select("id", "th")
-    again = cut(held.filter("count > 1").join(first, of_first, "left_semi").select("id", "th"))
+    again = restart(held.filter("count > 1").join(first, of_first, "left_semi").select("id", "th"))
     own = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)], F.col(f"`{key}`").cast("long").alias("__id"), text_hash(text).alias("__th"))
 
     def met(left: DataFrame, right: DataFrame):
